@@ -10,12 +10,22 @@ from .chat_format import as_text_parts, format_chats, parse_chats
 from .common import table
 from .exact_dedup import exact_dedup
 from .license_scan import SPELLINGS, known_digests, license_scan
+from .minhash_dedup import near_duplicates
+from .packing import pack
 from .token_counts import token_counts
 
 #: Only the vocabulary's place is a parameter; the files stay where they are.
 COUNT_VOCABULARY = "byte_bpe_multi_50k.tiktoken"
 
 
+def op1_minhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_duplicates(table(spark, sf_dir, "documents"))
+
+
+def op4_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pack(table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"))
+
+
 def op5_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup(table(spark, sf_dir, "documents"))
 
@@ -52,6 +62,8 @@ def op10_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {
+    "op1_minhash_dedup": op1_minhash_dedup,
+    "op4_packing": op4_packing,
     "op5_exact_dedup": op5_exact_dedup,
     "op8_license_scan": op8_license_scan,
     "op9_token_counts": op9_token_counts,

@@ -15,7 +15,7 @@ import pyarrow as pa
 import pyarrow.compute as pc
 
 ROWS_BYTES = 4 << 20
-CHUNK = 1 << 20
+CHUNK = 1 << 18
 U64 = np.uint64
 _BASE = 0x9E3779B97F4A7C15 | 1
 _BASE_INV = pow(_BASE, -1, 1 << 64)
@@ -29,7 +29,6 @@ def mix(x: np.ndarray) -> np.ndarray:
         return x ^ (x >> U64(31))
 
 
-_BYTE_CODE = mix(np.arange(1, 257, dtype=U64) * U64(0xD1342543DE82EF95))
 _powers: list[np.ndarray] = [np.ones(1, U64), np.ones(1, U64)]
 
 
@@ -60,7 +59,9 @@ def span_hashes(codes: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.n
     p, q = powers(n)
     total = np.empty(n + 1, U64)
     total[0] = 0
-    np.cumsum(codes * p, out=total[1:])
+    np.multiply(codes, p, out=total[1:], dtype=U64)
+    total[1:] += p  # so that no code counts as nothing
+    np.cumsum(total, out=total)
     return mix((total[ends] - total[starts]) * q[starts] + (ends - starts).astype(U64))
 
 
@@ -86,24 +87,20 @@ def row_ranges(offsets: np.ndarray, limit: int = ROWS_BYTES) -> Iterator[tuple[i
         lo = hi
 
 
-_SPACE = np.zeros(256, bool)
-_SPACE[[0x20, *range(0x09, 0x0E)]] = True
-_LOWER = np.arange(256, dtype=np.uint8)
-_LOWER[ord("A") : ord("Z") + 1] += 32
-
-
 def words(raw: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Starts and ends of the words [^\\x20\\x09-\\x0D]+ of the rows, and how many each row has."""
     n = len(raw)
     if not n:
         return np.empty(0, np.int64), np.empty(0, np.int64), np.zeros(len(offsets) - 1, np.int64)
-    solid = ~_SPACE[raw]
-    first = np.zeros(n + 1, bool)
-    first[offsets] = True
+    solid = (raw - np.uint8(9)) > 4
+    solid &= raw != 0x20
+    edge = offsets[(offsets > 0) & (offsets < n)]
     begin = solid.copy()
-    begin[1:] &= ~solid[:-1] | first[1:n]
+    begin[1:] &= ~solid[:-1]
+    begin[edge] = solid[edge]
     final = solid.copy()
-    final[:-1] &= ~solid[1:] | first[1:n]
+    final[:-1] &= ~solid[1:]
+    final[edge - 1] = solid[edge - 1]
     starts = np.flatnonzero(begin)
     return starts, np.flatnonzero(final) + 1, np.diff(np.searchsorted(starts, offsets))
 
@@ -115,12 +112,19 @@ def word_hashes(raw: np.ndarray, starts: np.ndarray, ends: np.ndarray, lower: bo
         base = starts[at]
         to = max(at + 1, int(np.searchsorted(ends, base + CHUNK, "right")))
         part = raw[base : ends[to - 1]]
-        codes = _BYTE_CODE[_LOWER[part] if lower else part]
-        out[at:to] = span_hashes(codes, starts[at:to] - base, ends[at:to] - base)
+        if lower:
+            part = part + (((part - np.uint8(65)) < 26).view(np.uint8) << np.uint8(5))
+        out[at:to] = span_hashes(part, starts[at:to] - base, ends[at:to] - base)
         at = to
     return out
 
 
+def unique(values: np.ndarray) -> np.ndarray:
+    """Sorted distinct values; sorting beats hashing here."""
+    values = np.sort(values)
+    return values[np.concatenate([[True], values[1:] != values[:-1]])] if len(values) else values
+
+
 # ---- Splits by character class -------------------------------------------------------------------
 
 SPACE, LETTER, NUMBER, OTHER = 0, 1, 2, 3
@@ -142,11 +146,6 @@ def classes() -> np.ndarray:
     return out
 
 
-@lru_cache(1)
-def point_codes() -> np.ndarray:
-    return mix(np.arange(1, 0x110001, dtype=U64) * U64(0xD1342543DE82EF95))
-
-
 def points(texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
     """Code points of texts, and row offsets."""
     joined = "".join(texts)

@@ -13,6 +13,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import types as T
 
 from . import textnum as tn
+from .pieces import distinct
 
 ROOT = 0
 
@@ -104,7 +105,7 @@ def count_batch(machine: LongestMatch, column: pa.Array) -> tuple[np.ndarray, np
         starts, ends, per_row = tn.words(part, off)
         if not len(starts):
             continue
-        _, pick, back = np.unique(tn.word_hashes(part, starts, ends, lower=False), return_index=True, return_inverse=True)
+        _, pick, back = distinct(tn.word_hashes(part, starts, ends, lower=False))
         each = machine.counts(part, starts[pick], ends[pick])[back]
         total = np.concatenate([[0], np.cumsum(each)])
         edge = np.concatenate([[0], np.cumsum(per_row)])
