@@ -12,6 +12,7 @@ from .exact_dedup import exact_dedup
 from .license_scan import SPELLINGS, known_digests, license_scan
 from .minhash_dedup import near_duplicates
 from .packing import pack
+from .suffix_dedup import remove_repeats
 from .token_counts import token_counts
 
 #: Only the vocabulary's place is a parameter; the files stay where they are.
@@ -30,6 +31,11 @@ def op5_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup(table(spark, sf_dir, "documents"))
 
 
+def op6_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    done = remove_repeats(table(spark, sf_dir, "documents"))
+    return done.select("doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256"))
+
+
 def op8_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return license_scan(table(spark, sf_dir, "documents"))
 
@@ -65,6 +71,7 @@ QUERIES = {
     "op1_minhash_dedup": op1_minhash_dedup,
     "op4_packing": op4_packing,
     "op5_exact_dedup": op5_exact_dedup,
+    "op6_suffix_dedup": op6_suffix_dedup,
     "op8_license_scan": op8_license_scan,
     "op9_token_counts": op9_token_counts,
     "op10_chat_format": op10_chat_format,
