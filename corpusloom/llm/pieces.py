@@ -10,7 +10,8 @@ import numpy as np
 
 from . import textnum as tn
 
-Encode = Callable[[np.ndarray, np.ndarray, np.ndarray], tuple[np.ndarray, np.ndarray]]
+#: Values of the words of these numbers, end to end, and how many each has.
+Encode = Callable[[np.ndarray], tuple[np.ndarray, np.ndarray]]
 
 
 def gather(flat: np.ndarray, starts: np.ndarray, counts: np.ndarray) -> np.ndarray:
@@ -30,8 +31,8 @@ class IdCache:
         self.limit = limit
         self.runs: list[tuple[np.ndarray, np.ndarray, np.ndarray]] = []  # sorted keys, starts, ids
 
-    def ids(self, keys: np.ndarray, raw: np.ndarray, starts: np.ndarray, ends: np.ndarray, encode: Encode) -> tuple[np.ndarray, np.ndarray]:
-        """Ids of the distinct keys, whose bytes are raw[start:end], end to end, and how many each has."""
+    def ids(self, keys: np.ndarray, encode: Encode) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of the distinct keys, end to end, and how many each has."""
         n = len(keys)
         place, where = np.full(n, -1, np.int64), np.full(n, -1, np.int64)
         for k, (own, _, _) in enumerate(self.runs):
@@ -43,7 +44,7 @@ class IdCache:
         new = np.flatnonzero(where < 0)
         if len(new):
             order = new[np.argsort(keys[new])]
-            flat, counts = encode(raw, starts[order], ends[order])
+            flat, counts = encode(order)
             edge = np.concatenate([[0], np.cumsum(counts)]).astype(np.int64)
             place[order], where[order] = np.arange(len(order)), len(self.runs)
             self.runs.append((keys[order], edge, flat))
@@ -228,8 +229,9 @@ def utf8_words(texts: list[str], cp: np.ndarray, starts: np.ndarray, ends: np.nd
     return raw, at[starts], at[ends]
 
 
-def span_ids(texts: list[str], split, cache: IdCache, encode: Encode, extra: bool = False) -> tuple[np.ndarray, np.ndarray]:
-    """Ids of all texts end to end, and how many each text has. With extra, id 0 ends every text."""
+def spans(texts: list[str], split) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """The words of all texts: distinct keys; UTF-8 bytes, with the start and end of one word for each
+    key; every word's key number; and how many words each text has."""
     cp, offsets = tn.points(texts)
     starts, ends = split(cp, offsets)
     per_row = np.diff(np.searchsorted(starts, offsets))
@@ -241,13 +243,23 @@ def span_ids(texts: list[str], split, cache: IdCache, encode: Encode, extra: boo
         at = to
     raw, b_starts, b_ends = utf8_words(texts, cp, starts, ends)
     keys, pick, code = distinct(hashes)
-    flat, counts = cache.ids(keys, raw, b_starts[pick], b_ends[pick], encode)
-    edge = np.cumsum(counts) - counts
-    if extra:  # one more word, of the one id 0
-        flat, edge, counts = np.append(flat, 0).astype(flat.dtype), np.append(edge, len(flat)), np.append(counts, 1)
-        code = np.insert(code, np.cumsum(per_row), len(keys))
-        per_row = per_row + 1
+    return keys, raw, b_starts[pick], b_ends[pick], code, per_row
+
+
+def expand(flat: np.ndarray, counts: np.ndarray, code: np.ndarray, per_row: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The values of every word by its key number, end to end, and how many values each text has."""
     each = counts[code]
     total = np.concatenate([[0], np.cumsum(each)])
     row_edge = np.concatenate([[0], np.cumsum(per_row)])
-    return gather(flat, edge[code], each), np.diff(total[row_edge])
+    return gather(flat, (np.cumsum(counts) - counts)[code], each), np.diff(total[row_edge])
+
+
+def span_ids(texts: list[str], split, cache: IdCache, encode, extra: bool = False) -> tuple[np.ndarray, np.ndarray]:
+    """Ids of all texts end to end, and how many each text has. With extra, id 0 ends every text."""
+    keys, raw, starts, ends, code, per_row = spans(texts, split)
+    flat, counts = cache.ids(keys, lambda new: encode(raw, starts[new], ends[new]))
+    if extra:  # one more word, of the one id 0
+        flat, counts = np.append(flat, 0).astype(flat.dtype), np.append(counts, 1)
+        code = np.insert(code, np.cumsum(per_row), len(keys))
+        per_row = per_row + 1
+    return expand(flat, counts, code, per_row)

@@ -6,6 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from .byte_bpe import bpe_round_trip
 from .chat_format import as_text_parts, format_chats, parse_chats
 from .common import table
 from .exact_dedup import exact_dedup
@@ -36,6 +37,10 @@ def op6_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return done.select("doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256"))
 
 
+def op7_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return bpe_round_trip(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_multi_50k.tiktoken"))
+
+
 def op8_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return license_scan(table(spark, sf_dir, "documents"))
 
@@ -72,6 +77,7 @@ QUERIES = {
     "op4_packing": op4_packing,
     "op5_exact_dedup": op5_exact_dedup,
     "op6_suffix_dedup": op6_suffix_dedup,
+    "op7_byte_bpe": op7_byte_bpe,
     "op8_license_scan": op8_license_scan,
     "op9_token_counts": op9_token_counts,
     "op10_chat_format": op10_chat_format,
