@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from . import textnum as tn
-from .common import checkpoint, small_side
+from .common import checkpoint, modest_batches, small_side
 from .components import connected_components
 
 U64 = np.uint64
@@ -26,7 +26,8 @@ class NearDup:
     """``words`` in a shingle; documents link at ``100 * |A & B| >= percent * |A | B|``.
 
     ``bands`` of ``rows`` signature coordinates: at 80 percent, 32 bands of 5 miss a link with a
-    probability of 3e-6. ``universe`` is the length of the two permutations, a power of two.
+    probability of 3e-6. ``universe`` is the length of the two permutations, a power of two. Buckets of
+    more than ``tile`` members are compared in tiles of about so many by so many.
     """
 
     words: int = 2
@@ -34,6 +35,7 @@ class NearDup:
     bands: int = 32
     rows: int = 5
     universe: int = 1 << 20
+    tile: int = 128
     seed: int = 20
 
 
@@ -182,6 +184,59 @@ def measured(pairs: DataFrame, sets: DataFrame) -> DataFrame:
     return both.mapInArrow(run, schema)
 
 
+def _tiles(outside: DataFrame, members: DataFrame, p: NearDup) -> DataFrame:
+    """Links (a, b) that join components, between the outside rows of large buckets and all their members.
+
+    Both sides are dealt into chunks by hash; a task sees one chunk of each, and returns links that
+    its chunk needs, not pairs. A pair is measured only in the first bucket that it shares.
+    """
+
+    def chunked(df: DataFrame, name: str) -> DataFrame:
+        parts = df.groupBy("bucket").agg(F.ceil(F.count(F.lit(1)) / F.lit(p.tile)).alias("parts"))
+        return df.join(parts, "bucket").groupBy("bucket", F.pmod(F.xxhash64("rep"), F.col("parts")).alias(f"{name}_part")).agg(F.collect_list(F.struct("rep", "comp", "n", "bands", "members")).alias(name))
+
+    pairs = chunked(outside, "x").join(chunked(members, "y"), "bucket").select("bucket", "x", "y")
+
+    def fields(column: pa.Array, i: int) -> tuple[list, list, np.ndarray, np.ndarray, list[np.ndarray]]:
+        own = column[i].values
+        sets = [np.frombuffer(v.as_buffer(), U64) for v in own.field("members")]
+        bands = own.field("bands").flatten().to_numpy().reshape(len(own), -1)
+        return own.field("rep").to_pylist(), own.field("comp").to_pylist(), own.field("n").to_numpy(), bands, sets
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            found: list[tuple] = []
+            for i in range(batch.num_rows):
+                bucket = batch.column(0)[i].as_py()
+                x_rep, x_comp, x_n, x_bands, x_sets = fields(batch.column(1), i)
+                y_rep, y_comp, y_n, y_bands, y_sets = fields(batch.column(2), i)
+                flat = np.concatenate(y_sets)
+                edge = np.concatenate([[0], np.cumsum([len(v) for v in y_sets])])
+                parent = {c: c for c in [*x_comp, *y_comp]}
+
+                def root(c, parent=parent):
+                    while parent[c] != c:
+                        parent[c] = c = parent[parent[c]]
+                    return c
+
+                for k, own in enumerate(x_sets):
+                    band = int(np.argmax(x_bands[k] == bucket))
+                    hits = np.searchsorted(own, flat)
+                    hits[hits == len(own)] = 0
+                    shared = np.add.reduceat((own[hits] == flat).astype(np.int64), edge[:-1])
+                    linked = 100 * shared >= p.percent * (x_n[k] + y_n - shared)
+                    linked &= ~(y_bands[:, :band] == x_bands[k][:band]).any(axis=1)
+                    for j in np.flatnonzero(linked).tolist():
+                        u, v = root(x_comp[k]), root(y_comp[j])
+                        if u != v:
+                            parent[max(u, v)] = min(u, v)
+                            found.append((x_rep[k], y_rep[j]))
+            yield pa.RecordBatch.from_arrays([pa.array([a for a, _ in found], batch.column(1).type.value_type.field("rep").type), pa.array([b for _, b in found], batch.column(1).type.value_type.field("rep").type)], names=["a", "b"])
+
+    kind = members.schema["rep"].dataType
+    return pairs.mapInArrow(run, T.StructType([T.StructField("a", kind), T.StructField("b", kind)]))
+
+
 def _linked(p: NearDup):
     return F.expr(f"100 * shared >= {p.percent} * (n_a + n_b - shared)")
 
@@ -203,8 +258,9 @@ def near_duplicates(docs: DataFrame, params: NearDup | None = None, id_col: str
        intersections of full sets confirm links; connected components join them.
     3. Members of a bucket outside its least id's component are compared with every other member
        that the sizes and the triangle inequality of the Jaccard distance do not exclude, given both
-       exact distances to the least id. So every pair that shares a bucket is confirmed, excluded by
-       a bound, or already in one component.
+       exact distances to the least id. Large buckets do this in tiles, which return only links that
+       join components. So every pair that shares a bucket is confirmed, excluded by a bound, or
+       already in one component.
 
     Sets are recomputed only for documents in some pair. Hot buckets and hot centres meet joins that
     AQE may split; nothing is grouped in one task.
@@ -215,13 +271,14 @@ def near_duplicates(docs: DataFrame, params: NearDup | None = None, id_col: str
     long texts are processed whole. An empty table gives an empty result. Other columns are ignored.
     """
     p = params or NearDup()
+    modest_batches(docs)
     sets = checkpoint(sketches(docs, p, id_col, text_col))
     some = sets.filter("n > 0 AND id IS NOT NULL")
     nodes = some.groupBy("h1", "h2", "n").agg(F.min("id").alias("rep"), F.first("bands").alias("bands"))
     nodes = checkpoint(nodes)
     rows = nodes.select("rep", "n", F.explode("bands").alias("bucket"))
-    shared = rows.groupBy("bucket").agg(F.min("rep").alias("center"), F.count(F.lit(1)).alias("m")).filter("m > 1").select("bucket", "center")
-    buckets = checkpoint(rows.join(shared, "bucket").select("bucket", "center", "rep", "n"))
+    shared = rows.groupBy("bucket").agg(F.min("rep").alias("center"), F.count(F.lit(1)).alias("m")).filter("m > 1")
+    buckets = checkpoint(rows.join(shared, "bucket").select("bucket", "center", "rep", "n", "m"))
     sizes = buckets.filter("rep = center").select(F.col("bucket").alias("c_bucket"), F.col("n").alias("n_c")).distinct()
     stars = (
         buckets.filter("rep <> center").join(sizes, F.col("bucket") == F.col("c_bucket"))
@@ -255,8 +312,9 @@ def near_duplicates(docs: DataFrame, params: NearDup | None = None, id_col: str
     placed = placed.withColumn("d", F.when(F.col("rep") == F.col("center"), F.lit(0.0)).otherwise(F.col("d")))
     outside = placed.filter("comp <> c_comp").select("bucket", F.col("rep").alias("x"), F.col("comp").alias("x_comp"), F.col("n").alias("x_n"), F.col("d").alias("x_d"), F.col("c_comp").alias("x_c_comp"))
     limit = 1 - p.percent / 100 + 1e-9
+    few = placed.filter(F.col("rep") != F.col("center")).filter(F.col("m") <= p.tile).select("bucket", "rep", "comp", "c_comp", "n", "d")
     rest = (
-        outside.join(placed.filter("rep <> center").select("bucket", "rep", "comp", "c_comp", "n", "d"), "bucket")
+        outside.join(few, "bucket")
         .filter(F.col("x_comp") != F.col("comp"))
         .filter((F.col("comp") == F.col("c_comp")) | (F.col("x") < F.col("rep")))
         .filter(_similar_size(p, "n", "x_n"))
@@ -264,7 +322,9 @@ def near_duplicates(docs: DataFrame, params: NearDup | None = None, id_col: str
         .select(F.least("x", "rep").alias("a"), F.greatest("x", "rep").alias("b")).distinct()
         .join(first.select("a", "b"), ["a", "b"], "left_anti")
     )
-    second = checkpoint(confirmed(rest)).filter("linked").select("a", "b")
+    crowded = placed.filter(F.col("m") > p.tile).join(whole.select(F.col("id").alias("rep"), "members"), "rep").join(nodes.select("rep", "bands"), "rep")
+    tiled = _tiles(crowded.filter("comp <> c_comp"), crowded, p)
+    second = checkpoint(confirmed(rest).filter("linked").select("a", "b").unionByName(tiled))
     bridges = labelled(labelled(second, "a", "u"), "b", "v").select(F.col("u").alias("a"), F.col("v").alias("b"))
     merged = connected_components(bridges).select(F.col("node").alias("m_node"), F.col("component").alias("m_component"))
     final = labelled(nodes.select("h1", "h2", "n", "rep"), "rep", "comp").join(merged, F.col("comp") == F.col("m_node"), "left").select("h1", "h2", "n", F.coalesce("m_component", "comp").alias("component"))
