@@ -15,6 +15,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import types as T
 
 from . import textnum as tn
+from .common import modest_batches
 from .pieces import IdCache, expand, gather, spans
 
 #: Words merged by one recursive query; every step's rows are held until the query ends.
@@ -217,6 +218,7 @@ def bpe_round_trip(docs: DataFrame, rank_path: str, id_col: str = "doc_id", text
                     cols.append(pa.ListArray.from_arrays(pa.array(at.astype(np.int32)), pa.array(ids.astype(np.int32))))
                 yield pa.RecordBatch.from_arrays(cols, names=schema.names)
 
+    modest_batches(docs)
     schema = T.StructType([T.StructField(id_col, docs.schema[id_col].dataType), T.StructField("n_tokens", T.LongType()), T.StructField("ids_sha256", T.StringType()), T.StructField("decoded_sha256", T.StringType())])
     if with_ids:
         schema = schema.add("ids", T.ArrayType(T.IntegerType()))

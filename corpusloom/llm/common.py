@@ -17,6 +17,13 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def modest_batches(df: DataFrame, rows: int = 1000) -> None:
+    """Hand texts to Python in batches of at most so many rows; the default of 10,000 holds far more memory."""
+    conf = df.sparkSession.conf
+    if int(conf.get("spark.sql.execution.arrow.maxRecordsPerBatch")) > rows:
+        conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(rows))
+
+
 def checkpoint(df: DataFrame) -> DataFrame:
     """Cut the lineage through the shared folder the session names in spark.checkpoint.dir.
 

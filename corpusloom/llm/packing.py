@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from . import textnum as tn
-from .common import checkpoint
+from .common import checkpoint, modest_batches
 from .pieces import IdCache, pair_merges, span_ids
 
 CAPACITY = 2048
@@ -273,6 +273,7 @@ def pack(docs: DataFrame, tokenizer_path: str, id_col: str = "doc_id", text_col:
     result. Other columns are ignored, whatever their names.
     """
     e = evolution or Evolution()
+    modest_batches(docs)
     pieces = checkpoint(tokenized_pieces(docs, tokenizer_path, id_col, text_col, capacity))
     whole = pieces.filter(F.col("length") == capacity)
     part = pieces.filter(F.col("length") < capacity)

@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from . import textnum as tn
-from .common import checkpoint, release, small_side
+from .common import checkpoint, modest_batches, release, small_side
 from .suffix_order import PERIOD, suffix_order, words_at
 
 U64 = np.uint64
@@ -22,12 +22,14 @@ U64 = np.uint64
 @dataclass(frozen=True)
 class Repeats:
     """``length``: bytes of a repeat. ``gram``: bytes of an anchor. ``crowd``: documents beyond which
-    an anchor's passages are dealt out window by window. ``bucket_bytes``: text behind one bucket."""
+    an anchor's passages are dealt out window by window. ``bucket_bytes``: text behind one bucket.
+    ``segments``: distinct pieces of text whose windows are sorted together."""
 
     length: int = 50
     gram: int = 16
     crowd: int = 4096
-    bucket_bytes: int = 48 << 20
+    bucket_bytes: int = 24 << 20
+    segments: int = 20_000
 
 
 #: A chunk's positions fit in 16 bits, which leave 48 for an anchor's hash.
@@ -87,7 +89,7 @@ def _anchors(docs: DataFrame, p: Repeats, n_buckets: int) -> DataFrame:
     """A row per block of text and bucket of anchor hashes: the block's distinct (anchor, document)
     pairs, sorted, as hash << 16 | number, and the documents of these numbers."""
 
-    def block(ids: np.ndarray, uids: np.ndarray, found: list[np.ndarray]) -> pa.RecordBatch:
+    def block(uids: np.ndarray, found: list[np.ndarray]) -> pa.RecordBatch:
         pairs = tn.unique(np.concatenate(found))
         cuts = np.searchsorted(pairs, (np.arange(n_buckets + 1, dtype=np.float64) * (2.0**64 / n_buckets)).clip(max=2.0**64 - 4096).astype(U64))
         cuts[-1] = len(pairs)
@@ -97,37 +99,37 @@ def _anchors(docs: DataFrame, p: Repeats, n_buckets: int) -> DataFrame:
             used = tn.unique(x & U64(0xFFFF)).astype(np.int64)
             renumber = np.zeros(1 << 16, U64)
             renumber[used] = np.arange(len(used), dtype=U64)
-            table.append((((x & ~U64(0xFFFF)) | renumber[(x & U64(0xFFFF)).astype(np.int64)]).tobytes(), np.stack([ids[used], uids[used]]).tobytes()))
+            table.append((((x & ~U64(0xFFFF)) | renumber[(x & U64(0xFFFF)).astype(np.int64)]).tobytes(), uids[used].tobytes()))
         return pa.RecordBatch.from_arrays([pa.array([b for b, _ in rows], pa.int32()), pa.array([x for x, _ in table], pa.binary()), pa.array([y for _, y in table], pa.binary())], names=["bucket", "pairs", "documents"])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            ids, uids = (batch.column(c).to_numpy(zero_copy_only=False) for c in (0, 1))
-            raw, offsets = tn.utf8(batch.column(2))
-            for lo in range(0, len(ids), 1 << 16):
-                hi = min(len(ids), lo + (1 << 16))
+            uids = batch.column(0).to_numpy(zero_copy_only=False)
+            raw, offsets = tn.utf8(batch.column(1))
+            for lo in range(0, len(uids), 1 << 16):
+                hi = min(len(uids), lo + (1 << 16))
                 found, held = [], 0
                 for row, part, edges, _ in chunks(raw[offsets[lo] : offsets[hi]], offsets[lo : hi + 1] - offsets[lo], p):
                     h, r, *_ = anchor_runs(part, edges, p)
                     if len(h):
                         found.append((h << U64(16)) | (r + row).astype(U64))
                         held += len(h)
-                    if held > 3_000_000:
-                        yield block(ids[lo:hi], uids[lo:hi], found)
+                    if held > 1_500_000:
+                        yield block(uids[lo:hi], found)
                         found, held = [], 0
                 if found:
-                    yield block(ids[lo:hi], uids[lo:hi], found)
+                    yield block(uids[lo:hi], found)
 
-    return docs.select("id", "uid", "text").mapInArrow(run, "bucket int, pairs binary, documents binary")
+    return docs.select("uid", "text").mapInArrow(run, "bucket int, pairs binary, documents binary")
 
 
 def _shared(anchors: DataFrame, p: Repeats) -> DataFrame:
-    """``id, uid, anchor, crowded`` for the anchors that two documents or more hold."""
+    """``uid, anchor, crowded`` for the anchors that two documents or more hold."""
 
     def run(rows: pd.DataFrame) -> pd.DataFrame:
         keys = [np.frombuffer(x, U64) for x in rows["pairs"]]
-        docs = [np.frombuffer(x, np.int64).reshape(2, -1) for x in rows["documents"]]
-        base = np.concatenate([[0], np.cumsum([d.shape[1] for d in docs])])
+        docs = [np.frombuffer(x, np.int64) for x in rows["documents"]]
+        base = np.concatenate([[0], np.cumsum([len(d) for d in docs])])
         number = np.concatenate([(k & U64(0xFFFF)).astype(np.int64) + b for k, b in zip(keys, base, strict=False)])
         anchor = np.concatenate(keys) >> U64(16)
         order = np.argsort(anchor, kind="stable")
@@ -136,11 +138,10 @@ def _shared(anchors: DataFrame, p: Repeats) -> DataFrame:
         count = np.diff(np.append(head, len(anchor)))
         many = np.repeat(count, count)
         keep = many > 1
-        both = np.concatenate(docs, axis=1)[:, number[keep]]
         # A block that was cut within a document may name it twice; that costs a little, and changes nothing.
-        return pd.DataFrame({"id": both[0], "uid": both[1], "anchor": anchor[keep].view(np.int64), "crowded": many[keep] > p.crowd})
+        return pd.DataFrame({"uid": np.concatenate(docs)[number[keep]], "anchor": anchor[keep].view(np.int64), "crowded": many[keep] > p.crowd})
 
-    return anchors.groupBy("bucket").applyInPandas(run, "id long, uid long, anchor long, crowded boolean")
+    return anchors.groupBy("bucket").applyInPandas(run, "uid long, anchor long, crowded boolean")
 
 
 SEGMENT = "bucket int, anchor long, id long, uid long, start long, lead int, windows int, c1 long, c2 long, bytes binary"
@@ -252,7 +253,7 @@ def _removals(segments: DataFrame, p: Repeats) -> DataFrame:
         several[:-1] |= own[1:] == own[:-1]
         pick = head[several]
         data = rows["bytes"].to_numpy()
-        step = max(1, (32 << 20) // (2 * p.length))
+        step = p.segments
         cuts = [0]
         group = np.flatnonzero(np.concatenate([[True], own[several][1:] != own[several][:-1]])) if len(pick) else np.empty(0, np.int64)
         while len(pick) and cuts[-1] < len(pick):  # whole anchors, about step segments at once
@@ -280,24 +281,26 @@ def _removals(segments: DataFrame, p: Repeats) -> DataFrame:
 
 
 def _cut(docs: DataFrame) -> DataFrame:
-    """Apply the removals of ``id, text, removals``."""
+    """Apply the removals of ``id, text, removals``; those of another id (whose key is the same by chance) are not its own."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
+            ids = batch.column(0).to_pylist()
             raw, offsets = tn.utf8(batch.column(1))
             lists = batch.column(2)
             kept, sizes, removed, spans = [], [], [], []
             for i in range(batch.num_rows):
                 text = raw[offsets[i] : offsets[i + 1]]
                 pairs = lists[i].values
-                if pairs is None or not len(pairs):
+                if ids[i] is None or pairs is None or not len(pairs):
                     kept.append(text.tobytes())
                     removed.append(0)
                     spans.append(0)
                 else:
                     depth = np.zeros(len(text) + 1, np.int64)
-                    np.add.at(depth, pairs.field(0).to_numpy(), 1)
-                    np.add.at(depth, pairs.field(1).to_numpy(), -1)
+                    own = pairs.field(2).to_numpy() == ids[i]
+                    np.add.at(depth, pairs.field(0).to_numpy()[own], 1)
+                    np.add.at(depth, pairs.field(1).to_numpy()[own], -1)
                     gone = np.cumsum(depth[:-1]) > 0
                     kept.append(text[~gone].tobytes())
                     removed.append(int(gone.sum()))
@@ -330,6 +333,7 @@ def remove_repeats(docs: DataFrame, params: Repeats | None = None, id_col: str =
     that overlap. An empty table gives an empty result. Other columns are ignored.
     """
     p = params or Repeats()
+    modest_batches(docs)
     spark = docs.sparkSession
     rows = docs.select(F.col(id_col).cast("long").alias("id"), F.coalesce(F.col(text_col), F.lit("")).alias("text")).withColumn("uid", F.xxhash64("id", F.sha2(F.col("text").cast("binary"), 256)))
     facts = checkpoint(rows.select("id", "uid", F.octet_length("text").cast("long").alias("n_bytes"), F.sha2(F.col("text").cast("binary"), 256).alias("sha")).groupBy("id", "uid", "n_bytes", "sha").agg(F.count(F.lit(1)).alias("times")))
@@ -339,21 +343,21 @@ def remove_repeats(docs: DataFrame, params: Repeats | None = None, id_col: str =
     copies = checkpoint(facts.filter(f"n_bytes >= {p.length}").join(heads, "sha").filter("id > head").select("id", "uid", "n_bytes"))
     skip = small_side(copies.select("id", "uid"), 32)
     live = rows.join(skip, ["id", "uid"], "left_anti")
-    by_uid = live.repartition(n_buckets, "uid", "id")
+    by_uid = live.repartition(n_buckets, "uid")
 
     shared = _shared(_anchors(live.filter("id IS NOT NULL"), p, n_buckets), p)
-    hot = checkpoint(shared.groupBy("id", "uid").agg(F.collect_list(F.when(~F.col("crowded"), F.col("anchor"))).alias("anchors"), F.collect_list(F.when(F.col("crowded"), F.col("anchor"))).alias("crowded")))
+    hot = checkpoint(shared.groupBy("uid").agg(F.collect_list(F.when(~F.col("crowded"), F.col("anchor"))).alias("anchors"), F.collect_list(F.when(F.col("crowded"), F.col("anchor"))).alias("crowded")))
     release(spark)
 
-    plain = by_uid.join(hot.filter(F.size("anchors") > 0).select("id", "uid", "anchors"), ["uid", "id"])
+    plain = by_uid.join(hot.filter(F.size("anchors") > 0).select("uid", "anchors"), "uid")
     removals = _removals(_segments(plain, p, n_buckets, crowded=False), p)
     if not hot.filter(F.size("crowded") > 0).isEmpty():
-        crowd = by_uid.join(hot.filter(F.size("crowded") > 0).select("id", "uid", F.col("crowded").alias("anchors")), ["uid", "id"])
+        crowd = by_uid.join(hot.filter(F.size("crowded") > 0).select("uid", F.col("crowded").alias("anchors")), "uid")
         each = checkpoint(_segments(crowd, p, n_buckets, crowded=True).select("id", "uid", "start", "c1", "c2"))
         least = each.groupBy("c1", "c2").agg(F.min("id").alias("least"))
         removals = removals.unionByName(each.join(least, ["c1", "c2"]).filter("id > least").select("id", "uid", "start", (F.col("start") + p.length).alias("end")))
-    removals = removals.groupBy("id", "uid").agg(F.collect_list(F.struct("start", "end")).alias("removals"))
+    removals = removals.groupBy("uid").agg(F.collect_list(F.struct("start", "end", "id")).alias("removals"))
     once = by_uid.dropDuplicates(["id", "uid"]) if (times or 0) > 1 else by_uid
-    cut = _cut(once.join(removals, ["uid", "id"], "left"))
+    cut = _cut(once.join(removals, "uid", "left"))
     gone = copies.select("id", "n_bytes", F.col("n_bytes").alias("n_removed"), F.lit(1).cast("long").alias("n_spans"), F.lit(b"").alias("kept"))
     return cut.unionByName(gone).withColumnRenamed("id", id_col)

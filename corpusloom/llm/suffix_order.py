@@ -16,7 +16,7 @@ U64 = np.uint64
 #: A perfect difference set modulo 31.
 PERIOD, COVER = 31, (0, 1, 3, 8, 12, 18)
 #: Suffixes sorted at once.
-BUCKET = 1 << 20
+BUCKET = 1 << 18
 
 _IN_COVER = np.zeros(PERIOD, bool)
 _IN_COVER[list(COVER)] = True

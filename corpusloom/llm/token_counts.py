@@ -13,6 +13,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import types as T
 
 from . import textnum as tn
+from .common import modest_batches
 from .pieces import distinct
 
 ROOT = 0
@@ -132,5 +133,6 @@ def token_counts(docs: DataFrame, vocabulary_path: str, id_col: str = "doc_id",
             n_words, n_tokens = count_batch(machine, batch.column(1))
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(n_words), pa.array(n_tokens)], names=[id_col, "n_words", "n_tokens"])
 
+    modest_batches(docs)
     schema = T.StructType([T.StructField(id_col, kind), T.StructField("n_words", T.LongType()), T.StructField("n_tokens", T.LongType())])
     return docs.select(id_col, text_col).mapInArrow(run, schema)
