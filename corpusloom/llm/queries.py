@@ -6,10 +6,12 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from .ann_search import search
 from .byte_bpe import bpe_round_trip
 from .chat_format import as_text_parts, format_chats, parse_chats
 from .common import table
 from .exact_dedup import exact_dedup
+from .language_crf import identify, train
 from .license_scan import SPELLINGS, known_digests, license_scan
 from .minhash_dedup import near_duplicates
 from .packing import pack
@@ -24,6 +26,22 @@ def op1_minhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(table(spark, sf_dir, "documents"))
 
 
+def op2_ann_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return search(table(spark, sf_dir, "embeddings"), "id % 20 = 0")
+
+
+def held_out(column: str = "doc_id"):
+    """Whether a document may not be learned from."""
+    return F.crc32(F.col(column).cast("string").cast("binary")) % 3 == 1
+
+
+def op3_language_crf(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    model = train(docs.filter(~held_out()))
+    found = identify(docs, model)
+    return found.select("doc_id", held_out().alias("held_out"), "lang_pred", "score", "n_words")
+
+
 def op4_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pack(table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"))
 
@@ -74,6 +92,8 @@ def op10_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {
     "op1_minhash_dedup": op1_minhash_dedup,
+    "op2_ann_search": op2_ann_search,
+    "op3_language_crf": op3_language_crf,
     "op4_packing": op4_packing,
     "op5_exact_dedup": op5_exact_dedup,
     "op6_suffix_dedup": op6_suffix_dedup,
