@@ -34,6 +34,8 @@ class Repeats:
 
 #: A chunk's positions fit in 16 bits, which leave 48 for an anchor's hash.
 CHUNK = 60_000
+#: Parts of a bucket's range of anchors that are counted one after the other.
+PARTS = 8
 _MULT = U64(0x9FB21C651E98DF25)
 
 
@@ -114,11 +116,12 @@ def _anchors(docs: DataFrame, p: Repeats, n_buckets: int) -> DataFrame:
                     if len(h):
                         found.append((h << U64(16)) | (r + row).astype(U64))
                         held += len(h)
-                    if held > 1_500_000:
+                    if held > 1_000_000:
                         yield block(uids[lo:hi], found)
                         found, held = [], 0
                 if found:
                     yield block(uids[lo:hi], found)
+            tn.trim()
 
     return docs.select("uid", "text").mapInArrow(run, "bucket int, pairs binary, documents binary")
 
@@ -129,17 +132,27 @@ def _shared(anchors: DataFrame, p: Repeats) -> DataFrame:
     def run(rows: pd.DataFrame) -> pd.DataFrame:
         keys = [np.frombuffer(x, U64) for x in rows["pairs"]]
         docs = [np.frombuffer(x, np.int64) for x in rows["documents"]]
-        base = np.concatenate([[0], np.cumsum([len(d) for d in docs])])
-        number = np.concatenate([(k & U64(0xFFFF)).astype(np.int64) + b for k, b in zip(keys, base, strict=False)])
-        anchor = np.concatenate(keys) >> U64(16)
-        order = np.argsort(anchor, kind="stable")
-        anchor, number = anchor[order], number[order]
-        head = np.flatnonzero(np.concatenate([[True], anchor[1:] != anchor[:-1]]))
-        count = np.diff(np.append(head, len(anchor)))
-        many = np.repeat(count, count)
-        keep = many > 1
-        # A block that was cut within a document may name it twice; that costs a little, and changes nothing.
-        return pd.DataFrame({"uid": np.concatenate(docs)[number[keep]], "anchor": anchor[keep].view(np.int64), "crowded": many[keep] > p.crowd})
+        least, most = min(int(k[0]) for k in keys), max(int(k[-1]) for k in keys)
+        # Blocks are sorted, so one part of the bucket's range is taken at a time.
+        cuts = [least + (most - least) * i // PARTS >> 16 << 16 for i in range(1, PARTS)]
+        edges = [np.concatenate([[0], np.searchsorted(k, np.array(cuts, U64)), [len(k)]]) for k in keys]
+        out = []
+        for i in range(PARTS):
+            some = [k[e[i] : e[i + 1]] for k, e in zip(keys, edges, strict=True)]
+            anchor = np.concatenate(some) >> U64(16)
+            uid = np.concatenate([d[(k & U64(0xFFFF)).astype(np.int64)] for k, d in zip(some, docs, strict=True)])
+            order = np.argsort(anchor, kind="stable")
+            anchor = anchor[order]
+            head = np.flatnonzero(np.concatenate([[True], anchor[1:] != anchor[:-1]])) if len(anchor) else np.empty(0, np.int64)
+            count = np.diff(np.append(head, len(anchor)))
+            many = np.repeat(count, count)
+            keep = many > 1
+            # A block that was cut within a document may name it twice; that costs a little, and changes nothing.
+            out.append((uid[order[keep]], anchor[keep].view(np.int64), many[keep] > p.crowd))
+        found = [np.concatenate([o[c] for o in out]) for c in range(3)]
+        del keys, docs, edges, some, anchor, uid, order, many, keep, out
+        tn.trim()
+        return pd.DataFrame({"uid": found[0], "anchor": found[1], "crowded": found[2]})
 
     return anchors.groupBy("bucket").applyInPandas(run, "uid long, anchor long, crowded boolean")
 
@@ -275,6 +288,7 @@ def _removals(segments: DataFrame, p: Repeats) -> DataFrame:
             each = same[np.repeat(edge[number] - (np.cumsum(many) - many), many) + np.arange(int(many.sum()))]
             out.append((each, start[each] + np.repeat(lo, many), start[each] + np.repeat(hi, many)))
         at = np.concatenate([o[0] for o in out])
+        tn.trim()
         return pd.DataFrame({"id": ids[at], "uid": rows["uid"].to_numpy()[at], "start": np.concatenate([o[1] for o in out]), "end": np.concatenate([o[2] for o in out]) + p.length})
 
     return segments.groupBy("bucket").applyInPandas(run, "id long, uid long, start long, end long")
@@ -350,7 +364,7 @@ def remove_repeats(docs: DataFrame, params: Repeats | None = None, id_col: str =
     release(spark)
 
     plain = by_uid.join(hot.filter(F.size("anchors") > 0).select("uid", "anchors"), "uid")
-    removals = _removals(_segments(plain, p, n_buckets, crowded=False), p)
+    removals = _removals(_segments(plain, p, 4 * n_buckets, crowded=False), p)
     if not hot.filter(F.size("crowded") > 0).isEmpty():
         crowd = by_uid.join(hot.filter(F.size("crowded") > 0).select("uid", F.col("crowded").alias("anchors")), "uid")
         each = checkpoint(_segments(crowd, p, n_buckets, crowded=True).select("id", "uid", "start", "c1", "c2"))
