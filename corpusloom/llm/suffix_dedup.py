@@ -294,7 +294,7 @@ def _removals(segments: DataFrame, p: Repeats) -> DataFrame:
     return segments.groupBy("bucket").applyInPandas(run, "id long, uid long, start long, end long")
 
 
-def _cut(docs: DataFrame) -> DataFrame:
+def _cut(docs: DataFrame, whole_chars: bool) -> DataFrame:
     """Apply the removals of ``id, text, removals``; those of another id (whose key is the same by chance) are not its own."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -316,20 +316,25 @@ def _cut(docs: DataFrame) -> DataFrame:
                     np.add.at(depth, pairs.field(0).to_numpy()[own], 1)
                     np.add.at(depth, pairs.field(1).to_numpy()[own], -1)
                     gone = np.cumsum(depth[:-1]) > 0
+                    if whole_chars:  # a character that loses a byte goes
+                        char = np.cumsum((text & 0xC0) != 0x80) - 1
+                        gone = (np.bincount(char, gone) > 0)[char]
                     kept.append(text[~gone].tobytes())
                     removed.append(int(gone.sum()))
                     spans.append(int(gone[0]) + int((gone[1:] & ~gone[:-1]).sum()))
                 sizes.append(len(text))
-            yield pa.RecordBatch.from_arrays([batch.column(0), *(pa.array(x, pa.int64()) for x in (sizes, removed, spans)), pa.array(kept, pa.binary())], names=["id", "n_bytes", "n_removed", "n_spans", "kept"])
+            yield pa.RecordBatch.from_arrays([batch.column(0), *(pa.array(x, pa.int64()) for x in (sizes, removed, spans)), pa.array(kept, pa.binary()), batch.column(3)], names=schema.names)
 
-    return docs.select("id", "text", "removals").mapInArrow(run, "id long, n_bytes long, n_removed long, n_spans long, kept binary")
+    schema = T.StructType([T.StructField(c, T.LongType()) for c in ("id", "n_bytes", "n_removed", "n_spans")]).add("kept", T.BinaryType()).add("carried", docs.schema["carried"].dataType)
+    return docs.select("id", "text", "removals", "carried").mapInArrow(run, schema)
 
 
-def remove_repeats(docs: DataFrame, params: Repeats | None = None, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+def remove_repeats(docs: DataFrame, params: Repeats | None = None, id_col: str = "doc_id", text_col: str = "text", carry: tuple[str, ...] = (), whole_chars: bool = False) -> DataFrame:
     """Remove each byte covered by a ``length``-byte string that also starts in a smaller document.
 
-    Returns ``id_col, n_bytes, n_removed, n_spans, kept`` (the bytes that stay). Strings are judged on
-    the input. Ids must be integers.
+    Returns ``id_col, n_bytes, n_removed, n_spans, kept`` (the bytes that stay) and the columns of
+    ``carry``. Strings are judged on the input. Ids must be integers. With ``whole_chars``, a character
+    that loses a byte goes as a whole, so that ``kept`` is UTF-8.
 
     1. Whole copies collapse: a text of a smaller document loses all its bytes elsewhere.
     2. Every window of ``length`` bytes has one anchor, the least-hashed ``gram`` bytes in it. Blocks
@@ -349,7 +354,8 @@ def remove_repeats(docs: DataFrame, params: Repeats | None = None, id_col: str =
     p = params or Repeats()
     modest_batches(docs)
     spark = docs.sparkSession
-    rows = docs.select(F.col(id_col).cast("long").alias("id"), F.coalesce(F.col(text_col), F.lit("")).alias("text")).withColumn("uid", F.xxhash64("id", F.sha2(F.col("text").cast("binary"), 256)))
+    carried = F.struct(*(F.col(c).alias(f"c{i}") for i, c in enumerate(carry))) if carry else F.lit(True)
+    rows = docs.select(F.col(id_col).cast("long").alias("id"), carried.alias("carried"), F.coalesce(F.col(text_col), F.lit("")).alias("text")).withColumn("uid", F.xxhash64("id", F.sha2(F.col("text").cast("binary"), 256)))
     facts = checkpoint(rows.select("id", "uid", F.octet_length("text").cast("long").alias("n_bytes"), F.sha2(F.col("text").cast("binary"), 256).alias("sha")).groupBy("id", "uid", "n_bytes", "sha").agg(F.count(F.lit(1)).alias("times")))
     size, times = facts.agg(F.sum("n_bytes"), F.max("times")).first()
     n_buckets = max(spark.sparkContext.defaultParallelism * 2, -(-(size or 0) // p.bucket_bytes))
@@ -372,6 +378,8 @@ def remove_repeats(docs: DataFrame, params: Repeats | None = None, id_col: str =
         removals = removals.unionByName(each.join(least, ["c1", "c2"]).filter("id > least").select("id", "uid", "start", (F.col("start") + p.length).alias("end")))
     removals = removals.groupBy("uid").agg(F.collect_list(F.struct("start", "end", "id")).alias("removals"))
     once = by_uid.dropDuplicates(["id", "uid"]) if (times or 0) > 1 else by_uid
-    cut = _cut(once.join(removals, "uid", "left"))
-    gone = copies.select("id", "n_bytes", F.col("n_bytes").alias("n_removed"), F.lit(1).cast("long").alias("n_spans"), F.lit(b"").alias("kept"))
-    return cut.unionByName(gone).withColumnRenamed("id", id_col)
+    cut = _cut(once.join(removals, "uid", "left"), whole_chars)
+    lost = copies.withColumn("carried", F.lit(True)) if not carry else copies.join(rows.select("id", "uid", "carried").dropDuplicates(["id", "uid"]), ["id", "uid"])
+    gone = lost.select("id", "n_bytes", F.col("n_bytes").alias("n_removed"), F.lit(1).cast("long").alias("n_spans"), F.lit(b"").alias("kept"), "carried")
+    extra = [F.col(f"carried.c{i}").alias(c) for i, c in enumerate(carry)]
+    return cut.unionByName(gone).select(F.col("id").alias(id_col), "n_bytes", "n_removed", "n_spans", "kept", *extra)
