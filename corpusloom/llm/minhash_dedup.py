@@ -27,7 +27,7 @@ class NearDup:
 
     ``bands`` of ``rows`` signature coordinates: at 80 percent, 32 bands of 5 miss a link with a
     probability of 3e-6. ``universe`` is the length of the two permutations, a power of two. Buckets of
-    more than ``tile`` members are compared in tiles of about so many by so many.
+    more than ``small`` members are compared in tiles of about ``tile`` by ``tile``.
     """
 
     words: int = 2
@@ -35,6 +35,7 @@ class NearDup:
     bands: int = 32
     rows: int = 5
     universe: int = 1 << 20
+    small: int = 24
     tile: int = 128
     seed: int = 20
 
@@ -312,7 +313,7 @@ def near_duplicates(docs: DataFrame, params: NearDup | None = None, id_col: str
     placed = placed.withColumn("d", F.when(F.col("rep") == F.col("center"), F.lit(0.0)).otherwise(F.col("d")))
     outside = placed.filter("comp <> c_comp").select("bucket", F.col("rep").alias("x"), F.col("comp").alias("x_comp"), F.col("n").alias("x_n"), F.col("d").alias("x_d"), F.col("c_comp").alias("x_c_comp"))
     limit = 1 - p.percent / 100 + 1e-9
-    few = placed.filter(F.col("rep") != F.col("center")).filter(F.col("m") <= p.tile).select("bucket", "rep", "comp", "c_comp", "n", "d")
+    few = placed.filter(F.col("rep") != F.col("center")).filter(F.col("m") <= p.small).select("bucket", "rep", "comp", "c_comp", "n", "d")
     rest = (
         outside.join(few, "bucket")
         .filter(F.col("x_comp") != F.col("comp"))
@@ -322,7 +323,7 @@ def near_duplicates(docs: DataFrame, params: NearDup | None = None, id_col: str
         .select(F.least("x", "rep").alias("a"), F.greatest("x", "rep").alias("b")).distinct()
         .join(first.select("a", "b"), ["a", "b"], "left_anti")
     )
-    crowded = placed.filter(F.col("m") > p.tile).join(whole.select(F.col("id").alias("rep"), "members"), "rep").join(nodes.select("rep", "bands"), "rep")
+    crowded = placed.filter(F.col("m") > p.small).join(whole.select(F.col("id").alias("rep"), "members"), "rep").join(nodes.select("rep", "bands"), "rep")
     tiled = _tiles(crowded.filter("comp <> c_comp"), crowded, p)
     second = checkpoint(confirmed(rest).filter("linked").select("a", "b").unionByName(tiled))
     bridges = labelled(labelled(second, "a", "u"), "b", "v").select(F.col("u").alias("a"), F.col("v").alias("b"))
