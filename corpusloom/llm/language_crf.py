@@ -290,7 +290,7 @@ def identify(docs: DataFrame, model: LanguageCRF, id_col: str = "doc_id", text_c
     schema = T.StructType([T.StructField(id_col, docs.schema[id_col].dataType), T.StructField("lang_pred", T.StringType()), T.StructField("score", T.DoubleType()), T.StructField("n_words", T.LongType())])
     run_type = pa.struct([("first", pa.int64()), ("last", pa.int64()), ("lang", pa.string())])
     if with_words:
-        schema = schema.add("words", "array<struct<first:bigint,last:bigint,lang:string>>")
+        schema = schema.add("words", T.ArrayType(T.StructType([T.StructField("first", T.LongType()), T.StructField("last", T.LongType()), T.StructField("lang", T.StringType())])))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         names = np.array([*model.labels, UNDETERMINED], object)
