@@ -7,6 +7,9 @@ from pyspark.sql import functions as F
 
 from .common import SPACES, checkpoint, small_side
 
+#: Members of a group that meet one copy of its head.
+SPREAD = 500
+
 
 def exact_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """Group documents whose texts are identical without white space; the fullest original stays.
@@ -18,7 +21,7 @@ def exact_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
     a group of two or more are then compared byte by byte with the group's representative; a member
     that differs is a collision and is regrouped under its own text, so no collision merges texts.
     Only narrow rows (id, hash, length) are shuffled for the grouping, with partial aggregation; the
-    texts of groups of two or more go through one shuffle whose hot keys AQE may split.
+    texts of groups of two or more go through one shuffle, in which large groups are salted.
 
     Null text counts as empty, and empty texts form one group like any other. A null id sorts after
     every other id. Repeated rows (same id, same normalised text, same length) are one document: they
@@ -39,18 +42,20 @@ def exact_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
     several = small.groupBy("key").agg(
         F.sum("copies").alias("n"),
         F.min(F.struct(F.col("id").isNull().alias("none"), "id", "len")).alias("first"),
-    ).filter("n > 1").select("key", F.col("first.id").alias("first_id"))
+    ).filter("n > 1").select("key", F.col("first.id").alias("first_id"), F.ceil(F.col("n") / F.lit(SPREAD)).cast("int").alias("salts"))
 
     texts = docs.select(F.col(id_col).alias("id"), normal.alias("normal")).select(
         "id", "normal", F.substring(F.sha2(F.col("normal").cast("binary"), 256), 1, 32).alias("key")
     )
-    members = texts.join(small_side(several, 120), "key")
+    members = texts.join(small_side(several, 120), "key").withColumn("salt", F.pmod(F.xxhash64("id"), F.col("salts")).cast("int"))
+    # A large group is dealt over salts, and its head is copied to each.
     heads = (
         members.filter(F.col("id").eqNullSafe(F.col("first_id")))
-        .groupBy("key").agg(F.min("normal").alias("head"))
+        .groupBy("key").agg(F.min("normal").alias("head"), F.max("salts").alias("n"))
+        .select("key", "head", F.explode(F.sequence(F.lit(0), F.col("n") - 1)).alias("salt"))
     )
     collided = (
-        members.join(heads, "key").filter(F.col("normal") != F.col("head"))
+        members.join(heads, ["key", "salt"]).filter(F.col("normal") != F.col("head"))
         .select(F.col("id").alias("c_id"), F.col("key").alias("c_key"), F.sha2(F.col("normal").cast("binary"), 256).alias("c_sha"), F.col("normal").alias("own"))
         .distinct()
     )
