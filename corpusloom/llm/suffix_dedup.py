@@ -169,7 +169,7 @@ def _digests(text: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> tuple[np
 
 def _segments(docs: DataFrame, p: Repeats, n_buckets: int, crowded: bool) -> DataFrame:
     """The text behind each shared anchor of ``id, uid, text, anchors``: from its first window's start to
-    its last window's end. For crowded anchors, a row per window instead, without bytes."""
+    its last window's end. For crowded anchors, digests (128 bits) instead of bytes."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -194,12 +194,9 @@ def _segments(docs: DataFrame, p: Repeats, n_buckets: int, crowded: bool) -> Dat
                 if not hit.any():
                     continue
                 h, r, s0, s1, at = (x[hit] for x in (h, r, s0, s1, at))
-                if crowded:
-                    count = s1 - s0 + 1
-                    first = np.repeat(s0 - (np.cumsum(count) - count), count) + np.arange(int(count.sum()))
-                    h, r, s0, s1, at = np.repeat(h, count), np.repeat(r, count), first, first, first
                 end = s1 + p.length
-                c1, c2 = _digests(part, s0, end)
+                none = pa.nulls(len(h), pa.int64())
+                c1, c2 = map(pa.array, _digests(part, s0, end)) if crowded else (none, none)
                 data = pa.nulls(len(h), pa.binary())
                 if not crowded:
                     size = end - s0
@@ -208,7 +205,7 @@ def _segments(docs: DataFrame, p: Repeats, n_buckets: int, crowded: bool) -> Dat
                     data = pa.Array.from_buffers(pa.binary(), len(h), [None, pa.py_buffer(total.astype(np.int32)), pa.py_buffer(part[pick])])
                 shift = -edges[r] + place
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array((h % U64(n_buckets)).astype(np.int32)), pa.array(h.view(np.int64)), pa.array(ids[row + r]), pa.array(uids[row + r]), pa.array(s0 + shift), pa.array((at - s0).astype(np.int32)), pa.array((s1 - s0 + 1).astype(np.int32)), pa.array(c1), pa.array(c2), data],
+                    [pa.array((h % U64(n_buckets)).astype(np.int32)), pa.array(h.view(np.int64)), pa.array(ids[row + r]), pa.array(uids[row + r]), pa.array(s0 + shift), pa.array((at - s0).astype(np.int32)), pa.array((s1 - s0 + 1).astype(np.int32)), c1, c2, data],
                     names=["bucket", "anchor", "id", "uid", "start", "lead", "windows", "c1", "c2", "bytes"],
                 )
 
@@ -251,6 +248,12 @@ def _removals(segments: DataFrame, p: Repeats) -> DataFrame:
     """``id, uid, start, end``: bytes to remove, bucket by bucket."""
 
     def run(rows: pd.DataFrame) -> pd.DataFrame:
+        raw = np.frombuffer(b"".join(rows["bytes"]), np.uint8)
+        ends = np.cumsum((rows["windows"] + p.length - 1).to_numpy().astype(np.int64))
+        starts = np.concatenate([[0], ends[:-1]])
+        rows["c1"] = tn.word_hashes(raw, starts, ends, lower=False).view(np.int64)
+        rows["c2"] = tn.word_hashes(raw ^ np.uint8(0x5A), starts, ends, lower=False).view(np.int64)
+        del raw
         rows = rows.sort_values(["anchor", "c1", "c2", "lead", "id"], kind="stable")
         anchor, c1, c2, lead, ids = (rows[c].to_numpy() for c in ("anchor", "c1", "c2", "lead", "id"))
         new = np.ones(len(rows), bool)
@@ -294,6 +297,43 @@ def _removals(segments: DataFrame, p: Repeats) -> DataFrame:
     return segments.groupBy("bucket").applyInPandas(run, "id long, uid long, start long, end long")
 
 
+def _windows(docs: DataFrame, p: Repeats) -> DataFrame:
+    """Each window of ``id, uid, text, parts`` (start and number of windows) with its 128-bit digest."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            ids, uids = (batch.column(c).to_numpy(zero_copy_only=False) for c in (0, 1))
+            raw, offsets = tn.utf8(batch.column(2))
+            for i in range(batch.num_rows):
+                parts = batch.column(3)[i].values
+                first, count = parts.field(0).to_numpy(), parts.field(1).to_numpy().astype(np.int64)
+                at = np.repeat(first - (np.cumsum(count) - count), count) + np.arange(int(count.sum()))
+                c1, c2 = _digests(raw[offsets[i] : offsets[i + 1]], at, at + p.length)
+                yield pa.RecordBatch.from_arrays([pa.array(np.full(len(at), ids[i])), pa.array(np.full(len(at), uids[i])), pa.array(at), pa.array(c1), pa.array(c2)], names=["id", "uid", "start", "w1", "w2"])
+
+    return docs.select("id", "uid", "text", "parts").mapInArrow(run, "id long, uid long, start long, w1 long, w2 long")
+
+
+def _crowd_removals(by_uid: DataFrame, hot: DataFrame, p: Repeats, n_buckets: int) -> DataFrame:
+    """``id, uid, start, end`` behind crowded anchors, with no task that gathers one anchor's text.
+
+    Equal segments meet by digest, with partial aggregation of their least document; all others lose
+    the whole segment. Windows are dealt out only for least documents of anchors with several segments.
+    """
+    spark = by_uid.sparkSession
+    crowd = by_uid.join(hot.filter(F.size("crowded") > 0).select("uid", F.col("crowded").alias("anchors")), "uid")
+    found = checkpoint(_segments(crowd, p, n_buckets, crowded=True).select("anchor", "c1", "c2", "id", "uid", "start", "windows"))
+    kinds = checkpoint(found.groupBy("anchor", "c1", "c2").agg(F.min("id").alias("least")))
+    several = kinds.groupBy("anchor").agg(F.count(F.lit(1)).alias("n")).filter("n > 1").select("anchor")
+    tagged = found.join(kinds, ["anchor", "c1", "c2"])
+    whole = tagged.filter("id > least").select("id", "uid", "start", (F.col("start") + F.col("windows") - 1 + p.length).alias("end"))
+    least = tagged.filter("id = least").join(several, "anchor", "left_semi").groupBy("uid").agg(F.collect_list(F.struct("start", "windows")).alias("parts"))
+    each = checkpoint(_windows(by_uid.join(least, "uid"), p))
+    release(spark)
+    first = each.groupBy("w1", "w2").agg(F.min("id").alias("least"))
+    return whole.unionByName(each.join(first, ["w1", "w2"]).filter("id > least").select("id", "uid", "start", (F.col("start") + p.length).alias("end")))
+
+
 def _cut(docs: DataFrame, whole_chars: bool) -> DataFrame:
     """Apply the removals of ``id, text, removals``; those of another id (whose key is the same by chance) are not its own."""
 
@@ -343,8 +383,8 @@ def remove_repeats(docs: DataFrame, params: Repeats | None = None, id_col: str =
        orders the windows of the others by difference-cover blockwise suffix sorting; runs that agree
        on ``length`` bytes show which windows a smaller document holds. Matches are compared byte by
        byte there; equal segments are known by 128 bits.
-    4. An anchor that over ``crowd`` documents share is dealt out by window (128-bit hash) instead,
-       with partial aggregation of the least document, so that no task gathers a hot passage.
+    4. Behind an anchor that over ``crowd`` documents share, equal segments, and then windows, meet by
+       128-bit digest with partial aggregation, so that no task gathers a hot passage.
 
     Null and empty texts, and those under ``length`` bytes, lose nothing. A row of a null id is neither
     compared nor changed. Repeated rows (same id and text) are returned once; different texts of one
@@ -372,10 +412,8 @@ def remove_repeats(docs: DataFrame, params: Repeats | None = None, id_col: str =
     plain = by_uid.join(hot.filter(F.size("anchors") > 0).select("uid", "anchors"), "uid")
     removals = _removals(_segments(plain, p, 4 * n_buckets, crowded=False), p)
     if not hot.filter(F.size("crowded") > 0).isEmpty():
-        crowd = by_uid.join(hot.filter(F.size("crowded") > 0).select("uid", F.col("crowded").alias("anchors")), "uid")
-        each = checkpoint(_segments(crowd, p, n_buckets, crowded=True).select("id", "uid", "start", "c1", "c2"))
-        least = each.groupBy("c1", "c2").agg(F.min("id").alias("least"))
-        removals = removals.unionByName(each.join(least, ["c1", "c2"]).filter("id > least").select("id", "uid", "start", (F.col("start") + p.length).alias("end")))
+        removals = removals.unionByName(_crowd_removals(by_uid, hot, p, n_buckets))
+        release(spark)
     removals = removals.groupBy("uid").agg(F.collect_list(F.struct("start", "end", "id")).alias("removals"))
     once = by_uid.dropDuplicates(["id", "uid"]) if (times or 0) > 1 else by_uid
     cut = _cut(once.join(removals, "uid", "left"), whole_chars)
