@@ -185,18 +185,17 @@ def measured(pairs: DataFrame, sets: DataFrame) -> DataFrame:
     return both.mapInArrow(run, schema)
 
 
-def _tiles(outside: DataFrame, members: DataFrame, p: NearDup) -> DataFrame:
-    """Links (a, b) that join components, between the outside rows of large buckets and all their members.
+def _tiles(members: DataFrame, p: NearDup) -> DataFrame:
+    """Links (a, b) that join components, between the ``outside`` rows of large buckets and all their members.
 
-    Both sides are dealt into chunks by hash; a task sees one chunk of each, and returns links that
-    its chunk needs, not pairs. A pair is measured only in the first bucket that it shares.
+    Members are dealt into chunks by hash; a task sees two chunks of a bucket, and returns links that
+    these need, not pairs. A pair is measured only in the first bucket that it shares.
     """
-
-    def chunked(df: DataFrame, name: str) -> DataFrame:
-        parts = df.groupBy("bucket").agg(F.ceil(F.count(F.lit(1)) / F.lit(p.tile)).alias("parts"))
-        return df.join(parts, "bucket").groupBy("bucket", F.pmod(F.xxhash64("rep"), F.col("parts")).alias(f"{name}_part")).agg(F.collect_list(F.struct("rep", "comp", "n", "bands", "members")).alias(name))
-
-    pairs = chunked(outside, "x").join(chunked(members, "y"), "bucket").select("bucket", "x", "y")
+    parts = members.groupBy("bucket").agg(F.ceil(F.count(F.lit(1)) / F.lit(p.tile)).alias("parts"))
+    row = F.struct("rep", "comp", "n", "bands", "members", "outside")
+    chunks = members.join(parts, "bucket").groupBy("bucket", F.pmod(F.xxhash64("rep"), F.col("parts")).alias("part")).agg(F.collect_list(row).alias("y"))
+    outside = chunks.select("bucket", F.filter("y", lambda r: r["outside"]).alias("x")).filter(F.size("x") > 0)
+    pairs = outside.join(chunks.select("bucket", "y"), "bucket").select("bucket", "x", "y")
 
     def fields(column: pa.Array, i: int) -> tuple[list, list, np.ndarray, np.ndarray, list[np.ndarray]]:
         own = column[i].values
@@ -324,7 +323,7 @@ def near_duplicates(docs: DataFrame, params: NearDup | None = None, id_col: str
         .join(first.select("a", "b"), ["a", "b"], "left_anti")
     )
     crowded = placed.filter(F.col("m") > p.small).join(whole.select(F.col("id").alias("rep"), "members"), "rep").join(nodes.select("rep", "bands"), "rep")
-    tiled = _tiles(crowded.filter("comp <> c_comp"), crowded, p)
+    tiled = _tiles(crowded.withColumn("outside", F.col("comp") != F.col("c_comp")), p)
     second = checkpoint(confirmed(rest).filter("linked").select("a", "b").unionByName(tiled))
     bridges = labelled(labelled(second, "a", "u"), "b", "v").select(F.col("u").alias("a"), F.col("v").alias("b"))
     merged = connected_components(bridges).select(F.col("node").alias("m_node"), F.col("component").alias("m_component"))
