@@ -57,35 +57,36 @@ def shingles(text, n=2):
 
 
 def test_near_duplicates(docs, empty):
-    for params in (minhash_dedup.NearDup(), minhash_dedup.NearDup(small=1, tile=2)):
-        got = {r.doc_id: r for r in minhash_dedup.near_duplicates(docs, params).collect()}
-        sets = {i: shingles(t) for i, t in TEXTS.items()}
-        label = {i: i for i in sets}
-        changed = True
-        while changed:
-            changed = False
-            for a in sets:
-                for b in sets:
-                    if sets[a] and sets[b] and 100 * len(sets[a] & sets[b]) >= 80 * len(sets[a] | sets[b]) and label[a] > label[b]:
-                        label[a], changed = label[b], True
-        for i, s in sets.items():
-            assert (got[i].n_shingles, got[i].component_id, got[i].kept) == (len(s), label[i], label[i] == i), i
-        assert got[None].component_id is None and got[None].kept
-    assert minhash_dedup.near_duplicates(docs).count() == docs.count()
+    rows = minhash_dedup.near_duplicates(docs).collect()
+    got = {r.doc_id: r for r in rows}
+    sets = {i: shingles(t) for i, t in TEXTS.items()}
+    label = {i: i for i in sets}
+    changed = True
+    while changed:
+        changed = False
+        for a in sets:
+            for b in sets:
+                if sets[a] and sets[b] and 100 * len(sets[a] & sets[b]) >= 80 * len(sets[a] | sets[b]) and label[a] > label[b]:
+                    label[a], changed = label[b], True
+    for i, s in sets.items():
+        assert (got[i].n_shingles, got[i].component_id, got[i].kept) == (len(s), label[i], label[i] == i), i
+    assert got[None].component_id is None and got[None].kept
+    assert len(rows) == docs.count()
     assert minhash_dedup.near_duplicates(empty).count() == 0
 
 
 def test_near_duplicate_chain_is_one_component(spark):
+    """Neighbours in the chain link, its ends don't; buckets are compared in tiles."""
     rng = random.Random(9)
     w = words(rng, 100, 10**6).split(" ")
     rows = []
-    for i in range(30):  # each text links with the next few, the ends of the chain don't link
+    for i in range(30):
         rows.append((i, " ".join(w)))
         w[(i * 3) % 100] = f"new{i}"
         w[(i * 3 + 1) % 100] = f"newer{i}"
     df = spark.createDataFrame(rows, "doc_id long, text string")
-    for params in (minhash_dedup.NearDup(), minhash_dedup.NearDup(small=2, tile=4)):
-        assert {r.component_id for r in minhash_dedup.near_duplicates(df, params).collect()} == {0}
+    got = minhash_dedup.near_duplicates(df, minhash_dedup.NearDup(small=2, tile=4)).collect()
+    assert {r.component_id for r in got} == {0}
 
 
 def test_minhash_estimates_jaccard():
