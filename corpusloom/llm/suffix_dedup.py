@@ -323,6 +323,7 @@ def _crowd_removals(by_uid: DataFrame, hot: DataFrame, p: Repeats, n_buckets: in
     spark = by_uid.sparkSession
     crowd = by_uid.join(hot.filter(F.size("crowded") > 0).select("uid", F.col("crowded").alias("anchors")), "uid")
     found = checkpoint(_segments(crowd, p, n_buckets, crowded=True).select("anchor", "c1", "c2", "id", "uid", "start", "windows"))
+    release(spark)
     kinds = checkpoint(found.groupBy("anchor", "c1", "c2").agg(F.min("id").alias("least")))
     several = kinds.groupBy("anchor").agg(F.count(F.lit(1)).alias("n")).filter("n > 1").select("anchor")
     tagged = found.join(kinds, ["anchor", "c1", "c2"])
