@@ -15,7 +15,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from corpusloom.llm.common import small_side, table
+from corpusloom.llm.common import checkpoint, small_side, table
 from corpusloom.llm.exact_dedup import exact_dedup
 from corpusloom.llm.language_crf import UNDETERMINED, identify, train
 from corpusloom.llm.minhash_dedup import near_duplicates
@@ -29,8 +29,11 @@ LEAST_SCORE = 0.3
 
 
 def _without(docs: DataFrame, dropped: DataFrame) -> DataFrame:
-    """docs without the rows of the dropped ids; the texts move only if the ids are too many to broadcast."""
-    return docs.join(small_side(dropped.select("doc_id").distinct(), 24), "doc_id", "left_anti").select(*COLUMNS)
+    """docs without the rows of the dropped ids; the texts move only if the ids are too many to broadcast.
+
+    The ids are made once and checkpointed, for they are counted and then joined.
+    """
+    return docs.join(small_side(checkpoint(dropped.select("doc_id").distinct()), 24), "doc_id", "left_anti").select(*COLUMNS)
 
 
 def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -43,7 +46,7 @@ def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def exact_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Keep one document of each group of equal texts, and one of repeated rows."""
-    found = exact_dedup(docs)
+    found = checkpoint(exact_dedup(docs).select("doc_id", "kept"))
     if found.count() < docs.count():
         docs = docs.dropDuplicates(["doc_id", "text"])
     return _without(docs, found.filter(~F.col("kept")))
