@@ -39,11 +39,18 @@ def checkpoint(df: DataFrame) -> DataFrame:
 
 
 def release(spark: SparkSession) -> None:
-    """Let Spark delete shuffle files of frames that are no longer referenced."""
+    """Let Spark delete shuffle files of frames that are no longer referenced.
+
+    The cleaner works behind the driver's garbage collection, and a frame's Python and Java halves
+    are let go one after the other: so it is asked more than once, with time to follow.
+    """
     import gc
+    import time
 
-    gc.collect()
-    spark.sparkContext._jvm.System.gc()
+    for _ in range(3):
+        gc.collect()
+        spark.sparkContext._jvm.System.gc()
+        time.sleep(0.7)
 
 
 def small_side(df: DataFrame, row_bytes: int) -> DataFrame:

@@ -406,8 +406,7 @@ def remove_repeats(docs: DataFrame, params: Repeats | None = None, id_col: str =
     live = rows.join(skip, ["id", "uid"], "left_anti")
     by_uid = live.repartition(n_buckets, "uid")
 
-    shared = _shared(_anchors(live.filter("id IS NOT NULL"), p, n_buckets), p)
-    hot = checkpoint(shared.groupBy("uid").agg(F.collect_list(F.when(~F.col("crowded"), F.col("anchor"))).alias("anchors"), F.collect_list(F.when(F.col("crowded"), F.col("anchor"))).alias("crowded")))
+    hot = checkpoint(_shared(_anchors(live.filter("id IS NOT NULL"), p, n_buckets), p).groupBy("uid").agg(F.collect_list(F.when(~F.col("crowded"), F.col("anchor"))).alias("anchors"), F.collect_list(F.when(F.col("crowded"), F.col("anchor"))).alias("crowded")))
     release(spark)
 
     plain = by_uid.join(hot.filter(F.size("anchors") > 0).select("uid", "anchors"), "uid")
