@@ -398,7 +398,9 @@ def remove_repeats(docs: DataFrame, params: Repeats | None = None, id_col: str =
     carried = F.struct(*(F.col(c).alias(f"c{i}") for i, c in enumerate(carry))) if carry else F.lit(True)
     rows = docs.select(F.col(id_col).cast("long").alias("id"), carried.alias("carried"), F.coalesce(F.col(text_col), F.lit("")).alias("text")).withColumn("uid", F.xxhash64("id", F.sha2(F.col("text").cast("binary"), 256)))
     facts = checkpoint(rows.select("id", "uid", F.octet_length("text").cast("long").alias("n_bytes"), F.sha2(F.col("text").cast("binary"), 256).alias("sha")).groupBy("id", "uid", "n_bytes", "sha").agg(F.count(F.lit(1)).alias("times")))
-    size, times = facts.agg(F.sum("n_bytes"), F.max("times")).first()
+    size, times, n, n_ids = facts.agg(F.sum("n_bytes"), F.max("times"), F.count(F.lit(1)), F.count_distinct("id")).first()
+    if n == n_ids:  # every id has one text: then it is its own key, which compresses well
+        rows, facts = (df.withColumn("uid", F.col("id")) for df in (rows, facts))
     n_buckets = max(spark.sparkContext.defaultParallelism * 2, -(-(size or 0) // p.bucket_bytes))
     heads = facts.filter(f"id IS NOT NULL AND n_bytes >= {p.length}").groupBy("sha").agg(F.min("id").alias("head"), F.min("uid").alias("any"), F.count(F.lit(1)).alias("n")).filter("n > 1").select("sha", "head")
     copies = checkpoint(facts.filter(f"n_bytes >= {p.length}").join(heads, "sha").filter("id > head").select("id", "uid", "n_bytes"))
