@@ -51,7 +51,7 @@ def test_chunk_files(spark, tmp_path):
     folder.mkdir()
     rows = [{"index": 0, "text": "a", "heading_trail": ["H"]}, {"index": 1, "text": "b"}, {"index": 0, "text": "c"}]
     (folder / "chunks.json").write_text(json.dumps(rows))
-    got = [(r.pos, r.index, r.text, r.has_code) for r in corpus.read_chunk_files(spark, f"{tmp_path}/*/chunks.json").orderBy("pos").collect()]
+    got = [(r["pos"], r["index"], r["text"], r["has_code"]) for r in corpus.read_chunk_files(spark, f"{tmp_path}/*/chunks.json").orderBy("pos").collect()]
     assert got == [(0, 0, "c", None), (1, 1, "b", None)]
     with pytest.raises(Exception, match="PATH_NOT_FOUND"):
         corpus.read_chunk_files(spark, f"{tmp_path}/none/chunks.json")
