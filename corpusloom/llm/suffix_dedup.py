@@ -61,8 +61,10 @@ def anchor_runs(part: np.ndarray, edges: np.ndarray, p: Repeats) -> tuple[np.nda
     if size < span:
         least = np.minimum(least[: len(g) - span + 1], least[span - size :][: len(g) - span + 1])
     valid = np.ones(n + 1, np.int8)
+    some = edges[1:] > edges[:-1]  # an empty row's start is the next row's
+    begin, close = edges[:-1][some], edges[1:][some]
     for d in range(1, p.length):
-        valid[np.maximum(edges[1:] - d, edges[:-1])] = 0
+        valid[np.maximum(close - d, begin)] = 0
     valid = valid[: len(least)].astype(bool)
     new = valid.copy()
     new[1:] &= (least[1:] != least[:-1]) | ~valid[:-1]

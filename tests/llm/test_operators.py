@@ -162,6 +162,26 @@ def test_remove_repeats(docs, empty, crowd):
     assert suffix_dedup.remove_repeats(empty).count() == 0
 
 
+def test_repeats_after_an_empty_text(spark):
+    """An empty row straight before a text takes nothing from the text's first window."""
+    rng = random.Random(12)
+    passage = words(rng, 30)[:50]
+    texts = {1: words(rng, 20) + passage + words(rng, 20), 2: "", 3: passage, 4: None, 5: passage + words(rng, 20)}
+    df = spark.createDataFrame(list(texts.items()), "doc_id long, text string").coalesce(1)
+    got = {r.doc_id: (r.n_bytes, r.n_removed, r.n_spans, bytes(r.kept)) for r in suffix_dedup.remove_repeats(df).collect()}
+    assert got == cut(texts)
+    assert got[3][1] == 50 and got[5][1] >= 50
+
+
+def test_anchor_runs_of_rows_after_empty_ones():
+    p = suffix_dedup.Repeats()
+    part = np.random.default_rng(3).integers(97, 123, 120).astype(np.uint8)
+    for edges in ([0, 50, 50, 100, 100, 100, 120], [0, 0, 60, 60, 120, 120]):
+        _, row, s0, s1, _ = suffix_dedup.anchor_runs(part, np.array(edges), p)
+        got = sorted((r, s) for r, a, b in zip(row.tolist(), s0.tolist(), s1.tolist(), strict=True) for s in range(a, b + 1))
+        assert got == [(r, s) for r, (a, b) in enumerate(zip(edges[:-1], edges[1:], strict=True)) for s in range(a, b - 49)]
+
+
 def test_whole_characters_go(spark):
     tail = "é" * 30
     df = spark.createDataFrame([(1, "a" + tail), (2, "b" + tail + "c")], "doc_id long, text string")
