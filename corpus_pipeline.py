@@ -67,7 +67,7 @@ def passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Pack the documents into sequences."""
-    return pack(docs, public_tokenizers.path("word_bpe_49k.json"))
+    return pack(docs, public_tokenizers.path("word_bpe_49k.json"), added_tokens=True)
 
 
 STAGES = [

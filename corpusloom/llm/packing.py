@@ -15,7 +15,7 @@ from pyspark.sql import types as T
 
 from . import textnum as tn
 from .common import checkpoint, modest_batches
-from .pieces import IdCache, pair_merges, span_ids
+from .pieces import IdCache, PairMerges, pair_merges, span_ids
 
 CAPACITY = 2048
 #: Bytes of text tokenised at once by a task.
@@ -47,7 +47,22 @@ def cut(flat: np.ndarray, counts: np.ndarray, capacity: int) -> tuple[np.ndarray
     return doc, piece, start, length, crc
 
 
-def tokenized_pieces(docs: DataFrame, tokenizer_path: str, id_col: str, text_col: str, capacity: int) -> DataFrame:
+def text_ids(texts: list[str], merges: PairMerges, cache: IdCache, added_tokens: bool) -> tuple[np.ndarray, np.ndarray]:
+    """Ids of all texts end to end, each ended by id 0, and how many each has."""
+    if not added_tokens:
+        return span_ids([normal(t, merges.library) for t in texts], tn.split_plain, cache, merges.encode, extra=True)
+    parts, ends, n_parts = [], [], []
+    for text in texts:  # each part has one id after it: an added token's, or the last 0
+        own, ids = merges.at_added(text)
+        parts += own
+        ends += [*ids, 0]
+        n_parts.append(len(own))
+    flat, counts = span_ids([normal(t, merges.library) for t in parts], tn.split_plain, cache, merges.encode, extra=True)
+    flat[np.cumsum(counts) - 1] = ends
+    return flat, np.add.reduceat(counts, np.cumsum(n_parts) - n_parts)
+
+
+def tokenized_pieces(docs: DataFrame, tokenizer_path: str, id_col: str, text_col: str, capacity: int, added_tokens: bool) -> DataFrame:
     """A row per piece: uid (unique), doc_id, piece, start, length, ids_crc32."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -56,8 +71,8 @@ def tokenized_pieces(docs: DataFrame, tokenizer_path: str, id_col: str, text_col
         for batch in batches:
             _, offsets = tn.utf8(batch.column(1))
             for lo, hi in tn.row_ranges(offsets, TEXT_BYTES):
-                texts = [normal(t or "", merges.library) for t in batch.column(1).slice(lo, hi - lo).to_pylist()]
-                flat, counts = span_ids(texts, tn.split_plain, cache, merges.encode, extra=True)
+                texts = [t or "" for t in batch.column(1).slice(lo, hi - lo).to_pylist()]
+                flat, counts = text_ids(texts, merges, cache, added_tokens)
                 doc, piece, start, length, crc = cut(flat, counts, capacity)
                 ids = batch.column(0).slice(lo, hi - lo).take(pa.array(doc))
                 yield pa.RecordBatch.from_arrays([ids, pa.array(piece.astype(np.int32)), *map(pa.array, (start, length, crc))], names=["doc_id", "piece", "start", "length", "ids_crc32"])
@@ -256,13 +271,17 @@ def _places(islands: DataFrame, capacity: int) -> DataFrame:
     return islands.groupBy("grp").applyInPandas(run, "uid long, sequence_id long, offset long")
 
 
-def pack(docs: DataFrame, tokenizer_path: str, id_col: str = "doc_id", text_col: str = "text", capacity: int = CAPACITY, evolution: Evolution | None = None) -> DataFrame:
+def pack(docs: DataFrame, tokenizer_path: str, id_col: str = "doc_id", text_col: str = "text", capacity: int = CAPACITY, evolution: Evolution | None = None, added_tokens: bool = False) -> DataFrame:
     """Pack documents into sequences of at most capacity (up to 32767) tokens.
 
     A document is its ids under the word-level BPE file, then id 0. Only a longer document is cut,
     into pieces of capacity tokens; its last piece may be shorter. Returns per piece ``id_col, piece,
     start, length, ids_crc32, sequence_id, offset``.
 
+    With ``added_tokens``, the file's added tokens (such as <|endoftext|>) that a text spells out have
+    their own ids, as the library gives them at its default setting with add_special_tokens=False.
+    Without it they are text like any other, as under the library's encode_special_tokens.
+
     A full piece is a sequence of its own. The others are dealt by hash into groups of about
     ``group_items``; a grouping genetic algorithm packs each group on several islands. One group's
     lengths (not its texts) are all that a task holds. The last sequence of each group may stay
@@ -274,7 +293,7 @@ def pack(docs: DataFrame, tokenizer_path: str, id_col: str = "doc_id", text_col:
     """
     e = evolution or Evolution()
     modest_batches(docs)
-    pieces = checkpoint(tokenized_pieces(docs, tokenizer_path, id_col, text_col, capacity))
+    pieces = checkpoint(tokenized_pieces(docs, tokenizer_path, id_col, text_col, capacity, added_tokens))
     whole = pieces.filter(F.col("length") == capacity)
     part = pieces.filter(F.col("length") < capacity)
     n_groups = max(1, -(-part.count() // e.group_items))

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import json
+import re
 from collections.abc import Callable
 from functools import lru_cache
 
@@ -104,7 +105,11 @@ class PairMerges:
 
     def __init__(self, path: str):
         with open(path, encoding="utf-8") as file:
-            model = json.load(file)["model"]
+            whole = json.load(file)
+        model = whole["model"]
+        #: Ids of the literal strings that the tokenizer takes out of a text before all else.
+        self.added = {t["content"]: t["id"] for t in whole.get("added_tokens") or []}
+        self.plain_added = not any(t[f] for t in whole.get("added_tokens") or [] for f in ("single_word", "lstrip", "rstrip", "normalized"))
         self.path, vocab, end = path, model["vocab"], model["end_of_word_suffix"]
         letters = byte_letters()
         self.inner = np.array([vocab[c] for c in letters], np.uint16)
@@ -143,6 +148,15 @@ class PairMerges:
             open_, slot = open_[on], slot[on]
         return out
 
+    def at_added(self, text: str) -> tuple[list[str], list[int]]:
+        """The text cut at its added tokens (leftmost, then longest), and their ids."""
+        if not self.plain_added:
+            raise ValueError(f"{self.path}: added tokens that strip blanks, need whole words or are normalised")
+        if not self.added:
+            return [text], []
+        parts = re.split("(" + "|".join(map(re.escape, sorted(self.added, key=len, reverse=True))) + ")", text)
+        return parts[::2], [self.added[t] for t in parts[1::2]]
+
     @property
     @lru_cache(1)  # noqa: B019
     def library(self):

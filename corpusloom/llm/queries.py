@@ -43,7 +43,7 @@ def op3_language_crf(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op4_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return pack(table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"))
+    return pack(table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"), added_tokens=True)
 
 
 def op5_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -215,6 +215,28 @@ def test_packing(docs, empty):
     assert packing.pack(empty, WORD_BPE).count() == 0
 
 
+def test_packing_query_gives_added_tokens_their_ids(spark, tmp_path):
+    """The registered query's ids are the library's at its default setting."""
+    from tokenizers import Tokenizer
+
+    from corpusloom.llm.queries import op4_packing
+
+    tok = Tokenizer.from_file(WORD_BPE)
+    texts = [
+        "a <|endoftext|> b", "A<|ENDOFTEXT|>b", "<|endoftext|>", "<|startoftext|><|endoftext|>é", "e<|endoftext|>\u0301x", "don<|endoftext|>'t", "<<|endoftext|>>",
+        "  <|endoftext|>  ", "<|endoftext|", "", None, "plain", "word <|startoftext|> " * 1500, "É中🙂<|endoftext|>É",
+    ]
+    rows = [*enumerate(texts), *((100 + i, t) for i, t in TEXTS.items())]
+    spark.createDataFrame(rows, "doc_id long, text string").write.parquet(f"{tmp_path}/documents.parquet")
+    got = {}
+    for r in op4_packing(spark, str(tmp_path)).collect():
+        got.setdefault(r.doc_id, []).append((r.piece, r.start, r.length, r.ids_crc32))
+    assert set(got) == {i for i, _ in rows}
+    for i, t in rows:
+        ids = [*tok.encode(t or "", add_special_tokens=False).ids, 0]
+        assert sorted(got[i]) == [(k, at, len(ids[at : at + 2048]), zlib.crc32(np.array(ids[at : at + 2048], "<u4").tobytes())) for k, at in enumerate(range(0, len(ids), 2048))], t
+
+
 def test_genetic_packing_saves_bins():
     rng = np.random.default_rng(2)
     sizes = rng.integers(300, 1000, 900)
