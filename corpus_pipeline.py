@@ -24,8 +24,6 @@ from corpusloom.llm.queries import held_out
 from corpusloom.llm.suffix_dedup import remove_repeats
 
 COLUMNS = ["doc_id", "text", "lang", "source", "n_chars"]
-#: A document stays if its language's mean word marginal is at least this; mixed text is clean.
-LEAST_SCORE = 0.3
 
 
 def _without(docs: DataFrame, dropped: DataFrame) -> DataFrame:
@@ -37,11 +35,11 @@ def _without(docs: DataFrame, dropped: DataFrame) -> DataFrame:
 
 
 def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Drop documents in no language: those without a letter (null and empty texts among them), and
-    those whose words agree on none."""
+    """Drop documents in no language: those without a letter, null and empty texts among them. Mixed
+    text is clean, in however many languages."""
     model = train(docs.filter(~held_out()))
     found = identify(docs, model)
-    return _without(docs, found.filter((F.col("lang_pred") == UNDETERMINED) | (F.col("score") < LEAST_SCORE)))
+    return _without(docs, found.filter(F.col("lang_pred") == UNDETERMINED))
 
 
 def exact_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -1,5 +1,6 @@
 """Every stage of the pipeline against brute force on what its predecessor kept."""
 
+import random
 import re
 
 import pytest
@@ -36,6 +37,19 @@ def test_language_keeps_clean_documents(stages):
     assert sorted(r.doc_id for r in after) == want
 
 
+def test_language_keeps_text_mixed_of_many_languages(spark):
+    rng = random.Random(14)
+    pools = [[a + b + c for a in "".join(ab) for b in "aeiou" for c in ("", "n", "r")] for ab in ("bc", "df", "gh", "jk", "lm", "pq")]
+
+    def prose(pool, n):
+        return " ".join("".join(rng.sample(pool, 3)) for _ in range(n))
+
+    rows = [(10 * k + j, prose(pool, 40), f"l{k}", "s", 0) for k, pool in enumerate(pools) for j in range(10)]
+    rows += [(1000 + j, " ".join(prose(pool, 12) for pool in pools), None, "s", 0) for j in range(4)]
+    docs = spark.createDataFrame([*rows, (2000, "12 !?", "l0", "s", 0)], "doc_id long, text string, lang string, source string, n_chars long")
+    assert sorted(r.doc_id for r in cp.language_id(spark, docs, "").collect()) == sorted(r[0] for r in rows)
+
+
 def test_exact(stages):
     groups = {}
     for r in stages[1]:
