@@ -26,33 +26,53 @@ from corpusloom.llm.suffix_dedup import remove_repeats
 COLUMNS = ["doc_id", "text", "lang", "source", "n_chars"]
 
 
+def _with_row_ids(docs: DataFrame) -> DataFrame:
+    """docs with ``row_id``, a long that tells rows apart: doc_id where every row has its own.
+
+    Where an id is null or shared, row_id is the place of (doc_id, text digest) in ascending order, null
+    ids last; then only repeated rows (same id, same text) share one. The ids are sorted without texts.
+    """
+    rows, ids = docs.agg(F.count(F.lit(1)), F.count_distinct("doc_id")).first()
+    if rows == ids:
+        return docs.withColumn("row_id", F.col("doc_id"))
+    digest = F.when(F.col("text").isNull(), F.lit("")).otherwise(F.sha2(F.col("text").cast("binary"), 256))
+    key = [F.col("doc_id").isNull().alias("k_none"), F.coalesce("doc_id", F.lit(0)).alias("k_id"), digest.alias("k_text")]
+    order = ["k_none", "k_id", "k_text"]
+    numbers = checkpoint(docs.select(*key).distinct().orderBy(*order).withColumn("row_id", F.monotonically_increasing_id()))
+    return docs.select("*", *key).join(numbers, order).drop(*order)
+
+
 def _without(docs: DataFrame, dropped: DataFrame) -> DataFrame:
-    """docs without the rows of the dropped ids; the texts move only if the ids are too many to broadcast.
+    """docs without the rows of the dropped row_ids; the texts move only if these are too many to broadcast.
 
     The ids are made once and checkpointed, for they are counted and then joined.
     """
-    return docs.join(small_side(checkpoint(dropped.select("doc_id").distinct()), 24), "doc_id", "left_anti").select(*COLUMNS)
+    return docs.join(small_side(checkpoint(dropped.select("row_id").distinct()), 24), "row_id", "left_anti").select(*COLUMNS)
 
 
 def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Drop documents in no language: those without a letter, null and empty texts among them. Mixed
-    text is clean, in however many languages."""
+    text is clean, in however many languages. Each row is judged by its own text, whatever its id."""
     model = train(docs.filter(~held_out()))
-    found = identify(docs, model)
+    docs = _with_row_ids(docs)
+    found = identify(docs, model, id_col="row_id")
     return _without(docs, found.filter(F.col("lang_pred") == UNDETERMINED))
 
 
 def exact_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Keep one document of each group of equal texts, and one of repeated rows."""
-    found = checkpoint(exact_dedup(docs).select("doc_id", "kept"))
+    """Keep one document of each group of equal texts, and one of repeated rows. Different texts of one
+    id are documents of their own, as are those of a null id, which stands after all others."""
+    docs = _with_row_ids(docs)
+    found = checkpoint(exact_dedup(docs, id_col="row_id").select("row_id", "kept"))
     if found.count() < docs.count():
-        docs = docs.dropDuplicates(["doc_id", "text"])
+        docs = docs.dropDuplicates(["row_id"])
     return _without(docs, found.filter(~F.col("kept")))
 
 
 def near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Keep the smallest document of each group of near-duplicates."""
-    return _without(docs, near_duplicates(docs).filter(~F.col("kept")))
+    """Keep the smallest document of each group of near-duplicates. Null and shared ids as for copies."""
+    docs = _with_row_ids(docs)
+    return _without(docs, near_duplicates(docs, id_col="row_id").filter(~F.col("kept")))
 
 
 def passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -50,6 +50,28 @@ def test_language_keeps_text_mixed_of_many_languages(spark):
     assert sorted(r.doc_id for r in cp.language_id(spark, docs, "").collect()) == sorted(r[0] for r in rows)
 
 
+def test_null_and_shared_ids(spark):
+    """Every row is judged by itself: dropping one takes no other of its id, and null ids are no refuge."""
+    rng = random.Random(15)
+    a, b, c, d, e = (" ".join(f"w{rng.randrange(900)}" for _ in range(100)) for _ in range(5))
+
+    def run(stage, rows):
+        docs = spark.createDataFrame([(i, t, "en", "s", 0) for i, t in rows], "doc_id long, text string, lang string, source string, n_chars long")
+        out = stage(spark, docs, "").collect()
+        assert not out or out[0].__fields__ == COLUMNS
+        return sorted(((r.doc_id, r.text) for r in out), key=str)
+
+    def want(*rows):
+        return sorted(rows, key=str)
+
+    assert run(cp.language_id, [(1, a), (7, b), (7, None), (None, c), (None, "12"), (None, None)]) == want((1, a), (7, b), (None, c))
+    spaced = b.replace(" ", "  ")
+    assert run(cp.exact_copies, [(3, a), (7, a), (7, b), (7, spaced), (7, spaced), (None, a), (None, c), (None, c), (None, d)]) == want((3, a), (7, spaced), (None, c), (None, d))
+    near_a, near_c = a + " more", c + " more"
+    got = run(cp.near_copies, [(3, a), (7, near_a), (7, b), (-2, e), (None, near_a), (None, c), (None, near_c), (None, d)])
+    assert got in (want((3, a), (7, b), (-2, e), (None, x), (None, d)) for x in (c, near_c))
+
+
 def test_exact(stages):
     groups = {}
     for r in stages[1]:
