@@ -22,13 +22,14 @@ UNDETERMINED = "und"
 @dataclass(frozen=True)
 class CRFParams:
     """``docs_per_language`` bounds the labelled rows that are fitted; all else is the model's shape.
+    Every language is a label, unless ``max_languages`` asks for the commonest only.
 
     Training sequences are ``length`` words long and switch language after ``run`` words on average,
     so that the transitions are learned on mixed text. Features hash into ``table`` rows.
     """
 
     docs_per_language: int = 150
-    max_languages: int = 64
+    max_languages: int | None = None
     length: int = 64
     run: int = 20
     table: int = 1 << 16
@@ -150,6 +151,12 @@ def chain_posteriors(emit: np.ndarray, trans: np.ndarray, counts: np.ndarray, bl
     return out
 
 
+#: Labels up to which texts are taken by 1 MB, in blocks of 32 words; more labels take less at once.
+FEW_LABELS = 64
+#: Numbers that fitting holds at once in each of its tables by word and label.
+FIT_CELLS = 1 << 23
+
+
 class LanguageCRF:
     """Weights of hashed features and of lexicon words for each language, and transitions."""
 
@@ -179,13 +186,18 @@ class LanguageCRF:
         if not len(starts):
             return np.empty((0, len(self.labels))), counts, starts, ends
         scores, code = self.emissions(cp, starts, ends)
-        return chain_posteriors(scores[code], self.trans, counts), counts, starts, ends
+        return chain_posteriors(scores[code], self.trans, counts, int(32 * self.crowding())), counts, starts, ends
+
+    def crowding(self) -> float:
+        """How much more room a block's transfers need than those of FEW_LABELS labels."""
+        return max(1.0, (len(self.labels) / FEW_LABELS) ** 2)
 
     def fit(self, texts: list[str], langs: list[str]) -> LanguageCRF:
         """Maximise the conditional likelihood of mixed sequences spliced from the texts' words."""
         p, rng = self.params, np.random.default_rng(self.params.seed)
         cp, starts, ends, counts = letter_words(texts)
-        label = np.repeat([self.labels.index(x) for x in langs], counts)
+        place = {x: i for i, x in enumerate(self.labels)}
+        label = np.repeat([place[x] for x in langs], counts)
         keys, pick, code = distinct(tn.span_hashes(cp, starts, ends))
         index, per_word = features(cp, starts[pick], ends[pick], p.table)
         often = np.bincount(code, minlength=len(keys))
@@ -215,10 +227,21 @@ class LanguageCRF:
         gold_trans = np.zeros_like(trans)
         np.add.at(gold_trans, (label[:, :-1].ravel(), label[:, 1:].ravel()), 1.0)
         scale = 1.0 / code.size
+        word_step = max(1, FIT_CELLS // (n_labels * int(per_word.max(initial=1))))
+        seq_step = max(1, FIT_CELLS // (n_labels * max(n_labels, p.length)))
         for _ in range(p.steps):
-            emit = np.add.reduceat(w[slot], edge) + v[row]
-            expected, expected_trans = self._expectations(emit[code], trans)
-            miss = np.stack([np.bincount(code.ravel(), expected[:, :, k].ravel(), len(keys)) for k in range(n_labels)], axis=1)
+            emit = v[row]
+            for a in range(0, len(keys), word_step):
+                b = min(len(keys), a + word_step)
+                end = edge[b] if b < len(keys) else len(slot)
+                emit[a:b] += np.add.reduceat(w[slot[edge[a] : end]], edge[a:b] - edge[a])
+            miss, expected_trans = np.zeros_like(gold), np.zeros_like(trans)
+            for a in range(0, n_seq, seq_step):
+                some = code[a : a + seq_step]
+                expected, moves = self._expectations(emit[some], trans)
+                for k in range(n_labels):
+                    miss[:, k] += np.bincount(some.ravel(), expected[:, :, k].ravel(), len(keys))
+                expected_trans += moves
             miss = (gold - miss) * scale
             grad_w = np.stack([np.bincount(slot, miss[owner, k], len(used)) for k in range(n_labels)], axis=1) - p.decay * scale * w
             grad_v = np.stack([np.bincount(row, miss[:, k], len(v)) for k in range(n_labels)], axis=1)
@@ -261,11 +284,13 @@ class LanguageCRF:
 def train(labelled: DataFrame, params: CRFParams | None = None, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang") -> LanguageCRF:
     """Fit on at most ``docs_per_language`` labelled rows of each language, those of least hash.
 
-    The commonest ``max_languages`` languages are learned. Rows without text or language are left out.
+    Every language of a row with text and language is learned, other rows are left out. The driver's
+    memory grows with languages times distinct words of the sample.
     """
     p = params or CRFParams()
     rows = labelled.filter(F.col(text_col).isNotNull() & F.col(lang_col).isNotNull()).select(F.col(lang_col).alias("lang"), F.col(text_col).alias("text"), F.xxhash64(F.col(id_col).cast("string")).alias("h"), F.col(id_col).alias("id"))
-    common = [r[0] for r in rows.groupBy("lang").count().orderBy(F.desc("count"), "lang").limit(p.max_languages).collect()]
+    found = rows.groupBy("lang").count().orderBy(F.desc("count"), "lang")
+    common = {r[0] for r in (found if p.max_languages is None else found.limit(p.max_languages)).collect()}
     if not common:
         return LanguageCRF([], p)
     turn = F.row_number().over(Window.partitionBy("lang").orderBy("h", "id"))
@@ -296,7 +321,7 @@ def identify(docs: DataFrame, model: LanguageCRF, id_col: str = "doc_id", text_c
         names = np.array([*model.labels, UNDETERMINED], object)
         for batch in batches:
             _, offsets = tn.utf8(batch.column(1))
-            for lo, hi in tn.row_ranges(offsets, 1 << 20):
+            for lo, hi in tn.row_ranges(offsets, int((1 << 20) / model.crowding())):
                 texts = batch.column(1).slice(lo, hi - lo).to_pylist()
                 if not model.labels:
                     texts = [None] * len(texts)

@@ -339,6 +339,20 @@ def test_language_crf(spark, docs, empty):
     assert {r.lang_pred for r in language_crf.identify(docs, nothing).collect()} == {"und"}
 
 
+def test_language_crf_learns_every_language(spark):
+    rng = random.Random(16)
+    pools = {f"l{k:02}": ["".join(rng.choice("bcdfghjklmnpqrstvwz") + rng.choice("aeiou") for _ in range(2)) for _ in range(5)] for k in range(70)}
+
+    def prose(g):
+        return " ".join("".join(rng.sample(pools[g], 2)) for _ in range(30))
+
+    rows = [(100 * j + k, prose(g), g) for k, g in enumerate(pools) for j in range(3 if k < 64 else 2)]
+    model = language_crf.train(spark.createDataFrame(rows, "doc_id long, text string, lang string"))
+    tests = [(k, prose(g)) for k, g in enumerate(pools)]
+    got = {r.doc_id: r.lang_pred for r in language_crf.identify(spark.createDataFrame(tests, "doc_id long, text string"), model).collect()}
+    assert got == dict(enumerate(pools))
+
+
 def test_chain_posteriors():
     rng = np.random.default_rng(0)
     counts = np.array([1, 70, 0, 33, 5])
