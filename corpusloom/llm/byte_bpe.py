@@ -4,7 +4,6 @@ from __future__ import annotations
 
 import base64
 import hashlib
-import heapq
 from collections.abc import Iterator
 from functools import lru_cache
 
@@ -16,17 +15,19 @@ from pyspark.sql import types as T
 
 from . import textnum as tn
 from .common import modest_batches
-from .pieces import IdCache, expand, gather, spans
+from .pieces import IdCache, edges, expand, gather, spans
 
-#: Words merged by one recursive query; every step's rows are held until the query ends.
-WORDS = 40_000
-#: A longer word would need as many steps as it has merges; a heap makes the same merges in order.
-LONG_WORD = 512
+#: Rows that one recursive query may hold: it keeps those of all its steps until it ends.
+ROWS = 2_000_000
+#: Bytes whose merges one query begins; a longer word is a query of its own.
+BYTES = 200_000
+#: Words decoded by one query.
+WORDS = 160_000
 TEXT_BYTES = 4 << 20
 
 #: The fixpoint: rows of (word, position, token, next position, next token). Each step joins adjacent
 #: tokens to the merge table, and contracts the leftmost pair of least rank of each word that has one.
-#: A word's rows at its last step are its tokens.
+#: A word's rows at its last step are its tokens, or what the next query goes on from.
 MERGE = """
 WITH RECURSIVE t(step, word, pos, tok, nxt, ntok) AS (
     SELECT 0, word, pos, tok, nxt, ntok FROM letters
@@ -41,18 +42,64 @@ WITH RECURSIVE t(step, word, pos, tok, nxt, ntok) AS (
         FROM (
             SELECT t.word, min(m.made * 4294967296 + t.pos) AS best, arg_min(t.nxt, m.made * 4294967296 + t.pos) AS second
             FROM t JOIN merges AS m ON m.pair = t.tok * 65536 + t.ntok
-            WHERE t.nxt >= 0
+            WHERE t.nxt >= 0 AND t.step < $steps
             GROUP BY t.word
         )
     ) AS b ON b.word = r.word
     JOIN t AS gone ON gone.pos = b.second
     WHERE r.pos <> b.second
 )
-SELECT t.word, t.pos, t.tok
+SELECT t.step, t.word, t.pos, t.tok, t.nxt, t.ntok
 FROM t JOIN (SELECT word, max(step) AS step FROM t GROUP BY word) AS last USING (word, step)
 ORDER BY t.pos
 """
 
+#: The same for long words, whose rows also have the token before: all pairs of least rank go in one
+#: step, from the left, every other one of those that overlap. That is the same as one by one, unless a
+#: contraction makes a pair of lower rank (``lower`` holds all such pairs): then only the leftmost goes.
+MERGE_LONG = """
+WITH RECURSIVE t(step, word, pos, tok, nxt, ntok, ptok) AS (
+    SELECT 0, word, pos, tok, nxt, ntok, ptok FROM letters
+    UNION ALL
+    (
+    WITH found AS (
+        SELECT t.word, t.pos, t.nxt, t.ptok, m.made, min(m.made) OVER (PARTITION BY t.word) AS least
+        FROM t JOIN merges AS m ON m.pair = t.tok * 65536 + t.ntok
+        WHERE t.nxt >= 0 AND t.step < $steps
+    ),
+    numbered AS (
+        SELECT *, row_number() OVER w AS rn, coalesce(lag(nxt) OVER w <> pos, true) AS fresh
+        FROM found WHERE made = least WINDOW w AS (PARTITION BY word ORDER BY pos)
+    ),
+    apart AS (
+        SELECT n.word, n.pos, n.made, n.rn, n.nxt AS second, g.nxt AS after, g.ntok,
+               EXISTS (FROM lower AS x WHERE x.pair = n.ptok * 65536 + n.made) OR EXISTS (FROM lower AS x WHERE x.pair = n.made * 65536 + g.ntok)
+               OR EXISTS (FROM lower AS x WHERE x.pair = n.made * 65536 + n.made) AS risky
+        FROM (SELECT *, (rn - max(CASE WHEN fresh THEN rn END) OVER (PARTITION BY word ORDER BY pos)) % 2 = 0 AS turn FROM numbered) AS n
+        JOIN t AS g ON g.pos = n.nxt
+        WHERE n.turn
+    ),
+    chosen AS (
+        SELECT * FROM apart QUALIFY rn = 1 OR NOT bool_or(risky) OVER (PARTITION BY word)
+    )
+    SELECT r.step + 1, r.word, r.pos, coalesce(own.made, r.tok),
+           CASE WHEN own.pos IS NULL THEN r.nxt ELSE own.after END,
+           coalesce(next.made, CASE WHEN own.pos IS NULL THEN r.ntok ELSE own.ntok END), coalesce(before.made, r.ptok)
+    FROM t AS r
+    SEMI JOIN chosen AS hit ON hit.word = r.word
+    LEFT JOIN chosen AS own ON own.pos = r.pos
+    LEFT JOIN chosen AS next ON next.pos = CASE WHEN own.pos IS NULL THEN r.nxt ELSE own.after END
+    LEFT JOIN chosen AS before ON before.after = r.pos
+    ANTI JOIN chosen AS gone ON gone.second = r.pos
+    )
+)
+SELECT t.step, t.word, t.pos, t.tok, t.nxt, t.ntok, t.ptok
+FROM t JOIN (SELECT word, max(step) AS step FROM t GROUP BY word) AS last USING (word, step)
+ORDER BY t.pos
+"""
+#: Bytes of a long word.
+LONG = 256
+
 #: Decoding: the bytes of a word's tokens, aggregated in order.
 DECODE = """
 SELECT word, unhex(string_agg(v.hex, '' ORDER BY i.pos)) AS bytes
@@ -73,18 +120,44 @@ class ByteBPE:
             (self.ranks[token[:k]] << 16 | self.ranks[token[k:]], rank)
             for token, rank in self.ranks.items() for k in range(1, len(token)) if token[:k] in self.ranks and token[k:] in self.ranks
         ]
-        self.pairs = dict(pairs)
         self.letter = np.array([self.ranks[bytes([b])] for b in range(256)], np.int64)
+        #: Whether a token may join the second and third of four bytes in a row (256: none): one that
+        #: does is these two, or holds them with the byte before or after.
+        self.two = np.zeros((257, 257), bool)
+        self.three = np.zeros((257, 257, 257), bool)
+        for token in self.ranks:
+            if len(token) == 2:
+                self.two[token[0], token[1]] = True
+            for i in range(len(token) - 2):
+                self.three[token[i], token[i + 1], token[i + 2]] = True
         self.db = duckdb.connect(":memory:", config={"threads": 1, "memory_limit": "600MB", "temp_directory": ""})
         made = pd.DataFrame(pairs, columns=["pair", "made"])
         vocabulary = pd.DataFrame({"tok": list(self.ranks.values()), "hex": [t.hex() for t in self.ranks]})
         self.db.register("made", made)
         self.db.execute("CREATE TABLE merges AS SELECT pair, made FROM made")
+        self.db.execute("CREATE TABLE lower AS SELECT pair FROM made WHERE made < greatest(pair // 65536, pair % 65536)")
         self.db.register("given", vocabulary)
         self.db.execute("CREATE TABLE vocabulary AS SELECT tok, hex FROM given")
         self.db.unregister("made")
         self.db.unregister("given")
 
+    def parts(self, raw: np.ndarray, starts: np.ndarray, size: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """The words' bytes end to end, and where a word begins or no token reaches across."""
+        flat = gather(raw, starts, size)
+        n = len(flat)
+        wide = np.full(n + 3, 256, np.int64)
+        wide[1 : n + 1] = flat
+        first = np.zeros(n + 1, bool)
+        first[np.cumsum(size) - size] = True
+        first[n] = True
+        x, y = wide[1 : n + 1], wide[2 : n + 2]
+        w = np.where(first[:n], 256, wide[:n])
+        z = np.where(np.append(first[2:], True), 256, wide[3:])
+        joined = self.two[x, y] | self.three[w, x, y] | self.three[x, y, z]
+        begin = first[:n].copy()
+        begin[1:] |= ~joined[:-1]
+        return flat, np.flatnonzero(begin)
+
     def encode(self, raw: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Ids of the words raw[start:end], end to end, and how many each has."""
         counts = np.zeros(len(starts), np.int64)
@@ -95,16 +168,11 @@ class ByteBPE:
         counts[whole] = 1
         parts.append((whole, found[whole]))
         size = ends - starts
-        for w in np.flatnonzero((found < 0) & (size > LONG_WORD)).tolist():
-            ids = self.merged(data[starts[w] : ends[w]])
-            counts[w] = len(ids)
-            parts.append((np.array([w]), np.array(ids)))
-        rest = np.flatnonzero((found < 0) & (size <= LONG_WORD) & (size > 0))
-        for lo in range(0, len(rest), WORDS):
-            some = rest[lo : lo + WORDS]
-            word, tok = self.fixpoint(raw, starts[some], size[some])
-            counts[some] = np.bincount(word, minlength=len(some))
-            parts.append((some, tok))
+        rest = np.flatnonzero((found < 0) & (size > 0))
+        if len(rest):
+            ids, n = self.split_encode(raw, starts[rest], size[rest])
+            counts[rest] = n
+            parts.append((rest, ids))
         out = np.empty(int(counts.sum()), np.uint32)
         to = np.cumsum(counts) - counts
         for words, ids in parts:
@@ -112,53 +180,68 @@ class ByteBPE:
             out[np.repeat(to[words] - (np.cumsum(c) - c), c) + np.arange(len(ids))] = ids
         return out, counts
 
+    def split_encode(self, raw: np.ndarray, starts: np.ndarray, size: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of words that are no token: cut where no token can reach across, each distinct piece merged once."""
+        flat, cuts = self.parts(raw, starts, size)
+        ends = np.append(cuts[1:], len(flat))
+        _, pick, code = tn.distinct_spans(flat, cuts, ends)
+        begin, length = cuts[pick], (ends - cuts)[pick]
+        n = np.zeros(len(pick), np.int64)
+        each: list[tuple[np.ndarray, np.ndarray]] = []
+        order = np.argsort(length, kind="stable")
+        edge = edges(length[order])
+        lo = 0
+        while lo < len(order):
+            hi = max(lo + 1, int(np.searchsorted(edge, edge[lo] + BYTES, "right")) - 1)
+            if length[order[lo]] <= LONG:
+                hi = min(hi, int(np.searchsorted(length[order], LONG, "right")))
+            some = order[lo:hi]
+            word, tok = self.fixpoint(flat, begin[some], length[some])
+            n[some] = np.bincount(word, minlength=len(some))
+            each.append((some, tok))
+            lo = hi
+        ids = np.empty(int(n.sum()), np.uint32)
+        to = np.cumsum(n) - n
+        for some, tok in each:
+            c = n[some]
+            ids[np.repeat(to[some] - (np.cumsum(c) - c), c) + np.arange(len(tok))] = tok
+        per_word = np.diff(np.searchsorted(cuts, np.append(np.cumsum(size) - size, len(flat))))
+        return expand(ids, n, code, per_word)
+
     def fixpoint(self, raw: np.ndarray, starts: np.ndarray, size: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Tokens of pieces, by recursive queries of so many steps each that their rows are bounded."""
         word = np.repeat(np.arange(len(size)), size)
         tok = self.letter[gather(raw, starts, size)]
         pos = np.arange(len(word))
         last = np.cumsum(size) - 1
         nxt, ntok = pos + 1, np.append(tok[1:], -1)
         nxt[last], ntok[last] = -1, -1
-        self.db.register("letters", pa.table({"word": word, "pos": pos, "tok": tok, "nxt": nxt, "ntok": ntok}))
-        got = self.db.execute(MERGE).fetchnumpy()
-        self.db.unregister("letters")
-        return np.asarray(got["word"]), np.asarray(got["tok"])
-
-    def merged(self, word: bytes) -> list[int]:
-        """The same merges of one long word: least rank first, leftmost of equals, by a heap."""
-        tok = [int(self.letter[b]) for b in word]
-        n = len(tok)
-        nxt, prv = list(range(1, n + 1)), list(range(-1, n - 1))
-        heap: list[tuple[int, int, int, int]] = []
-
-        def offer(i: int) -> None:
-            j = nxt[i]
-            if j < n and (made := self.pairs.get(tok[i] << 16 | tok[j])) is not None:
-                heapq.heappush(heap, (made, i, tok[i], tok[j]))
-
-        for i in range(n):
-            offer(i)
-        while heap:
-            made, i, a, b = heapq.heappop(heap)
-            if tok[i] != a or (j := nxt[i]) >= n or tok[j] != b:
-                continue
-            tok[i], tok[j], nxt[i] = made, -1, nxt[j]
-            if nxt[j] < n:
-                prv[nxt[j]] = i
-            offer(i)
-            if prv[i] >= 0:
-                offer(prv[i])
-        return [t for t in tok if t >= 0]
+        state, query = {"word": word, "pos": pos, "tok": tok, "nxt": nxt, "ntok": ntok}, MERGE
+        if len(size) and int(size.max()) > LONG:
+            state["ptok"], query = np.append(-1, tok[:-1]), MERGE_LONG
+            state["ptok"][last + 1 - size] = -1
+        done: list[tuple[np.ndarray, ...]] = []
+        while len(state["word"]):
+            steps = max(1, ROWS // len(state["word"]))
+            self.db.register("letters", pa.table(state))
+            got = self.db.execute(query, {"steps": steps}).fetchnumpy()
+            self.db.unregister("letters")
+            over = np.asarray(got["step"]) < steps
+            done.append(tuple(np.asarray(got[c])[over] for c in ("pos", "word", "tok")))
+            state = {c: np.asarray(got[c])[~over].astype(np.int64) for c in state}
+        pos, word, tok = (np.concatenate([d[k] for d in done]) if done else np.empty(0, np.int64) for k in range(3))
+        order = np.argsort(pos, kind="stable")
+        return word[order], tok[order]
 
     def decode(self, ids: np.ndarray, counts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """The bytes of words of these ids, end to end, and how many each has."""
         out, sizes = [], []
         edge = np.concatenate([[0], np.cumsum(counts)])
-        for lo in range(0, len(counts), 4 * WORDS):
-            hi = min(len(counts), lo + 4 * WORDS)
+        for lo in range(0, len(counts), WORDS):
+            hi = min(len(counts), lo + WORDS)
             part = ids[edge[lo] : edge[hi]].astype(np.int64)
             self.db.register("ids", pa.table({"word": np.repeat(np.arange(hi - lo), counts[lo:hi]), "pos": np.arange(len(part)), "tok": part}))
-            got = self.db.execute(DECODE).to_arrow_table().column("bytes")
+            got = self.db.sql(DECODE).to_arrow_table().column("bytes")
             self.db.unregister("ids")
             raw, offsets = tn.utf8(got)
             out.append(raw.copy())
@@ -169,7 +252,7 @@ class ByteBPE:
 @lru_cache(1)
 def byte_bpe(path: str) -> tuple[ByteBPE, IdCache, IdCache]:
     """One for each worker: the tables, and caches of words' ids and of their decoded bytes."""
-    return ByteBPE(path), IdCache(700_000), IdCache(700_000)
+    return ByteBPE(path), IdCache(32 << 20), IdCache(32 << 20)
 
 
 def _split(cp: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -181,9 +264,9 @@ def encode_decode(texts: list[str], path: str) -> tuple[tuple[np.ndarray, np.nda
     """Ids of all texts, end to end, and how many each has; the decoded bytes likewise."""
     bpe, known, plain = byte_bpe(path)
     keys, raw, starts, ends, code, per_row = spans(texts, _split)
-    flat, counts = known.ids(keys, lambda new: bpe.encode(raw, starts[new], ends[new]))
+    flat, counts = known.ids(keys, raw, starts, ends, lambda new: bpe.encode(raw, starts[new], ends[new]))
     first = np.cumsum(counts) - counts
-    back, sizes = plain.ids(keys, lambda new: bpe.decode(gather(flat, first[new], counts[new]), counts[new]))
+    back, sizes = plain.ids(keys, raw, starts, ends, lambda new: bpe.decode(gather(flat, first[new], counts[new]), counts[new]))
     return expand(flat, counts, code, per_row), expand(back, sizes, code, per_row)
 
 
@@ -193,11 +276,15 @@ def bpe_round_trip(docs: DataFrame, rank_path: str, id_col: str = "doc_id", text
     Words (matches of the public split pattern) are encoded separately by the rank file, without
     special tokens. Each task's database merges its distinct words by a recursive query; a cache of
     bounded size keeps words from batch to batch. ``ids_sha256`` is over little-endian 32-bit ids.
-    There is no shuffle. Words are told apart by 64-bit hashes.
+    There is no shuffle. Words are told apart by their bytes.
+
+    Words that are no token are first cut where no token of the file holds both sides of the cut, for
+    no merge reaches across. Every query holds a bounded number of rows: it stops after so many steps,
+    and the next one goes on. In pieces of over ``LONG`` bytes all pairs of one rank go in one step.
 
-    Null and empty texts have no ids. Very long texts are encoded whole; a word of over ``LONG_WORD``
-    bytes is merged by a heap. Repeated rows and null ids are returned as they come; an empty table
-    gives an empty result. Other columns are ignored, whatever their names.
+    Null and empty texts have no ids. Very long texts and words are encoded whole. Repeated rows and
+    null ids are returned as they come; an empty table gives an empty result. Other columns are
+    ignored, whatever their names.
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

@@ -13,7 +13,7 @@ from pyspark.sql import types as T
 
 from . import textnum as tn
 from .common import modest_batches
-from .pieces import distinct, gather
+from .pieces import gather
 
 U64 = np.uint64
 UNDETERMINED = "und"
@@ -21,15 +21,15 @@ UNDETERMINED = "und"
 
 @dataclass(frozen=True)
 class CRFParams:
-    """``docs_per_language`` bounds the labelled rows that are fitted; all else is the model's shape.
-    Every language is a label, unless ``max_languages`` asks for the commonest only.
+    """``docs_per_language`` rows and ``sample_bytes`` of text bound the labelled rows of a language that
+    are fitted; all else is the model's shape. Every language is a label.
 
     Training sequences are ``length`` words long and switch language after ``run`` words on average,
     so that the transitions are learned on mixed text. Features hash into ``table`` rows.
     """
 
     docs_per_language: int = 150
-    max_languages: int | None = None
+    sample_bytes: int = 8 << 20
     length: int = 64
     run: int = 20
     table: int = 1 << 16
@@ -125,16 +125,16 @@ def chain_posteriors(emit: np.ndarray, trans: np.ndarray, counts: np.ndarray, bl
         move = np.where(here[:, t][:, None, None], nxt, move)
     before, after = np.empty((total, labels)), np.empty((total, labels))
     order = np.argsort(-n_blocks, kind="stable")
-    sorted_n = n_blocks[order]
+    fewest = n_blocks[order][::-1]
     state = np.full((len(counts), labels), 1.0 / labels)
     for k in range(int(n_blocks.max())):
-        live = order[: int(np.searchsorted(-sorted_n, -k, "left"))]
+        live = order[: len(order) - int(np.searchsorted(fewest, k, "right"))]
         b = first[live] + k
         before[b] = state[live]
         state[live] = unit((state[live][:, None, :] @ move[b])[:, 0, :])
     state = np.ones((len(counts), labels))
     for k in range(int(n_blocks.max()) - 1, -1, -1):
-        live = order[: int(np.searchsorted(-sorted_n, -k, "left"))]
+        live = order[: len(order) - int(np.searchsorted(fewest, k, "right"))]
         b = first[live] + k
         after[b] = state[live]
         state[live] = unit((move[b] @ state[live][:, :, None])[:, :, 0])
@@ -169,7 +169,7 @@ class LanguageCRF:
 
     def emissions(self, cp: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Scores of the distinct words, and every word's number among them."""
-        keys, pick, code = distinct(tn.span_hashes(cp, starts, ends))
+        keys, pick, code = tn.distinct_spans(cp, starts, ends)
         index, counts = features(cp, starts[pick], ends[pick], self.params.table)
         scores = np.add.reduceat(self.weights[index], np.cumsum(counts) - counts).astype(np.float64)
         return scores + self.word_weights[self.lexicon_row(keys)], code
@@ -198,7 +198,7 @@ class LanguageCRF:
         cp, starts, ends, counts = letter_words(texts)
         place = {x: i for i, x in enumerate(self.labels)}
         label = np.repeat([place[x] for x in langs], counts)
-        keys, pick, code = distinct(tn.span_hashes(cp, starts, ends))
+        keys, pick, code = tn.distinct_spans(cp, starts, ends)
         index, per_word = features(cp, starts[pick], ends[pick], p.table)
         often = np.bincount(code, minlength=len(keys))
         known = np.argsort(-often, kind="stable")[: p.lexicon]
@@ -282,22 +282,29 @@ class LanguageCRF:
 
 
 def train(labelled: DataFrame, params: CRFParams | None = None, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang") -> LanguageCRF:
-    """Fit on at most ``docs_per_language`` labelled rows of each language, those of least hash.
+    """Fit on at most ``docs_per_language`` labelled rows of each language, those of least hash of id and
+    text, as far as their texts fit in ``sample_bytes``; texts are fitted whole.
 
-    Every language of a row with text and language is learned, other rows are left out. The driver's
-    memory grows with languages times distinct words of the sample.
+    Every language of a row with text and language is learned, other rows are left out. Rows that share
+    an id are rows of their own. Of a common language only rows of small hash are looked at, some eight
+    times as many as are wanted. The driver's memory grows with languages, and with these times the
+    distinct words of the sample.
     """
     p = params or CRFParams()
-    rows = labelled.filter(F.col(text_col).isNotNull() & F.col(lang_col).isNotNull()).select(F.col(lang_col).alias("lang"), F.col(text_col).alias("text"), F.xxhash64(F.col(id_col).cast("string")).alias("h"), F.col(id_col).alias("id"))
-    found = rows.groupBy("lang").count().orderBy(F.desc("count"), "lang")
-    common = {r[0] for r in (found if p.max_languages is None else found.limit(p.max_languages)).collect()}
-    if not common:
+    rows = labelled.filter(F.col(text_col).isNotNull() & F.col(lang_col).isNotNull()).select(F.col(lang_col).alias("lang"), F.col(text_col).alias("text"), F.xxhash64(F.col(id_col).cast("string"), text_col).alias("h"))
+    held = {r["lang"]: r["n"] for r in rows.groupBy("lang").agg(F.count(F.lit(1)).alias("n")).collect()}
+    if not held:
         return LanguageCRF([], p)
-    turn = F.row_number().over(Window.partitionBy("lang").orderBy("h", "id"))
-    chosen = rows.select("lang", "h", "id").withColumn("turn", turn).filter(F.col("turn") <= p.docs_per_language).select("h", "id")
-    sample = rows.join(F.broadcast(chosen), ["h", "id"]).select("lang", "text", "h").collect()
-    sample = sorted((r for r in sample if r["lang"] in common), key=lambda r: (r["lang"], r["h"]))
-    return LanguageCRF(sorted(common), p).fit([r["text"] for r in sample], [r["lang"] for r in sample])
+    wanted = 8 * p.docs_per_language
+    shares = [F.lit(x) for k, n in held.items() if n > wanted for x in (k, wanted / n)]
+    if shares:
+        rows = rows.filter(F.pmod("h", F.lit(1 << 32)) < F.coalesce(F.create_map(*shares)[F.col("lang")], F.lit(1.0)) * F.lit(float(1 << 32)))
+    order = Window.partitionBy("lang").orderBy("h", "text")
+    rows = rows.withColumn("turn", F.row_number().over(order)).filter(F.col("turn") <= p.docs_per_language)
+    total = F.sum(F.octet_length("text")).over(Window.partitionBy("lang").orderBy("turn"))
+    sample = rows.withColumn("total", total).filter((F.col("turn") == 1) | (F.col("total") <= p.sample_bytes)).select("lang", "text", "turn").collect()
+    sample.sort(key=lambda r: (r["lang"], r["turn"]))
+    return LanguageCRF(sorted(held), p).fit([r["text"] for r in sample], [r["lang"] for r in sample])
 
 
 def identify(docs: DataFrame, model: LanguageCRF, id_col: str = "doc_id", text_col: str = "text", with_words: bool = False) -> DataFrame:

@@ -26,36 +26,42 @@ def gather(flat: np.ndarray, starts: np.ndarray, counts: np.ndarray) -> np.ndarr
 
 
 class IdCache:
-    """Ids by 64-bit word hash, kept from batch to batch in one worker; emptied beyond ``limit`` words."""
+    """Ids of words by 64-bit hash, kept from batch to batch in one worker; emptied beyond ``limit`` bytes.
 
-    def __init__(self, limit: int = 1_500_000):
+    Words are kept too: a hash only proposes, and the bytes decide.
+    """
+
+    def __init__(self, limit: int = 48 << 20):
         self.limit = limit
-        self.runs: list[tuple[np.ndarray, np.ndarray, np.ndarray]] = []  # sorted keys, starts, ids
+        #: Sorted keys; words end to end, and their edges; ids end to end, and their edges.
+        self.runs: list[tuple[np.ndarray, ...]] = []
 
-    def ids(self, keys: np.ndarray, encode: Encode) -> tuple[np.ndarray, np.ndarray]:
-        """Ids of the distinct keys, end to end, and how many each has."""
+    def ids(self, keys: np.ndarray, raw: np.ndarray, starts: np.ndarray, ends: np.ndarray, encode: Encode) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of the distinct words raw[start:end] of these hashes, end to end, and how many each has."""
         n = len(keys)
         place, where = np.full(n, -1, np.int64), np.full(n, -1, np.int64)
-        for k, (own, _, _) in enumerate(self.runs):
+        for k, (own, spelt, edge, _, _) in enumerate(self.runs):
             open_ = np.flatnonzero(where < 0)
             at = np.searchsorted(own, keys[open_])
             at[at == len(own)] = 0
             hit = own[at] == keys[open_]
-            place[open_[hit]], where[open_[hit]] = at[hit], k
+            open_, at = open_[hit], at[hit]
+            same = tn.equal_spans(raw, starts[open_], ends[open_], spelt, edge[at], edge[at + 1])
+            place[open_[same]], where[open_[same]] = at[same], k
         new = np.flatnonzero(where < 0)
         if len(new):
             order = new[np.argsort(keys[new])]
             flat, counts = encode(order)
-            edge = np.concatenate([[0], np.cumsum(counts)]).astype(np.int64)
+            size = ends[order] - starts[order]
             place[order], where[order] = np.arange(len(order)), len(self.runs)
-            self.runs.append((keys[order], edge, flat))
+            self.runs.append((keys[order], gather(raw, starts[order], size), edges(size), flat, edges(counts)))
         counts = np.zeros(n, np.int64)
-        for k, (_, edge, _) in enumerate(self.runs):
-            own = where == k
+        for k, run in enumerate(self.runs):
+            own, edge = where == k, run[4]
             counts[own] = edge[place[own] + 1] - edge[place[own]]
-        out = np.empty(int(counts.sum()), self.runs[0][2].dtype if self.runs else np.int32)
+        out = np.empty(int(counts.sum()), self.runs[0][3].dtype if self.runs else np.int32)
         to = np.cumsum(counts) - counts
-        for k, (_, edge, flat) in enumerate(self.runs):
+        for k, (_, _, _, flat, edge) in enumerate(self.runs):
             own = np.flatnonzero(where == k)
             c = counts[own]
             out[np.repeat(to[own] - (np.cumsum(c) - c), c) + np.arange(int(c.sum()))] = gather(flat, edge[place[own]], c)
@@ -63,25 +69,23 @@ class IdCache:
         return out, counts
 
     def _settle(self) -> None:
-        if sum(len(r[0]) for r in self.runs) > self.limit:
+        if sum(x.nbytes for run in self.runs for x in run) > self.limit:
             self.runs = []
         while len(self.runs) > 1 and len(self.runs[-1][0]) * 3 > len(self.runs[-2][0]):
-            (k1, e1, f1), (k2, e2, f2) = self.runs.pop(), self.runs.pop()
-            keys, counts = np.concatenate([k1, k2]), np.concatenate([np.diff(e1), np.diff(e2)])
-            starts = np.concatenate([e1[:-1], e2[:-1] + len(f1)])
+            (k1, w1, v1, f1, e1), (k2, w2, v2, f2, e2) = self.runs.pop(), self.runs.pop()
+            keys = np.concatenate([k1, k2])
             order = np.argsort(keys)
-            flat = gather(np.concatenate([f1, f2]), starts[order], counts[order])
-            self.runs.append((keys[order], np.concatenate([[0], np.cumsum(counts[order])]), flat))
 
+            def both(x1, edge1, x2, edge2, order=order):
+                counts = np.concatenate([np.diff(edge1), np.diff(edge2)])[order]
+                starts = np.concatenate([edge1[:-1], edge2[:-1] + len(x1)])[order]
+                return gather(np.concatenate([x1, x2]), starts, counts), edges(counts)
+
+            self.runs.append((keys[order], *both(w1, v1, w2, v2), *both(f1, e1, f2, e2)))
 
-def distinct(hashes: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Distinct hashes, the first place of each, and every place's number among them."""
-    import pandas as pd
 
-    code, keys = pd.factorize(hashes)
-    pick = np.empty(len(keys), np.int64)
-    pick[code[::-1]] = np.arange(len(code) - 1, -1, -1)
-    return keys, pick, code
+def edges(counts: np.ndarray) -> np.ndarray:
+    return np.concatenate([[0], np.cumsum(counts)]).astype(np.int64)
 
 
 def byte_letters() -> list[str]:
@@ -249,14 +253,8 @@ def spans(texts: list[str], split) -> tuple[np.ndarray, np.ndarray, np.ndarray,
     cp, offsets = tn.points(texts)
     starts, ends = split(cp, offsets)
     per_row = np.diff(np.searchsorted(starts, offsets))
-    hashes, at = np.empty(len(starts), tn.U64), 0
-    while at < len(starts):  # in chunks, so that the tables of powers stay small
-        base = starts[at]
-        to = max(at + 1, int(np.searchsorted(ends, base + tn.CHUNK, "right")))
-        hashes[at:to] = tn.span_hashes(cp[base : ends[to - 1]], starts[at:to] - base, ends[at:to] - base)
-        at = to
     raw, b_starts, b_ends = utf8_words(texts, cp, starts, ends)
-    keys, pick, code = distinct(hashes)
+    keys, pick, code = tn.distinct_spans(raw, b_starts, b_ends)
     return keys, raw, b_starts[pick], b_ends[pick], code, per_row
 
 
@@ -271,7 +269,7 @@ def expand(flat: np.ndarray, counts: np.ndarray, code: np.ndarray, per_row: np.n
 def span_ids(texts: list[str], split, cache: IdCache, encode, extra: bool = False) -> tuple[np.ndarray, np.ndarray]:
     """Ids of all texts end to end, and how many each text has. With extra, id 0 ends every text."""
     keys, raw, starts, ends, code, per_row = spans(texts, split)
-    flat, counts = cache.ids(keys, lambda new: encode(raw, starts[new], ends[new]))
+    flat, counts = cache.ids(keys, raw, starts, ends, lambda new: encode(raw, starts[new], ends[new]))
     if extra:  # one more word, of the one id 0
         flat, counts = np.append(flat, 0).astype(flat.dtype), np.append(counts, 1)
         code = np.insert(code, np.cumsum(per_row), len(keys))

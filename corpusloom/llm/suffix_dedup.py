@@ -6,14 +6,14 @@ from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from . import textnum as tn
-from .common import checkpoint, modest_batches, release, small_side
+from .common import checkpoint, modest_batches, release
+from .pieces import edges, gather
 from .suffix_order import PERIOD, suffix_order, words_at
 
 U64 = np.uint64
@@ -21,25 +21,50 @@ U64 = np.uint64
 
 @dataclass(frozen=True)
 class Repeats:
-    """``length``: bytes of a repeat. ``gram``: bytes of an anchor. ``crowd``: documents beyond which
-    an anchor's passages are dealt out window by window. ``bucket_bytes``: text behind one bucket.
-    ``segments``: distinct pieces of text whose windows are sorted together."""
+    """``length``: bytes of a repeat. ``gram``: bytes of an anchor. ``crowd``: segments that are sorted
+    together; an anchor with more distinct ones has them dealt out window by window. ``bucket_bytes``:
+    what a task gathers. ``block``: sightings of anchors that are summed up before they are dealt out."""
 
     length: int = 50
     gram: int = 16
-    crowd: int = 4096
-    bucket_bytes: int = 24 << 20
-    segments: int = 20_000
+    crowd: int = 16_384
+    bucket_bytes: int = 8 << 20
+    block: int = 500_000
 
 
 #: A chunk's positions fit in 16 bits, which leave 48 for an anchor's hash.
 CHUNK = 60_000
-#: Parts of a bucket's range of anchors that are counted one after the other.
-PARTS = 8
 _MULT = U64(0x9FB21C651E98DF25)
 
 
-def anchor_runs(part: np.ndarray, edges: np.ndarray, p: Repeats) -> tuple[np.ndarray, ...]:
+def grams(part: np.ndarray, p: Repeats) -> np.ndarray:
+    """A 64-bit hash of the ``gram`` bytes from every place on; gram is a power of two."""
+    g, size = part.astype(U64) + U64(1), 1
+    with np.errstate(over="ignore"):
+        while size < p.gram:
+            g = tn.mix(g[:-size] * _MULT + g[size:])
+            size *= 2
+    return g
+
+
+def digests(g: np.ndarray, starts: np.ndarray, ends: np.ndarray, p: Repeats) -> tuple[np.ndarray, np.ndarray]:
+    """64 and 32 bits of spans of at least ``gram`` bytes, from the hashes of the grams that cover them."""
+    size = ends - starts
+    c1 = tn.mix(size.astype(U64) ^ g[starts])
+    odd = _MULT
+    with np.errstate(over="ignore"):
+        c2 = g[starts] * odd
+        live, at = np.arange(len(starts)), p.gram
+        while len(live := live[size[live] > at]):
+            odd = odd * _MULT
+            own = g[np.minimum(starts[live] + at, ends[live] - p.gram)]
+            c1[live] = tn.mix(c1[live] * _MULT ^ own)
+            c2[live] += own * odd
+            at += p.gram
+    return c1, (c2 >> U64(32)).astype(np.uint32)
+
+
+def anchor_runs(part: np.ndarray, edges: np.ndarray, p: Repeats, g: np.ndarray | None = None) -> tuple[np.ndarray, ...]:
     """Runs of windows (strings of ``length`` bytes within a row) that share an anchor.
 
     A window's anchor is its leftmost ``gram`` bytes of least hash, so equal windows have equal anchors
@@ -48,11 +73,7 @@ def anchor_runs(part: np.ndarray, edges: np.ndarray, p: Repeats) -> tuple[np.nda
     n, span = len(part), p.length - p.gram + 1
     if n < p.length:
         return (np.empty(0, U64), *(np.empty(0, np.int64) for _ in range(4)))
-    g, size = part.astype(U64) + U64(1), 1
-    with np.errstate(over="ignore"):
-        while size < p.gram:  # gram is a power of two
-            g = tn.mix(g[:-size] * _MULT + g[size:])
-            size *= 2
+    g = grams(part, p) if g is None else g
     least = (g & ~U64(0xFFFF)) | np.arange(len(g), dtype=U64)
     size = 1
     while size * 2 <= span:
@@ -89,143 +110,302 @@ def chunks(raw: np.ndarray, offsets: np.ndarray, p: Repeats) -> Iterator[tuple[i
             yield lo, part, np.array([0, len(part)]), a
 
 
-def _anchors(docs: DataFrame, p: Repeats, n_buckets: int) -> DataFrame:
-    """A row per block of text and bucket of anchor hashes: the block's distinct (anchor, document)
-    pairs, sorted, as hash << 16 | number, and the documents of these numbers."""
+# ---- Packed rows: arrays end to end in one binary value ------------------------------------------
+
+#: What a row holds: sightings of anchors, spans that go, or segments of text.
+SEEN, GONE, TEXT = 0, 1, 2
+PACKED = "bucket int, kind int, n int, m int, data binary"
+_SEEN = ("<u8", "<u8", "<u4", "<u4", "<u2", "<u2")  # anchor and document's number; digest (two); start; windows; lead
+_SPAN = ("<i8", "<i8", "<u4", "<u4")  # id, uid, start, end
+_TEXT = ("<u8", "<i8", "<i8", "<u4", "<u2", "<u2")  # anchor, id, uid, start, windows, lead
+_LIST = ("<u8", "<u4", "<u2", "<u2", "<u1")  # anchor, start, windows, lead, whether it is crowded
+
+
+def _pack(kinds: tuple[str, ...], columns: list[np.ndarray]) -> bytes:
+    return b"".join(np.ascontiguousarray(c, k).tobytes() for k, c in zip(kinds, columns, strict=True))
+
+
+def _unpack(kinds: tuple[str, ...], data, n: int, at: int = 0) -> tuple[list[np.ndarray], int]:
+    out = []
+    for k in kinds:
+        out.append(np.frombuffer(data, k, n, at))
+        at += out[-1].nbytes
+    return out, at
+
+
+def _together(parts: list[list[np.ndarray]], kinds: tuple[str, ...]) -> list[np.ndarray]:
+    return [np.concatenate([p[c] for p in parts]) if parts else np.empty(0, k) for c, k in enumerate(kinds)]
+
 
-    def block(uids: np.ndarray, found: list[np.ndarray]) -> pa.RecordBatch:
-        pairs = tn.unique(np.concatenate(found))
-        cuts = np.searchsorted(pairs, (np.arange(n_buckets + 1, dtype=np.float64) * (2.0**64 / n_buckets)).clip(max=2.0**64 - 4096).astype(U64))
-        cuts[-1] = len(pairs)
-        rows = [(b, pairs[i:j]) for b, (i, j) in enumerate(zip(cuts[:-1], cuts[1:], strict=True)) if j > i]
-        table = []
-        for _, x in rows:
-            used = tn.unique(x & U64(0xFFFF)).astype(np.int64)
-            renumber = np.zeros(1 << 16, U64)
-            renumber[used] = np.arange(len(used), dtype=U64)
-            table.append((((x & ~U64(0xFFFF)) | renumber[(x & U64(0xFFFF)).astype(np.int64)]).tobytes(), uids[used].tobytes()))
-        return pa.RecordBatch.from_arrays([pa.array([b for b, _ in rows], pa.int32()), pa.array([x for x, _ in table], pa.binary()), pa.array([y for _, y in table], pa.binary())], names=["bucket", "pairs", "documents"])
+def _packed(rows: list[tuple]) -> pa.RecordBatch:
+    kinds = (pa.int32(), pa.int32(), pa.int32(), pa.int32(), pa.binary())
+    return pa.RecordBatch.from_arrays([pa.array([r[c] for r in rows], k) for c, k in enumerate(kinds)], names=["bucket", "kind", "n", "m", "data"])
+
+
+def _buckets(anchor: np.ndarray, n: int) -> np.ndarray:
+    """The bucket of 48-bit anchors: a range of them."""
+    return (((anchor >> U64(16)) * U64(n)) >> U64(32)).astype(np.int64)
+
+
+def _groups(*keys: np.ndarray) -> np.ndarray:
+    """Where a new group begins in rows sorted by keys."""
+    new = np.zeros(len(keys[0]), bool)
+    new[:1] = True
+    for k in keys:
+        new[1:] |= k[1:] != k[:-1]
+    return new
+
+
+def _merged(owner: np.ndarray, start: np.ndarray, end: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Spans joined where they touch or overlap, by owner (a small number) and start."""
+    if not len(owner):
+        return owner, start, end
+    a, b = (owner.astype(np.int64) << 33) + start, (owner.astype(np.int64) << 33) + end
+    order = np.argsort(a, kind="stable")
+    a, b = a[order], np.maximum.accumulate(b[order])
+    first = np.concatenate([[True], a[1:] > b[:-1]])
+    last = np.append(first[1:], True)
+    return a[first] >> 33, a[first] & ((1 << 33) - 1), b[last] & ((1 << 33) - 1)
+
+
+def _numbered(ids: np.ndarray, uids: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Every row's number among the distinct documents (id, uid), and these."""
+    order = np.lexsort([uids, ids])
+    new = _groups(ids[order], uids[order]) if len(ids) else np.zeros(0, bool)
+    number = np.empty(len(ids), np.int64)
+    number[order] = np.cumsum(new) - 1
+    return number, ids[order][new], uids[order][new]
+
+
+# ---- Sightings of anchors ------------------------------------------------------------------------
+
+
+def _sightings(docs: DataFrame, p: Repeats, n_buckets: int) -> DataFrame:
+    """Blocks of text, summed up for each bucket of anchors.
+
+    A run of windows with one anchor is a segment of text, known by its digest. Of equal segments
+    of a block only those of the least document go out; the others are spans that go.
+    """
+
+    def block(ids: np.ndarray, uids: np.ndarray, found: list[list[np.ndarray]], turn: int) -> pa.RecordBatch:
+        h, c1, c2, doc, start, windows, lead = (np.concatenate([f[c] for f in found]) for c in range(7))
+        order = np.argsort(c1, kind="stable")
+        new = _groups(c1[order], c2[order], h[order])
+        heads = np.flatnonzero(new)
+        least = np.repeat(np.minimum.reduceat(ids[doc[order]], heads), np.diff(np.append(heads, len(order))))
+        copied = np.empty(len(order), bool)
+        copied[order] = ids[doc[order]] > least
+        rows = []
+        if copied.any():
+            own, a, b = _merged(doc[copied], start[copied], start[copied] + windows[copied] - 1 + p.length)
+            rows.append((turn % n_buckets, GONE, len(own), 0, _pack(_SPAN, [ids[own], uids[own], a, b])))
+        rest = np.flatnonzero(~copied)
+        rest = rest[np.argsort(h[rest], kind="stable")]
+        h, c1, c2, doc, start, windows, lead = (x[rest] for x in (h, c1, c2, doc, start, windows, lead))
+        cuts = np.searchsorted(_buckets(h, n_buckets), np.arange(n_buckets + 1))
+        for k in np.flatnonzero(np.diff(cuts)).tolist():
+            i = slice(cuts[k], cuts[k + 1])
+            used, number = np.unique(doc[i], return_inverse=True)
+            table = _pack(("<i8", "<i8"), [ids[used], uids[used]])
+            rows.append((k, SEEN, len(number), len(used), table + _pack(_SEEN, [(h[i] << U64(16)) | number.astype(U64), c1[i], c2[i], start[i], windows[i], lead[i]])))
+        return _packed(rows)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        found, held, known, turn = [], 0, [], 0
+
+        def flush() -> pa.RecordBatch:
+            return block(np.concatenate([k[0] for k in known]), np.concatenate([k[1] for k in known]), found, turn)
+
         for batch in batches:
-            uids = batch.column(0).to_numpy(zero_copy_only=False)
-            raw, offsets = tn.utf8(batch.column(1))
-            for lo in range(0, len(uids), 1 << 16):
-                hi = min(len(uids), lo + (1 << 16))
-                found, held = [], 0
-                for row, part, edges, _ in chunks(raw[offsets[lo] : offsets[hi]], offsets[lo : hi + 1] - offsets[lo], p):
-                    h, r, *_ = anchor_runs(part, edges, p)
-                    if len(h):
-                        found.append((h << U64(16)) | (r + row).astype(U64))
-                        held += len(h)
-                    if held > 1_000_000:
-                        yield block(uids[lo:hi], found)
-                        found, held = [], 0
-                if found:
-                    yield block(uids[lo:hi], found)
-            tn.trim()
-
-    return docs.select("uid", "text").mapInArrow(run, "bucket int, pairs binary, documents binary")
-
-
-def _shared(anchors: DataFrame, p: Repeats) -> DataFrame:
-    """``uid, anchor, crowded`` for the anchors that two documents or more hold."""
-
-    def run(rows: pd.DataFrame) -> pd.DataFrame:
-        keys = [np.frombuffer(x, U64) for x in rows["pairs"]]
-        docs = [np.frombuffer(x, np.int64) for x in rows["documents"]]
-        least, most = min(int(k[0]) for k in keys), max(int(k[-1]) for k in keys)
-        # Blocks are sorted, so one part of the bucket's range is taken at a time.
-        cuts = [least + (most - least) * i // PARTS >> 16 << 16 for i in range(1, PARTS)]
-        edges = [np.concatenate([[0], np.searchsorted(k, np.array(cuts, U64)), [len(k)]]) for k in keys]
-        out = []
-        for i in range(PARTS):
-            some = [k[e[i] : e[i + 1]] for k, e in zip(keys, edges, strict=True)]
-            anchor = np.concatenate(some) >> U64(16)
-            uid = np.concatenate([d[(k & U64(0xFFFF)).astype(np.int64)] for k, d in zip(some, docs, strict=True)])
-            order = np.argsort(anchor, kind="stable")
-            anchor = anchor[order]
-            head = np.flatnonzero(np.concatenate([[True], anchor[1:] != anchor[:-1]])) if len(anchor) else np.empty(0, np.int64)
-            count = np.diff(np.append(head, len(anchor)))
-            many = np.repeat(count, count)
-            keep = many > 1
-            # A block that was cut within a document may name it twice; that costs a little, and changes nothing.
-            out.append((uid[order[keep]], anchor[keep].view(np.int64), many[keep] > p.crowd))
-        found = [np.concatenate([o[c] for o in out]) for c in range(3)]
-        del keys, docs, edges, some, anchor, uid, order, many, keep, out
+            ids, uids = (batch.column(c).to_numpy(zero_copy_only=False) for c in (0, 1))
+            raw, offsets = tn.utf8(batch.column(2))
+            for lo in range(0, len(ids), 1 << 12):
+                hi = min(len(ids), lo + (1 << 12))
+                if held and sum(len(k[0]) for k in known) + hi - lo > 1 << 16:  # numbers have 16 bits
+                    yield flush()
+                    found, held, known, turn = [], 0, [], turn + 1
+                base = sum(len(k[0]) for k in known)
+                known.append((ids[lo:hi], uids[lo:hi]))
+                for row, part, edge, place in chunks(raw[offsets[lo] : offsets[hi]], offsets[lo : hi + 1] - offsets[lo], p):
+                    g = grams(part, p)
+                    h, r, s0, s1, at = anchor_runs(part, edge, p, g)
+                    if not len(h):
+                        continue
+                    found.append([h, *digests(g, s0, s1 + p.length, p), r + row + base, s0 - edge[r] + place, s1 - s0 + 1, at - s0])
+                    held += len(h)
+                    if held > p.block:
+                        yield flush()
+                        found, held, turn = [], 0, turn + 1
+            if not held:
+                known = []
+        if held:
+            yield flush()
         tn.trim()
-        return pd.DataFrame({"uid": found[0], "anchor": found[1], "crowded": found[2]})
 
-    return anchors.groupBy("bucket").applyInPandas(run, "uid long, anchor long, crowded boolean")
+    return docs.select("id", "uid", "text").mapInArrow(run, PACKED)
+
+
+def _by_document(ids: np.ndarray, uids: np.ndarray, kind: int, kinds: tuple[str, ...], columns: list[np.ndarray]) -> list[tuple]:
+    """A row for each document: id, uid, kind, how many, and its columns packed."""
+    number, own_ids, own_uids = _numbered(ids, uids)
+    order = np.argsort(number, kind="stable")
+    columns = [c[order] for c in columns]
+    cuts = np.searchsorted(number[order], np.arange(len(own_ids) + 1))
+    return [
+        (i, u, kind, b - a, _pack(kinds, [c[a:b] for c in columns]))
+        for i, u, a, b in zip(own_ids.tolist(), own_uids.tolist(), cuts[:-1].tolist(), cuts[1:].tolist(), strict=True)
+    ]
+
+
+def _spans(spans: list[np.ndarray]) -> list[tuple]:
+    """Spans that go, joined and by document."""
+    number, ids, uids = _numbered(spans[0], spans[1])
+    own, a, b = _merged(number, spans[2], spans[3])
+    return _by_document(ids[own], uids[own], GONE, ("<u4", "<u4"), [a, b])
 
 
-SEGMENT = "bucket int, anchor long, id long, uid long, start long, lead int, windows int, c1 long, c2 long, bytes binary"
+LISTED = "id long, uid long, kind int, n long, data binary"
 
 
-def _digests(text: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """128 bits of each span."""
-    a = tn.span_hashes(text, starts, ends)
-    b = tn.span_hashes((text ^ np.uint8(0x5A)).astype(U64) * U64(0xD1342543DE82EF95) >> U64(7), starts, ends)
-    return a.view(np.int64), b.view(np.int64)
+def _listed(rows: list[tuple]) -> pa.Table:
+    kinds = (pa.int64(), pa.int64(), pa.int32(), pa.int64(), pa.binary())
+    return pa.Table.from_arrays([pa.array([r[c] for r in rows], k) for c, k in enumerate(kinds)], names=["id", "uid", "kind", "n", "data"])
 
 
-def _segments(docs: DataFrame, p: Repeats, n_buckets: int, crowded: bool) -> DataFrame:
-    """The text behind each shared anchor of ``id, uid, text, anchors``: from its first window's start to
-    its last window's end. For crowded anchors, digests (128 bits) instead of bytes."""
+def _resolved(sightings: DataFrame, p: Repeats) -> DataFrame:
+    """By document, the spans that go because a smaller document holds the whole segment; and the least
+    documents' segments of anchors that several segments share, whose windows are still to be compared."""
+
+    def run(rows: pa.Table) -> pa.Table:
+        spans, parts, tables = [], [], []
+        for kind, n, m, data in zip(rows["kind"].to_pylist(), rows["n"].to_pylist(), rows["m"].to_pylist(), rows["data"], strict=True):
+            data = data.as_buffer()
+            if kind == GONE:
+                spans.append(_unpack(_SPAN, data, n)[0])
+                continue
+            (ids, uids), at = _unpack(("<i8", "<i8"), data, m)
+            seen, _ = _unpack(_SEEN, data, n, at)
+            parts.append(seen)
+            tables.append((ids, uids))
+        if parts:
+            # Only anchors that are seen more than once go on.
+            h = np.concatenate([x[0] for x in parts]) >> U64(16)
+            order = np.argsort(h, kind="stable")
+            heads = np.flatnonzero(_groups(h[order]))
+            count = np.diff(np.append(heads, len(h)))
+            keep = np.zeros(len(h), bool)
+            keep[order] = np.repeat(count > 1, count)
+            del order, heads, count
+            cuts = np.cumsum([0, *(len(x[0]) for x in parts)])
+            ids, uids = (np.concatenate([t[c][(x[0] & U64(0xFFFF)).astype(np.int64)[keep[a:b]]] for t, x, a, b in zip(tables, parts, cuts[:-1], cuts[1:], strict=True)]) for c in (0, 1))
+            c1, c2, start, windows, lead = (np.concatenate([x[c] for x in parts])[keep].astype(k) for c, k in ((1, U64), (2, np.uint32), (3, np.int64), (4, np.int64), (5, np.int64)))
+            h = h[keep]
+            del parts, tables, keep
+            order = np.lexsort([ids, c2, c1, h])
+            h, c1, c2, ids, uids, start, windows, lead = (x[order] for x in (h, c1, c2, ids, uids, start, windows, lead))
+            new = _groups(h, c1, c2)
+            heads = np.flatnonzero(new)
+            if len(heads):
+                copied = ids > np.repeat(ids[heads], np.diff(np.append(heads, len(ids))))
+                spans.append([ids[copied], uids[copied], start[copied], (start + windows - 1 + p.length)[copied]])
+                # Of each anchor: its distinct segments, and whether their documents differ.
+                first = np.flatnonzero(_groups(h[heads]))
+                n_kinds = np.diff(np.append(first, len(heads)))
+                differ = np.minimum.reduceat(ids[heads], first) < np.maximum.reduceat(ids[heads], first)
+                several = np.repeat(np.where(differ, n_kinds, 0), n_kinds)  # by kind
+                several = np.repeat(several, np.diff(np.append(heads, len(ids))))
+                open_ = ~copied & (several > 1)
+                listed = _by_document(ids[open_], uids[open_], TEXT, _LIST, [h[open_], start[open_], windows[open_], lead[open_], several[open_] > p.crowd])
+            else:
+                listed = []
+        else:
+            listed = []
+        out = _listed(_spans(_together(spans, _SPAN)) + listed)
+        tn.trim()
+        return out
+
+    return sightings.groupBy("bucket").applyInArrow(run, LISTED)
+
+
+# ---- Windows of segments that differ -------------------------------------------------------------
+
+
+def _segments(docs: DataFrame, p: Repeats, n_buckets: int) -> DataFrame:
+    """The listed segments' text, dealt to suffix buckets by anchor. Of a crowded anchor every window is
+    a segment of its own, dealt by its digest; of equal windows of a block only those of the least
+    document go out."""
+
+    def block(found: list[list[np.ndarray]], turn: int) -> pa.RecordBatch:
+        h, ids, uids, start, windows, lead, crowded = (np.concatenate([f[c] for f in found]) for c in range(7))
+        text = np.concatenate([f[7] for f in found])
+        size = windows + p.length - 1
+        at = np.cumsum(size) - size
+        rows = []
+        if crowded.any():
+            some = np.flatnonzero(crowded)
+            each = np.repeat(some, windows[some])
+            k = np.arange(len(each)) - np.repeat(np.cumsum(windows[some]) - windows[some], windows[some])
+            place = at[each] + k
+            c1, c2 = (tn.span_hashes(text, place, place + p.length, lane) for lane in (0, 1))
+            order = np.lexsort([c2, c1])
+            heads = np.flatnonzero(_groups(c1[order], c2[order]))
+            least = np.repeat(np.minimum.reduceat(ids[each[order]], heads), np.diff(np.append(heads, len(order))))
+            copied = np.empty(len(order), bool)
+            copied[order] = ids[each[order]] > least
+            number, own_ids, own_uids = _numbered(ids[each[copied]], uids[each[copied]])
+            own, a, b = _merged(number, start[each[copied]] + k[copied], start[each[copied]] + k[copied] + p.length)
+            if len(own):
+                rows.append((turn % n_buckets, GONE, len(own), 0, _pack(_SPAN, [own_ids[own], own_uids[own], a, b])))
+            each, k, place, c1 = (x[~copied] for x in (each, k, place, c1))
+            plain = np.flatnonzero(~crowded)
+            h, ids, uids, start, lead, at, windows = (
+                np.concatenate([x[plain], y])
+                for x, y in ((h, c1 >> U64(16)), (ids, ids[each]), (uids, uids[each]), (start, start[each] + k), (lead, lead[each] - k), (at, place), (windows, np.ones(len(each), np.int64)))
+            )
+            size = windows + p.length - 1
+        bucket = _buckets(h, n_buckets)
+        order = np.argsort(bucket, kind="stable")
+        cuts = np.searchsorted(bucket[order], np.arange(n_buckets + 1))
+        for b in np.flatnonzero(np.diff(cuts)).tolist():
+            i = order[cuts[b] : cuts[b + 1]]
+            rows.append((b, TEXT, len(i), 0, _pack(_TEXT, [h[i], ids[i], uids[i], start[i], windows[i], lead[i]]) + gather(text, at[i], size[i]).tobytes()))
+        return _packed(rows)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        found, held, turn = [], 0, 0
         for batch in batches:
             ids, uids = (batch.column(c).to_numpy(zero_copy_only=False) for c in (0, 1))
             raw, offsets = tn.utf8(batch.column(2))
-            lists = batch.column(3)
-            wanted = lists.flatten().to_numpy(zero_copy_only=False).view(U64)
-            edge = lists.offsets.to_numpy()
-            edge = edge - edge[0]
-            for row, part, edges, place in chunks(raw, offsets, p):
-                h, r, s0, s1, at = anchor_runs(part, edges, p)
-                if not len(h):
-                    continue
-                rows = len(edges) - 1
-                own = wanted[edge[row] : edge[row + rows]]
-                owner = np.repeat(np.arange(rows, dtype=U64), np.diff(edge[row : row + rows + 1]))
-                known = np.sort((own << U64(16)) | owner)
-                look = (h << U64(16)) | r.astype(U64)
-                if not len(known):
-                    continue
-                hit = known[np.minimum(np.searchsorted(known, look), len(known) - 1)] == look
-                if not hit.any():
-                    continue
-                h, r, s0, s1, at = (x[hit] for x in (h, r, s0, s1, at))
-                end = s1 + p.length
-                none = pa.nulls(len(h), pa.int64())
-                c1, c2 = map(pa.array, _digests(part, s0, end)) if crowded else (none, none)
-                data = pa.nulls(len(h), pa.binary())
-                if not crowded:
-                    size = end - s0
-                    total = np.concatenate([[0], np.cumsum(size)])
-                    pick = np.repeat(s0 - total[:-1], size) + np.arange(int(total[-1]))
-                    data = pa.Array.from_buffers(pa.binary(), len(h), [None, pa.py_buffer(total.astype(np.int32)), pa.py_buffer(part[pick])])
-                shift = -edges[r] + place
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array((h % U64(n_buckets)).astype(np.int32)), pa.array(h.view(np.int64)), pa.array(ids[row + r]), pa.array(uids[row + r]), pa.array(s0 + shift), pa.array((at - s0).astype(np.int32)), pa.array((s1 - s0 + 1).astype(np.int32)), c1, c2, data],
-                    names=["bucket", "anchor", "id", "uid", "start", "lead", "windows", "c1", "c2", "bytes"],
-                )
-
-    return docs.select("id", "uid", "text", "anchors").mapInArrow(run, SEGMENT)
-
-
-def repeated_windows(bytes_: list[bytes], lead: np.ndarray, windows: np.ndarray, ids: np.ndarray, p: Repeats) -> tuple[np.ndarray, np.ndarray]:
-    """Of distinct segments, each with its least document, the windows that also start in one of a
-    smaller document: segment number and window number.
+            for i in range(batch.num_rows):
+                lists = [_unpack(_LIST, x.as_buffer(), len(x.as_buffer()) // 17)[0] for x in batch.column(3)[i].values]
+                for lo in range(0, len(lists), 256):
+                    h, start, windows, lead, crowded = _together(lists[lo : lo + 256], _LIST)
+                    start, windows, lead = (x.astype(np.int64) for x in (start, windows, lead))
+                    size = windows + p.length - 1
+                    found.append([h, np.full(len(h), ids[i]), np.full(len(h), uids[i]), start, windows, lead, crowded.astype(bool), gather(raw, offsets[i] + start, size)])
+                    held += int((size * np.where(crowded, windows, 1)).sum())
+                    if held > p.bucket_bytes:
+                        yield block(found, turn)
+                        found, held, turn = [], 0, turn + 1
+        if found:
+            yield block(found, turn)
+        tn.trim()
+
+    # With the carried columns, though unused, so that the shuffled texts are those that the cut takes too.
+    return docs.select("id", "uid", "text", "lists", "carried").mapInArrow(run, PACKED)
+
+
+def repeated_windows(flat: np.ndarray, lead: np.ndarray, windows: np.ndarray, ids: np.ndarray, p: Repeats) -> tuple[np.ndarray, np.ndarray]:
+    """Of distinct segments (flat: their bytes, end to end), each with its least document, the windows
+    that also start in one of a smaller document: segment number and window number.
 
     Segments are laid out so that all anchors have one residue modulo the cover's period: equal
     windows then share a residue, and the cover's ranks decide every tie between them.
     """
-    size = np.fromiter(map(len, bytes_), np.int64, len(bytes_))
+    size = windows + p.length - 1
     room = -(-(size + PERIOD) // PERIOD) * PERIOD
     base = np.cumsum(room) - room + (-lead) % PERIOD
     text = np.zeros(int(room.sum()) + p.length, np.uint8)
-    flat = np.frombuffer(b"".join(bytes_), np.uint8)
     text[np.repeat(base - (np.cumsum(size) - size), size) + np.arange(len(flat))] = flat
     owner = np.repeat(np.arange(len(size)), windows)
     number = np.arange(len(owner)) - np.repeat(np.cumsum(windows) - windows, windows)
@@ -246,130 +426,99 @@ def repeated_windows(bytes_: list[bytes], lead: np.ndarray, windows: np.ndarray,
     return owner[marked], number[marked]
 
 
-def _removals(segments: DataFrame, p: Repeats) -> DataFrame:
-    """``id, uid, start, end``: bytes to remove, bucket by bucket."""
-
-    def run(rows: pd.DataFrame) -> pd.DataFrame:
-        raw = np.frombuffer(b"".join(rows["bytes"]), np.uint8)
-        ends = np.cumsum((rows["windows"] + p.length - 1).to_numpy().astype(np.int64))
-        starts = np.concatenate([[0], ends[:-1]])
-        rows["c1"] = tn.word_hashes(raw, starts, ends, lower=False).view(np.int64)
-        rows["c2"] = tn.word_hashes(raw ^ np.uint8(0x5A), starts, ends, lower=False).view(np.int64)
-        del raw
-        rows = rows.sort_values(["anchor", "c1", "c2", "lead", "id"], kind="stable")
-        anchor, c1, c2, lead, ids = (rows[c].to_numpy() for c in ("anchor", "c1", "c2", "lead", "id"))
-        new = np.ones(len(rows), bool)
-        new[1:] = (anchor[1:] != anchor[:-1]) | (c1[1:] != c1[:-1]) | (c2[1:] != c2[:-1]) | (lead[1:] != lead[:-1])
-        kind = np.cumsum(new) - 1
-        head = np.flatnonzero(new)  # a distinct segment's least document comes first
-        copied = ids > ids[head][kind]
-        start, count = rows["start"].to_numpy(), rows["windows"].to_numpy()
-        out = [(np.flatnonzero(copied), start[copied], start[copied] + count[copied] - 1)]
-        own = anchor[head]
-        several = np.zeros(len(head), bool)
-        several[1:] |= own[1:] == own[:-1]
-        several[:-1] |= own[1:] == own[:-1]
-        pick = head[several]
-        data = rows["bytes"].to_numpy()
-        step = p.segments
-        cuts = [0]
-        group = np.flatnonzero(np.concatenate([[True], own[several][1:] != own[several][:-1]])) if len(pick) else np.empty(0, np.int64)
-        while len(pick) and cuts[-1] < len(pick):  # whole anchors, about step segments at once
-            nxt = group[np.searchsorted(group, cuts[-1] + step, "right") - 1] if cuts[-1] + step < len(pick) else len(pick)
-            cuts.append(int(nxt) if nxt > cuts[-1] else int(group[group > cuts[-1]][0]) if (group > cuts[-1]).any() else len(pick))
-        for a, b in zip(cuts[:-1], cuts[1:], strict=True):
-            some = pick[a:b]
-            seg, win = repeated_windows(data[some].tolist(), lead[some].astype(np.int64), count[some].astype(np.int64), ids[some], p)
-            if not len(seg):
+def _sorted_out(segments: DataFrame, p: Repeats) -> DataFrame:
+    """By document, the spans that go because a smaller document holds their windows: the suffixes of a
+    bucket's segments are sorted, and runs that agree on ``length`` bytes compared by document."""
+
+    def run(rows: pa.Table) -> pa.Table:
+        spans, parts, texts = [], [], []
+        for kind, n, data in zip(rows["kind"].to_pylist(), rows["n"].to_pylist(), rows["data"], strict=True):
+            data = data.as_buffer()
+            if kind == GONE:
+                spans.append(_unpack(_SPAN, data, n)[0])
                 continue
-            first = np.ones(len(seg), bool)
-            first[1:] = (seg[1:] != seg[:-1]) | (win[1:] != win[:-1] + 1)
-            last = np.append(first[1:], True)
-            number, lo, hi = kind[some[seg[first]]], win[first], win[last]
-            # What holds for a distinct segment's least document holds for all its rows of that document.
-            same = np.flatnonzero(~copied)
-            edge = np.searchsorted(kind[same], np.arange(len(head) + 1))
-            many = edge[number + 1] - edge[number]
-            each = same[np.repeat(edge[number] - (np.cumsum(many) - many), many) + np.arange(int(many.sum()))]
-            out.append((each, start[each] + np.repeat(lo, many), start[each] + np.repeat(hi, many)))
-        at = np.concatenate([o[0] for o in out])
+            columns, at = _unpack(_TEXT, data, n)
+            parts.append(columns)
+            texts.append(np.frombuffer(data, np.uint8, offset=at))
+        anchor, ids, uids, start, windows, lead = _together(parts, _TEXT)
+        if len(anchor):
+            start, windows, lead = (x.astype(np.int64) for x in (start, windows, lead))
+            text = np.concatenate(texts)
+            del parts, texts
+            size = windows + p.length - 1
+            at = np.cumsum(size) - size
+            # Equal segments are one; its rows are those of its least document, or go.
+            _, _, kind = tn.distinct_spans(text, at, at + size)
+            order = np.lexsort([ids, lead, kind, anchor])
+            new = _groups(anchor[order], kind[order], lead[order])
+            heads = np.flatnonzero(new)
+            group = np.cumsum(new) - 1
+            copied = ids[order] > ids[order[heads]][group]
+            own = order[copied]
+            spans.append([ids[own], uids[own], start[own], start[own] + size[own]])
+            # Whole anchors of several segments, about crowd segments at once.
+            pick = order[heads]
+            first = np.flatnonzero(_groups(anchor[pick]))
+            n_kinds = np.diff(np.append(first, len(pick)))
+            several = np.flatnonzero(np.repeat(n_kinds > 1, n_kinds))
+            edge = np.cumsum(n_kinds[n_kinds > 1])
+            at_head = np.append(heads, len(order))
+            lo = 0
+            while lo < len(several):
+                hi = int(edge[max(np.searchsorted(edge, lo + p.crowd, "right") - 1, np.searchsorted(edge, lo, "right"))])
+                some = pick[several[lo:hi]]
+                seg, win = repeated_windows(gather(text, at[some], size[some]), lead[some], windows[some], ids[some], p)
+                if len(seg):
+                    run_first = np.concatenate([[True], (seg[1:] != seg[:-1]) | (win[1:] != win[:-1] + 1)])
+                    run_last = np.append(run_first[1:], True)
+                    number, a, b = several[lo:hi][seg[run_first]], win[run_first], win[run_last]
+                    # What holds for the least document's segment holds for all its rows of that document.
+                    many = at_head[number + 1] - at_head[number]
+                    which = np.repeat(np.arange(len(number)), many)
+                    place = at_head[number][which] + np.arange(len(which)) - np.repeat(np.cumsum(many) - many, many)
+                    same = ~copied[place]
+                    own, which = order[place[same]], which[same]
+                    spans.append([ids[own], uids[own], start[own] + a[which], start[own] + b[which] + p.length])
+                lo = hi
+        out = _listed(_spans(_together(spans, _SPAN)))
         tn.trim()
-        return pd.DataFrame({"id": ids[at], "uid": rows["uid"].to_numpy()[at], "start": np.concatenate([o[1] for o in out]), "end": np.concatenate([o[2] for o in out]) + p.length})
-
-    return segments.groupBy("bucket").applyInPandas(run, "id long, uid long, start long, end long")
+        return out
 
-
-def _windows(docs: DataFrame, p: Repeats) -> DataFrame:
-    """Each window of ``id, uid, text, parts`` (start and number of windows) with its 128-bit digest."""
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            ids, uids = (batch.column(c).to_numpy(zero_copy_only=False) for c in (0, 1))
-            raw, offsets = tn.utf8(batch.column(2))
-            for i in range(batch.num_rows):
-                parts = batch.column(3)[i].values
-                first, count = parts.field(0).to_numpy(), parts.field(1).to_numpy().astype(np.int64)
-                at = np.repeat(first - (np.cumsum(count) - count), count) + np.arange(int(count.sum()))
-                c1, c2 = _digests(raw[offsets[i] : offsets[i + 1]], at, at + p.length)
-                yield pa.RecordBatch.from_arrays([pa.array(np.full(len(at), ids[i])), pa.array(np.full(len(at), uids[i])), pa.array(at), pa.array(c1), pa.array(c2)], names=["id", "uid", "start", "w1", "w2"])
-
-    return docs.select("id", "uid", "text", "parts").mapInArrow(run, "id long, uid long, start long, w1 long, w2 long")
-
-
-def _crowd_removals(by_uid: DataFrame, hot: DataFrame, p: Repeats, n_buckets: int) -> DataFrame:
-    """``id, uid, start, end`` behind crowded anchors, with no task that gathers one anchor's text.
-
-    Equal segments meet by digest, with partial aggregation of their least document; all others lose
-    the whole segment. Windows are dealt out only for least documents of anchors with several segments.
-    """
-    spark = by_uid.sparkSession
-    crowd = by_uid.join(hot.filter(F.size("crowded") > 0).select("uid", F.col("crowded").alias("anchors")), "uid")
-    found = checkpoint(_segments(crowd, p, n_buckets, crowded=True).select("anchor", "c1", "c2", "id", "uid", "start", "windows"))
-    release(spark)
-    kinds = checkpoint(found.groupBy("anchor", "c1", "c2").agg(F.min("id").alias("least")))
-    several = kinds.groupBy("anchor").agg(F.count(F.lit(1)).alias("n")).filter("n > 1").select("anchor")
-    tagged = found.join(kinds, ["anchor", "c1", "c2"])
-    whole = tagged.filter("id > least").select("id", "uid", "start", (F.col("start") + F.col("windows") - 1 + p.length).alias("end"))
-    least = tagged.filter("id = least").join(several, "anchor", "left_semi").groupBy("uid").agg(F.collect_list(F.struct("start", "windows")).alias("parts"))
-    each = checkpoint(_windows(by_uid.join(least, "uid"), p))
-    release(spark)
-    first = each.groupBy("w1", "w2").agg(F.min("id").alias("least"))
-    return whole.unionByName(each.join(first, ["w1", "w2"]).filter("id > least").select("id", "uid", "start", (F.col("start") + p.length).alias("end")))
+    return segments.groupBy("bucket").applyInArrow(run, LISTED)
 
 
 def _cut(docs: DataFrame, whole_chars: bool) -> DataFrame:
-    """Apply the removals of ``id, text, removals``; those of another id (whose key is the same by chance) are not its own."""
+    """Take the listed spans out of ``id, uid, text, lists, carried``."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            ids = batch.column(0).to_pylist()
-            raw, offsets = tn.utf8(batch.column(1))
-            lists = batch.column(2)
-            kept, sizes, removed, spans = [], [], [], []
+            raw, offsets = tn.utf8(batch.column(2))
+            lists = batch.column(3)
+            kept, removed, spans = [], [], []
             for i in range(batch.num_rows):
                 text = raw[offsets[i] : offsets[i + 1]]
-                pairs = lists[i].values
-                if ids[i] is None or pairs is None or not len(pairs):
+                found = lists[i].values
+                if found is None or not len(found):
                     kept.append(text.tobytes())
                     removed.append(0)
                     spans.append(0)
-                else:
-                    depth = np.zeros(len(text) + 1, np.int64)
-                    own = pairs.field(2).to_numpy() == ids[i]
-                    np.add.at(depth, pairs.field(0).to_numpy()[own], 1)
-                    np.add.at(depth, pairs.field(1).to_numpy()[own], -1)
-                    gone = np.cumsum(depth[:-1]) > 0
-                    if whole_chars:  # a character that loses a byte goes
-                        char = np.cumsum((text & 0xC0) != 0x80) - 1
-                        gone = (np.bincount(char, gone) > 0)[char]
-                    kept.append(text[~gone].tobytes())
-                    removed.append(int(gone.sum()))
-                    spans.append(int(gone[0]) + int((gone[1:] & ~gone[:-1]).sum()))
-                sizes.append(len(text))
-            yield pa.RecordBatch.from_arrays([batch.column(0), *(pa.array(x, pa.int64()) for x in (sizes, removed, spans)), pa.array(kept, pa.binary()), batch.column(3)], names=schema.names)
+                    continue
+                a, b = _together([_unpack(("<u4", "<u4"), x.as_buffer(), len(x.as_buffer()) // 8)[0] for x in found], ("<u4", "<u4"))
+                depth = np.zeros(len(text) + 1, np.int64)
+                np.add.at(depth, a, 1)
+                np.add.at(depth, b, -1)
+                gone = np.cumsum(depth[:-1]) > 0
+                if whole_chars:  # a character that loses a byte goes
+                    char = np.cumsum((text & 0xC0) != 0x80) - 1
+                    gone = (np.bincount(char, gone) > 0)[char]
+                kept.append(text[~gone].tobytes())
+                removed.append(int(gone.sum()))
+                spans.append(int(gone[0]) + int((gone[1:] & ~gone[:-1]).sum()))
+            yield pa.RecordBatch.from_arrays([batch.column(0), *(pa.array(x, pa.int64()) for x in (np.diff(offsets), removed, spans)), pa.array(kept, pa.binary()), batch.column(4)], names=schema.names)
+        tn.trim()
 
     schema = T.StructType([T.StructField(c, T.LongType()) for c in ("id", "n_bytes", "n_removed", "n_spans")]).add("kept", T.BinaryType()).add("carried", docs.schema["carried"].dataType)
-    return docs.select("id", "text", "removals", "carried").mapInArrow(run, schema)
+    return docs.select("id", "uid", "text", "lists", "carried").mapInArrow(run, schema)
 
 
 def remove_repeats(docs: DataFrame, params: Repeats | None = None, id_col: str = "doc_id", text_col: str = "text", carry: tuple[str, ...] = (), whole_chars: bool = False) -> DataFrame:
@@ -379,15 +528,16 @@ def remove_repeats(docs: DataFrame, params: Repeats | None = None, id_col: str =
     ``carry``. Strings are judged on the input. Ids must be integers. With ``whole_chars``, a character
     that loses a byte goes as a whole, so that ``kept`` is UTF-8.
 
-    1. Whole copies collapse: a text of a smaller document loses all its bytes elsewhere.
-    2. Every window of ``length`` bytes has one anchor, the least-hashed ``gram`` bytes in it. Blocks
-       of text send their sorted anchors to hash buckets, which name those of two documents or more.
-    3. The text behind such anchors goes to suffix buckets. A bucket collapses equal segments, then
-       orders the windows of the others by difference-cover blockwise suffix sorting; runs that agree
-       on ``length`` bytes show which windows a smaller document holds. Matches are compared byte by
-       byte there; equal segments are known by 128 bits.
-    4. Behind an anchor that over ``crowd`` documents share, equal segments, and then windows, meet by
-       128-bit digest with partial aggregation, so that no task gathers a hot passage.
+    1. Every window of ``length`` bytes has one anchor, the least-hashed ``gram`` bytes in it; a run of
+       windows with one anchor is a segment. A block of text sends, for each segment, only its least
+       document's sightings to hash buckets; the others already go. A bucket finds each segment's least
+       document, and the anchors whose segments differ.
+    2. The text behind such anchors goes to suffix buckets, which order the windows by difference-cover
+       blockwise suffix sorting; runs that agree on ``length`` bytes show which windows a smaller
+       document holds. Matches are compared byte by byte there; equal segments of step 1 are known by
+       their anchor and 96 bits.
+    3. An anchor of over ``crowd`` distinct segments is dealt out window by window, each to the bucket
+       of its own digest, and sorted there: so no bucket gathers what surrounds a hot passage.
 
     Null and empty texts, and those under ``length`` bytes, lose nothing. A row of a null id is neither
     compared nor changed. Repeated rows (same id and text) are returned once; different texts of one
@@ -398,30 +548,24 @@ def remove_repeats(docs: DataFrame, params: Repeats | None = None, id_col: str =
     modest_batches(docs)
     spark = docs.sparkSession
     carried = F.struct(*(F.col(c).alias(f"c{i}") for i, c in enumerate(carry))) if carry else F.lit(True)
-    rows = docs.select(F.col(id_col).cast("long").alias("id"), carried.alias("carried"), F.coalesce(F.col(text_col), F.lit("")).alias("text")).withColumn("uid", F.xxhash64("id", F.sha2(F.col("text").cast("binary"), 256)))
-    facts = checkpoint(rows.select("id", "uid", F.octet_length("text").cast("long").alias("n_bytes"), F.sha2(F.col("text").cast("binary"), 256).alias("sha")).groupBy("id", "uid", "n_bytes", "sha").agg(F.count(F.lit(1)).alias("times")))
-    size, times, n, n_ids = facts.agg(F.sum("n_bytes"), F.max("times"), F.count(F.lit(1)), F.count_distinct("id")).first()
-    if n == n_ids:  # every id has one text: then it is its own key, which compresses well
-        rows, facts = (df.withColumn("uid", F.col("id")) for df in (rows, facts))
-    n_buckets = max(spark.sparkContext.defaultParallelism * 2, -(-(size or 0) // p.bucket_bytes))
-    heads = facts.filter(f"id IS NOT NULL AND n_bytes >= {p.length}").groupBy("sha").agg(F.min("id").alias("head"), F.min("uid").alias("any"), F.count(F.lit(1)).alias("n")).filter("n > 1").select("sha", "head")
-    copies = checkpoint(facts.filter(f"n_bytes >= {p.length}").join(heads, "sha").filter("id > head").select("id", "uid", "n_bytes"))
-    skip = small_side(copies.select("id", "uid"), 32)
-    live = rows.join(skip, ["id", "uid"], "left_anti")
-    by_uid = live.repartition(n_buckets, "uid")
-
-    hot = checkpoint(_shared(_anchors(live.filter("id IS NOT NULL"), p, n_buckets), p).groupBy("uid").agg(F.collect_list(F.when(~F.col("crowded"), F.col("anchor"))).alias("anchors"), F.collect_list(F.when(F.col("crowded"), F.col("anchor"))).alias("crowded")))
+    rows = docs.select(F.col(id_col).cast("long").alias("id"), carried.alias("carried"), F.coalesce(F.col(text_col), F.lit("")).alias("text"))
+    size, n, n_ids = rows.agg(F.sum(F.octet_length("text")), F.count(F.lit(1)), F.count_distinct("id")).first()
+    unique = n == n_ids  # every id has one text: then it is its own key
+    rows = rows.withColumn("uid", F.col("id") if unique else F.xxhash64("id", F.sha2(F.col("text").cast("binary"), 256)))
+    # A sighting, some 30 bytes, stands for some 17 bytes of text.
+    n_buckets = max(spark.sparkContext.defaultParallelism * 4, -(-2 * (size or 0) // p.bucket_bytes))
+    seen = _sightings(rows.filter(f"id IS NOT NULL AND octet_length(text) >= {p.length}"), p, n_buckets)
+    found = checkpoint(_resolved(seen, p))
     release(spark)
-
-    plain = by_uid.join(hot.filter(F.size("anchors") > 0).select("uid", "anchors"), "uid")
-    removals = _removals(_segments(plain, p, 4 * n_buckets, crowded=False), p)
-    if not hot.filter(F.size("crowded") > 0).isEmpty():
-        removals = removals.unionByName(_crowd_removals(by_uid, hot, p, n_buckets))
-        release(spark)
-    removals = removals.groupBy("uid").agg(F.collect_list(F.struct("start", "end", "id")).alias("removals"))
-    once = by_uid.dropDuplicates(["id", "uid"]) if (times or 0) > 1 else by_uid
-    cut = _cut(once.join(removals, "uid", "left"), whole_chars)
-    lost = copies.withColumn("carried", F.lit(True)) if not carry else copies.join(rows.select("id", "uid", "carried").dropDuplicates(["id", "uid"]), ["id", "uid"])
-    gone = lost.select("id", "n_bytes", F.col("n_bytes").alias("n_removed"), F.lit(1).cast("long").alias("n_spans"), F.lit(b"").alias("kept"), "carried")
+    lists = found.groupBy("id", "uid", "kind").agg(F.collect_list("data").alias("lists"))
+    wanted = found.filter(F.col("kind") == TEXT).agg(F.sum("n")).first()[0] or 0
+    n_sorts = max(spark.sparkContext.defaultParallelism * 4, -(-wanted * 2 * p.length // p.bucket_bytes))
+    by_id = rows.repartition("id", "uid")  # one shuffle of texts serves both joins
+    if not unique:
+        by_id = by_id.dropDuplicates(["id", "uid"])
+    differing = by_id.join(lists.filter(F.col("kind") == TEXT).select("id", "uid", "lists"), ["id", "uid"])
+    more = _sorted_out(_segments(differing, p, n_sorts), p)
+    gone = found.filter(F.col("kind") == GONE).unionByName(more).groupBy("id", "uid").agg(F.collect_list("data").alias("lists"))
+    cut = _cut(by_id.join(gone, ["id", "uid"], "left"), whole_chars)
     extra = [F.col(f"carried.c{i}").alias(c) for i, c in enumerate(carry)]
-    return cut.unionByName(gone).select(F.col("id").alias(id_col), "n_bytes", "n_removed", "n_spans", "kept", *extra)
+    return cut.select(F.col("id").alias(id_col), "n_bytes", "n_removed", "n_spans", "kept", *extra)

@@ -13,12 +13,10 @@ from functools import lru_cache
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
+import xxhash
 
 ROWS_BYTES = 4 << 20
-CHUNK = 1 << 18
 U64 = np.uint64
-_BASE = 0x9E3779B97F4A7C15 | 1
-_BASE_INV = pow(_BASE, -1, 1 << 64)
 
 
 def trim() -> None:
@@ -40,40 +38,88 @@ def mix(x: np.ndarray) -> np.ndarray:
         return x ^ (x >> U64(31))
 
 
-_powers: list[np.ndarray] = [np.ones(1, U64), np.ones(1, U64)]
-
-
-def powers(n: int) -> tuple[np.ndarray, np.ndarray]:
-    """The first n powers of the hash base and of its inverse, modulo 2**64; short tables are kept."""
-    if len(_powers[0]) >= n:
-        return _powers[0][:n], _powers[1][:n]
-    out = []
-    for base in (_BASE, _BASE_INV):
-        p = np.empty(max(n, CHUNK), U64)
-        p[0], size = 1, 1
-        while size < len(p):
-            step = U64(pow(base, size, 1 << 64))
-            take = min(size, len(p) - size)
-            p[size : size + take] = p[:take] * step
-            size += take
-        out.append(p)
-    if n <= 2 * CHUNK:
-        _powers[:] = out
-    return out[0][:n], out[1][:n]
-
-
-def span_hashes(codes: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
-    """A 64-bit hash of every span of codes; equal spans have equal hashes wherever they stand."""
-    n = len(codes)
-    if not n or not len(starts):
-        return np.empty(0, U64)
-    p, q = powers(n)
-    total = np.empty(n + 1, U64)
-    total[0] = 0
-    np.multiply(codes, p, out=total[1:], dtype=U64)
-    total[1:] += p  # so that no code counts as nothing
-    np.cumsum(total, out=total)
-    return mix((total[ends] - total[starts]) * q[starts] + (ends - starts).astype(U64))
+#: Seeds of independent hashes.
+_LANES = (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F)
+#: Longer spans are hashed one by one: there are few of them for their bytes.
+_LONG = 1024
+_MASKS = np.array([(1 << 8 * k) - 1 for k in range(9)], U64)
+
+
+def _overlapping(codes: np.ndarray) -> np.ndarray:
+    """The 8 bytes from every byte of codes on, as numbers; zeros stand after the last."""
+    padded = np.zeros(codes.nbytes + 8, np.uint8)
+    padded[:-8] = np.ascontiguousarray(codes).view(np.uint8)
+    return np.ndarray(codes.nbytes + 1, "<u8", padded, 0, (1,))
+
+
+def _spelled(codes: np.ndarray, start: int, size: int) -> bytes:
+    return np.ascontiguousarray(codes).view(np.uint8)[start : start + size].tobytes()
+
+
+def span_hashes(codes: np.ndarray, starts: np.ndarray, ends: np.ndarray, lane: int = 0) -> np.ndarray:
+    """A 64-bit hash of every span of codes; equal spans have equal hashes wherever they stand.
+
+    Eight bytes at a time go through a scramble that is not linear, so no family of spans is known to
+    collide, and spans of up to eight bytes of one size never do.
+    """
+    wide = codes.dtype.itemsize
+    starts, size = starts * wide, (ends - starts) * wide
+    h = mix(size.astype(U64) ^ U64(_LANES[lane]))
+    view, at = _overlapping(codes), 0
+    live = np.flatnonzero((size > 0) & (size <= _LONG))
+    while len(live):
+        left = size[live] - at
+        h[live] = mix(h[live] ^ (view[starts[live] + at] & _MASKS[np.minimum(left, 8)]))
+        live = live[left > 8]
+        at += 8
+    for i in np.flatnonzero(size > _LONG).tolist():
+        h[i] = xxhash.xxh3_64_intdigest(_spelled(codes, starts[i], size[i]), _LANES[lane])
+    return h
+
+
+def equal_spans(a: np.ndarray, a_starts: np.ndarray, a_ends: np.ndarray, b: np.ndarray, b_starts: np.ndarray, b_ends: np.ndarray) -> np.ndarray:
+    """Whether span i of a holds what span i of b holds, byte by byte."""
+    wide = a.dtype.itemsize
+    size = (a_ends - a_starts) * wide
+    same = size == (b_ends - b_starts) * wide
+    left, right, at = _overlapping(a), _overlapping(b), 0
+    p, q = a_starts * wide, b_starts * wide
+    live = np.flatnonzero(same & (size > 0) & (size <= _LONG))
+    while len(live):
+        rest = size[live] - at
+        differ = ((left[p[live] + at] ^ right[q[live] + at]) & _MASKS[np.minimum(rest, 8)]) != 0
+        same[live[differ]] = False
+        live = live[~differ & (rest > 8)]
+        at += 8
+    for i in np.flatnonzero(same & (size > _LONG)).tolist():
+        same[i] = _spelled(a, p[i], size[i]) == _spelled(b, q[i], size[i])
+    return same
+
+
+def distinct_spans(codes: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """The hashes of the distinct spans, the first place of each, and every span's number among them.
+
+    Hashes only propose: every span is compared with the first of its hash, and one that differs gets
+    a number of its own.
+    """
+    import pandas as pd
+
+    code, keys = pd.factorize(span_hashes(codes, starts, ends))
+    pick = np.empty(len(keys), np.int64)
+    pick[code[::-1]] = np.arange(len(code) - 1, -1, -1)
+    first = pick[code]
+    odd = np.flatnonzero(~equal_spans(codes, starts, ends, codes, starts[first], ends[first]))
+    if len(odd):
+        wide, more, known = codes.dtype.itemsize, [], {}
+        for i in odd.tolist():
+            word = _spelled(codes, starts[i] * wide, (ends[i] - starts[i]) * wide)
+            if word not in known:
+                known[word] = len(pick) + len(more)
+                more.append((i, keys[code[i]]))
+            code[i] = known[word]
+        pick = np.append(pick, [i for i, _ in more])
+        keys = np.append(keys, np.array([k for _, k in more], U64))
+    return keys, pick, code
 
 
 def utf8(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
@@ -116,18 +162,9 @@ def words(raw: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray,
     return starts, np.flatnonzero(final) + 1, np.diff(np.searchsorted(starts, offsets))
 
 
-def word_hashes(raw: np.ndarray, starts: np.ndarray, ends: np.ndarray, lower: bool = True) -> np.ndarray:
-    """Hashes of byte spans that ascend, in chunks of the text so that the tables stay small."""
-    out, at = np.empty(len(starts), U64), 0
-    while at < len(starts):
-        base = starts[at]
-        to = max(at + 1, int(np.searchsorted(ends, base + CHUNK, "right")))
-        part = raw[base : ends[to - 1]]
-        if lower:
-            part = part + (((part - np.uint8(65)) < 26).view(np.uint8) << np.uint8(5))
-        out[at:to] = span_hashes(part, starts[at:to] - base, ends[at:to] - base)
-        at = to
-    return out
+def word_hashes(raw: np.ndarray, starts: np.ndarray, ends: np.ndarray, lane: int = 0) -> np.ndarray:
+    """Hashes of byte spans with A-Z as a-z."""
+    return span_hashes(raw + (((raw - np.uint8(65)) < 26).view(np.uint8) << np.uint8(5)), starts, ends, lane)
 
 
 def unique(values: np.ndarray) -> np.ndarray:

@@ -14,7 +14,6 @@ from pyspark.sql import types as T
 
 from . import textnum as tn
 from .common import modest_batches
-from .pieces import distinct
 
 ROOT = 0
 
@@ -69,9 +68,9 @@ class LongestMatch:
         begin, size = starts[order], (ends - starts)[order]
         state = np.full(len(order), self.child[self.row[ROOT], 0x20], np.int32)
         total = np.zeros(len(order), np.int64)
-        live = len(order)
-        for t in range(int(size[0]) if live else 0):
-            live = int(np.searchsorted(-size, -t, "left"))  # words of more than t bytes
+        shortest = size[::-1]
+        for t in range(int(size[0]) if len(order) else 0):
+            live = len(order) - int(np.searchsorted(shortest, t, "right"))  # words of more than t bytes
             byte = raw[begin[:live] + t]
             to = self.child[self.row[state[:live]], byte]
             lost = np.flatnonzero(to < 0)
@@ -106,7 +105,7 @@ def count_batch(machine: LongestMatch, column: pa.Array) -> tuple[np.ndarray, np
         starts, ends, per_row = tn.words(part, off)
         if not len(starts):
             continue
-        _, pick, back = distinct(tn.word_hashes(part, starts, ends, lower=False))
+        _, pick, back = tn.distinct_spans(part, starts, ends)
         each = machine.counts(part, starts[pick], ends[pick])[back]
         total = np.concatenate([[0], np.cumsum(each)])
         edge = np.concatenate([[0], np.cumsum(per_row)])
@@ -119,7 +118,7 @@ def token_counts(docs: DataFrame, vocabulary_path: str, id_col: str = "doc_id",
 
     A text's words are its runs of ``[^\\x20\\x09-\\x0D]``. Each word, with a blank before it, is cut
     from the left into the longest tokens of the vocabulary; a byte that no token covers is a token.
-    Within a batch every distinct word (64-bit hash) is scanned once. The work needs no shuffle.
+    Within a batch every distinct word is scanned once. The work needs no shuffle.
 
     Null and empty texts have 0 words and 0 tokens; a very long text, or word, is scanned whole in
     time linear in its length. Repeated rows and null ids are returned as they come; an empty table
