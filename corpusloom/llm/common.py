@@ -17,11 +17,19 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+#: Bytes of rows handed to Python at once, whatever their number.
+BATCH_BYTES = 16 << 20
+
+
 def modest_batches(df: DataFrame, rows: int = 1000) -> None:
-    """Hand texts to Python in batches of at most so many rows; the default of 10,000 holds far more memory."""
+    """Hand texts to Python in batches of at most so many rows and BATCH_BYTES; the defaults hold far more
+    memory. The session keeps these bounds, for frames run later; they change no result."""
     conf = df.sparkSession.conf
-    if int(conf.get("spark.sql.execution.arrow.maxRecordsPerBatch")) > rows:
-        conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(rows))
+    for name, most in (("maxRecordsPerBatch", rows), ("maxBytesPerBatch", BATCH_BYTES)):
+        key = f"spark.sql.execution.arrow.{name}"
+        now = int(conf.get(key).rstrip("b") or 0)
+        if now <= 0 or now > most:
+            conf.set(key, str(most))
 
 
 def checkpoint(df: DataFrame) -> DataFrame:

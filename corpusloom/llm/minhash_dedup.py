@@ -17,8 +17,8 @@ from .common import checkpoint, modest_batches, small_side
 from .components import connected_components
 
 U64 = np.uint64
-#: At most 2**ROW_BITS rows are taken at once; the rest of 64 bits tells shingles apart.
-ROW_BITS = 12
+#: Rows taken at once.
+ROWS = 4096
 
 
 @dataclass(frozen=True)
@@ -30,7 +30,7 @@ class NearDup:
     more than ``small`` members are compared in tiles of about ``tile`` by ``tile``.
     """
 
-    words: int = 2
+    words: int = 5
     percent: int = 80
     bands: int = 32
     rows: int = 5
@@ -50,41 +50,43 @@ def permutations(p: NearDup) -> tuple[np.ndarray, np.ndarray]:
     return sigma, np.lib.stride_tricks.sliding_window_view(np.concatenate([pi, pi[: k - 1]]), k)
 
 
-def shingle_sets(raw: np.ndarray, offsets: np.ndarray, width: int) -> tuple[np.ndarray, np.ndarray]:
-    """Sorted distinct shingle hashes of every row, end to end, and how many each row has."""
+def shingle_sets(raw: np.ndarray, offsets: np.ndarray, width: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Sorted distinct shingle hashes of every row, end to end; a second, independent hash of each; and
+    how many each row has."""
     starts, ends, n_words = tn.words(raw, offsets)
-    n_rows = len(n_words)
-    h = tn.word_hashes(raw, starts, ends)
     edge = np.concatenate([[0], np.cumsum(n_words)])
     n_full = np.maximum(n_words - width + 1, 0)
-    first = np.ones(len(h), bool)  # a full shingle starts at each word with width - 1 more after it in its row
+    first = np.ones(len(starts), bool)  # a full shingle starts at each word with width - 1 more after it in its row
     for k in range(1, width):
         first[edge[1:][n_words >= k] - k] = False
-    first = np.flatnonzero(first)
     short = np.flatnonzero((n_words > 0) & (n_words < width))
-    value = np.empty(len(first) + len(short), U64)
-    owner = np.concatenate([np.repeat(np.arange(n_rows), n_full), short]).astype(U64)
-
-    def chain(at: np.ndarray, size: int) -> np.ndarray:
-        v = np.full(len(at), size, U64)
-        with np.errstate(over="ignore"):
-            for k in range(size):
-                v *= U64(0x9FB21C651E98DF25)
-                v += h[at + k]
-                v = tn.mix(v)
-        return v
-
-    value[: len(first)] = chain(first, width)
-    for size in range(1, width):
-        some = n_words[short] == size
-        value[len(first) :][some] = chain(edge[short[some]], size)
-    if n_rows == 1:
-        value = tn.unique(value)
-        return tn.mix(value >> U64(ROW_BITS)), np.array([len(value)])
-    # The row number goes into the top bits: one sort orders all rows' sets.
-    keyed = tn.unique((owner << U64(64 - ROW_BITS)) | (value >> U64(ROW_BITS)))
-    counts = np.diff(np.searchsorted(keyed >> U64(64 - ROW_BITS), np.arange(n_rows + 1, dtype=U64)))
-    return tn.mix(keyed & U64((1 << (64 - ROW_BITS)) - 1)), counts
+    first[edge[short]] = True  # a shorter sequence is one shingle
+    n_shingles = n_full.copy()
+    n_shingles[short] = 1
+    first = np.flatnonzero(first)
+    size = np.repeat(np.minimum(n_words, width), n_shingles)
+    value, second = (_chained(tn.word_hashes(raw, starts, ends, lane), first, size) for lane in (0, 1))
+    to = np.concatenate([[0], np.cumsum(n_shingles)])
+    order = np.empty(len(value), np.int64)
+    for a, b in zip(to[:-1].tolist(), to[1:].tolist(), strict=True):
+        order[a:b] = np.argsort(value[a:b])
+        order[a:b] += a
+    value, second = value[order], second[order]
+    new = np.ones(len(value), bool)
+    new[1:] = value[1:] != value[:-1]
+    new[to[:-1][n_shingles > 0]] = True
+    counts = np.diff(np.concatenate([[0], np.cumsum(new)])[to])
+    return value[new], second[new], counts
+
+
+def _chained(h: np.ndarray, at: np.ndarray, size: np.ndarray) -> np.ndarray:
+    """A hash of so many words from each place on."""
+    v = tn.mix(h[at] ^ size.astype(U64)) if len(at) else np.empty(0, U64)
+    with np.errstate(over="ignore"):
+        for k in range(1, int(size.max(initial=0))):
+            more = slice(None) if (size > k).all() else size > k
+            v[more] = tn.mix(v[more] * U64(0x9FB21C651E98DF25) + h[at[more] + k])
+    return v
 
 
 def signatures(values: np.ndarray, counts: np.ndarray, p: NearDup) -> np.ndarray:
@@ -108,12 +110,12 @@ def band_keys(signature: np.ndarray, p: NearDup) -> np.ndarray:
     return key.view(np.int64)
 
 
-def _digests(values: np.ndarray, counts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """128 bits of each set, as two sums of scrambled members."""
+def _digests(values: np.ndarray, seconds: np.ndarray, counts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """128 bits of each set, as sums of two independent scrambles of its members."""
     edge = np.concatenate([[0], np.cumsum(counts)])
     out = []
-    for salt in (0x51ED270B7A14F4E5, 0xC2B2AE3D27D4EB4F):
-        total = np.concatenate([np.zeros(1, U64), np.cumsum(tn.mix(values ^ U64(salt)), dtype=U64)])
+    for each in (tn.mix(values), tn.mix(seconds)):
+        total = np.concatenate([np.zeros(1, U64), np.cumsum(each, dtype=U64)])
         out.append((total[edge[1:]] - total[edge[:-1]]).view(np.int64))
     return out[0], out[1]
 
@@ -121,8 +123,8 @@ def _digests(values: np.ndarray, counts: np.ndarray) -> tuple[np.ndarray, np.nda
 def _ranged(column: pa.Array) -> Iterator[tuple[int, int, np.ndarray, np.ndarray]]:
     raw, offsets = tn.utf8(column)
     for first, last in tn.row_ranges(offsets, 2 << 20):
-        for lo in range(first, last, 1 << ROW_BITS):
-            hi = min(last, lo + (1 << ROW_BITS))
+        for lo in range(first, last, ROWS):
+            hi = min(last, lo + ROWS)
             yield lo, hi, raw[offsets[lo] : offsets[hi]], offsets[lo : hi + 1] - offsets[lo]
 
 
@@ -137,8 +139,8 @@ def sketches(docs: DataFrame, p: NearDup, id_col: str, text_col: str) -> DataFra
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for lo, hi, raw, offsets in _ranged(batch.column(1)):
-                values, counts = shingle_sets(raw, offsets, p.words)
-                h1, h2 = _digests(values, counts)
+                values, seconds, counts = shingle_sets(raw, offsets, p.words)
+                h1, h2 = _digests(values, seconds, counts)
                 keys = band_keys(signatures(values, counts, p), p)[counts > 0]
                 bands = _lists(keys.reshape(-1), np.where(counts > 0, p.bands, 0), pa.int64())
                 yield pa.RecordBatch.from_arrays([batch.column(0).slice(lo, hi - lo), pa.array(counts.astype(np.int64)), pa.array(h1), pa.array(h2), bands], names=["id", "n", "h1", "h2", "bands"])
@@ -153,10 +155,10 @@ def full_sets(docs: DataFrame, p: NearDup, id_col: str, text_col: str) -> DataFr
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for lo, hi, raw, offsets in _ranged(batch.column(1)):
-                values, counts = shingle_sets(raw, offsets, p.words)
-                h1, h2 = _digests(values, counts)
+                values, seconds, counts = shingle_sets(raw, offsets, p.words)
+                h1, h2 = _digests(values, seconds, counts)
                 edge = np.concatenate([[0], np.cumsum(counts)])
-                sets = [np.sort(values[a:b]).tobytes() for a, b in zip(edge[:-1], edge[1:], strict=True)]
+                sets = [values[a:b].tobytes() for a, b in zip(edge[:-1], edge[1:], strict=True)]
                 yield pa.RecordBatch.from_arrays([batch.column(0).slice(lo, hi - lo), pa.array(h1), pa.array(h2), pa.array(sets, pa.binary())], names=["id", "h1", "h2", "members"])
 
     schema = T.StructType([T.StructField("id", docs.schema[id_col].dataType), T.StructField("h1", T.LongType()), T.StructField("h2", T.LongType()), T.StructField("members", T.BinaryType())])
@@ -189,29 +191,29 @@ def _tiles(members: DataFrame, p: NearDup) -> DataFrame:
     """Links (a, b) that join components, between the ``outside`` rows of large buckets and all their members.
 
     Members are dealt into chunks by hash; a task sees two chunks of a bucket, and returns links that
-    these need, not pairs. A pair is measured only in the first bucket that it shares.
+    these need, not pairs. A pair is measured only in the first bucket that it shares, and only if its
+    sizes and its distances to the centre allow a link.
     """
     parts = members.groupBy("bucket").agg(F.ceil(F.count(F.lit(1)) / F.lit(p.tile)).alias("parts"))
-    row = F.struct("rep", "comp", "n", "bands", "members", "outside")
-    chunks = members.join(parts, "bucket").groupBy("bucket", F.pmod(F.xxhash64("rep"), F.col("parts")).alias("part")).agg(F.collect_list(row).alias("y"))
+    row = F.struct("rep", "comp", "n", "d", "bands", "members", "outside")
+    chunks = checkpoint(members.join(parts, "bucket").groupBy("bucket", F.pmod(F.xxhash64("rep"), F.col("parts")).alias("part")).agg(F.collect_list(row).alias("y")))
     outside = chunks.select("bucket", F.filter("y", lambda r: r["outside"]).alias("x")).filter(F.size("x") > 0)
     pairs = outside.join(chunks.select("bucket", "y"), "bucket").select("bucket", "x", "y")
+    limit = 1 - p.percent / 100 + 1e-9
 
-    def fields(column: pa.Array, i: int) -> tuple[list, list, np.ndarray, np.ndarray, list[np.ndarray]]:
+    def fields(column: pa.Array, i: int) -> tuple:
         own = column[i].values
         sets = [np.frombuffer(v.as_buffer(), U64) for v in own.field("members")]
         bands = own.field("bands").flatten().to_numpy().reshape(len(own), -1)
-        return own.field("rep").to_pylist(), own.field("comp").to_pylist(), own.field("n").to_numpy(), bands, sets
+        return own.field("rep").to_pylist(), own.field("comp").to_pylist(), own.field("n").to_numpy(), own.field("d").to_numpy(zero_copy_only=False), bands, sets
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             found: list[tuple] = []
             for i in range(batch.num_rows):
                 bucket = batch.column(0)[i].as_py()
-                x_rep, x_comp, x_n, x_bands, x_sets = fields(batch.column(1), i)
-                y_rep, y_comp, y_n, y_bands, y_sets = fields(batch.column(2), i)
-                flat = np.concatenate(y_sets)
-                edge = np.concatenate([[0], np.cumsum([len(v) for v in y_sets])])
+                x_rep, x_comp, x_n, x_d, x_bands, x_sets = fields(batch.column(1), i)
+                y_rep, y_comp, y_n, y_d, y_bands, y_sets = fields(batch.column(2), i)
                 parent = {c: c for c in [*x_comp, *y_comp]}
 
                 def root(c, parent=parent):
@@ -221,16 +223,23 @@ def _tiles(members: DataFrame, p: NearDup) -> DataFrame:
 
                 for k, own in enumerate(x_sets):
                     band = int(np.argmax(x_bands[k] == bucket))
+                    may = 100 * np.minimum(x_n[k], y_n) >= p.percent * np.maximum(x_n[k], y_n)
+                    may &= ~(np.abs(y_d - x_d[k]) > limit)  # an unknown distance excludes nothing
+                    may &= ~(y_bands[:, :band] == x_bands[k][:band]).any(axis=1)
+                    here = root(x_comp[k])
+                    some = [j for j in np.flatnonzero(may).tolist() if root(y_comp[j]) != here]
+                    if not some:
+                        continue
+                    flat = np.concatenate([y_sets[j] for j in some])
+                    size = y_n[some]
                     hits = np.searchsorted(own, flat)
                     hits[hits == len(own)] = 0
-                    shared = np.add.reduceat((own[hits] == flat).astype(np.int64), edge[:-1])
-                    linked = 100 * shared >= p.percent * (x_n[k] + y_n - shared)
-                    linked &= ~(y_bands[:, :band] == x_bands[k][:band]).any(axis=1)
-                    for j in np.flatnonzero(linked).tolist():
-                        u, v = root(x_comp[k]), root(y_comp[j])
+                    shared = np.add.reduceat((own[hits] == flat).astype(np.int64), np.cumsum(size) - size)
+                    for j in np.flatnonzero(100 * shared >= p.percent * (x_n[k] + size - shared)).tolist():
+                        u, v = root(x_comp[k]), root(y_comp[some[j]])
                         if u != v:
                             parent[max(u, v)] = min(u, v)
-                            found.append((x_rep[k], y_rep[j]))
+                            found.append((x_rep[k], y_rep[some[j]]))
             yield pa.RecordBatch.from_arrays([pa.array([a for a, _ in found], batch.column(1).type.value_type.field("rep").type), pa.array([b for _, b in found], batch.column(1).type.value_type.field("rep").type)], names=["a", "b"])
 
     kind = members.schema["rep"].dataType
@@ -258,8 +267,8 @@ def near_duplicates(docs: DataFrame, params: NearDup | None = None, id_col: str
        intersections of full sets confirm links; connected components join them.
     3. Members of a bucket outside its least id's component are compared with every other member
        that the sizes and the triangle inequality of the Jaccard distance do not exclude, given both
-       exact distances to the least id. Large buckets do this in tiles, which return only links that
-       join components. So every pair that shares a bucket is confirmed, excluded by a bound, or
+       exact distances to the least id. Buckets of over ``small`` members do this in tiles, which
+       return only links that join components. So every pair that shares a bucket is confirmed, excluded by a bound, or
        already in one component.
 
     Sets are recomputed only for documents in some pair. Hot buckets and hot centres meet joins that
@@ -288,9 +297,9 @@ def near_duplicates(docs: DataFrame, params: NearDup | None = None, id_col: str
     stars = checkpoint(stars)
     members = buckets.select("rep").distinct()
     texts = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text")).join(small_side(members.withColumnRenamed("rep", "id"), 24), "id")
-    known = nodes.select(F.col("rep").alias("id"), "h1", "h2", "n")
+    known = nodes.select(F.col("rep").alias("id"), "h1", "h2", "n", "bands")
     whole = full_sets(texts, p, "id", "text").join(known, ["id", "h1", "h2"]).dropDuplicates(["id", "h1", "h2"])
-    whole = checkpoint(whole.select("id", "n", "members"))
+    whole = checkpoint(whole.select("id", "n", "members", "bands"))
     count = whole.select("id", "n")
 
     def confirmed(pairs: DataFrame) -> DataFrame:
@@ -310,11 +319,11 @@ def near_duplicates(docs: DataFrame, params: NearDup | None = None, id_col: str
     placed = labelled(labelled(buckets, "rep", "comp"), "center", "c_comp").join(distance, ["center", "rep"], "left")
     # Without a measured distance the sizes' bound, or 0 for the centre itself, leaves d unknown.
     placed = placed.withColumn("d", F.when(F.col("rep") == F.col("center"), F.lit(0.0)).otherwise(F.col("d")))
-    outside = placed.filter("comp <> c_comp").select("bucket", F.col("rep").alias("x"), F.col("comp").alias("x_comp"), F.col("n").alias("x_n"), F.col("d").alias("x_d"), F.col("c_comp").alias("x_c_comp"))
+    outside = placed.filter("comp <> c_comp").select("bucket", "m", F.col("rep").alias("x"), F.col("comp").alias("x_comp"), F.col("n").alias("x_n"), F.col("d").alias("x_d"), F.col("c_comp").alias("x_c_comp"))
     limit = 1 - p.percent / 100 + 1e-9
     few = placed.filter(F.col("rep") != F.col("center")).filter(F.col("m") <= p.small).select("bucket", "rep", "comp", "c_comp", "n", "d")
     rest = (
-        outside.join(few, "bucket")
+        outside.drop("m").join(few, "bucket")
         .filter(F.col("x_comp") != F.col("comp"))
         .filter((F.col("comp") == F.col("c_comp")) | (F.col("x") < F.col("rep")))
         .filter(_similar_size(p, "n", "x_n"))
@@ -322,8 +331,10 @@ def near_duplicates(docs: DataFrame, params: NearDup | None = None, id_col: str
         .select(F.least("x", "rep").alias("a"), F.greatest("x", "rep").alias("b")).distinct()
         .join(first.select("a", "b"), ["a", "b"], "left_anti")
     )
-    crowded = placed.filter(F.col("m") > p.small).join(whole.select(F.col("id").alias("rep"), "members"), "rep").join(nodes.select("rep", "bands"), "rep")
-    tiled = _tiles(crowded.withColumn("outside", F.col("comp") != F.col("c_comp")), p)
+    # Only of buckets with a row outside are sets brought together.
+    open_ = outside.filter(F.col("m") > p.small).select("bucket").distinct()
+    crowded = placed.filter(F.col("m") > p.small).join(open_, "bucket", "left_semi").select("bucket", "rep", "comp", "d", (F.col("comp") != F.col("c_comp")).alias("outside"))
+    tiled = _tiles(crowded.join(whole.withColumnRenamed("id", "rep"), "rep"), p)
     second = checkpoint(confirmed(rest).filter("linked").select("a", "b").unionByName(tiled))
     bridges = labelled(labelled(second, "a", "u"), "b", "v").select(F.col("u").alias("a"), F.col("v").alias("b"))
     merged = connected_components(bridges).select(F.col("node").alias("m_node"), F.col("component").alias("m_component"))

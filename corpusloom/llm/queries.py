@@ -13,7 +13,7 @@ from .common import table
 from .exact_dedup import exact_dedup
 from .language_crf import identify, train
 from .license_scan import SPELLINGS, known_digests, license_scan
-from .minhash_dedup import near_duplicates
+from .minhash_dedup import NearDup, near_duplicates
 from .packing import pack
 from .suffix_dedup import remove_repeats
 from .token_counts import token_counts
@@ -23,7 +23,7 @@ COUNT_VOCABULARY = "byte_bpe_multi_50k.tiktoken"
 
 
 def op1_minhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return near_duplicates(table(spark, sf_dir, "documents"))
+    return near_duplicates(table(spark, sf_dir, "documents"), NearDup(words=2))
 
 
 def op2_ann_search(spark: SparkSession, sf_dir: str) -> DataFrame:

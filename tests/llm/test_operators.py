@@ -7,10 +7,11 @@ import zlib
 
 import numpy as np
 import public_tokenizers
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
-from corpusloom.llm import ann_search, byte_bpe, chat_format, components, exact_dedup, language_crf, license_scan, license_texts, minhash_dedup, packing, suffix_dedup, suffix_order, token_counts
+from corpusloom.llm import ann_search, byte_bpe, chat_format, components, exact_dedup, language_crf, license_scan, license_texts, minhash_dedup, packing, pieces, suffix_dedup, suffix_order, textnum, token_counts
 
 SCHEMA = "doc_id long, text string, lang string, id long, uid long, n long, key string, v string"
 WORD_BPE = public_tokenizers.path("word_bpe_49k.json")
@@ -56,10 +57,11 @@ def shingles(text, n=2):
     return {tuple(w[i : i + n]) for i in range(len(w) - n + 1)} if len(w) >= n else ({tuple(w)} if w else set())
 
 
-def test_near_duplicates(docs, empty):
-    rows = minhash_dedup.near_duplicates(docs).collect()
+@pytest.mark.parametrize("width", [2, 5])
+def test_near_duplicates(docs, empty, width):
+    rows = minhash_dedup.near_duplicates(docs, minhash_dedup.NearDup(words=width)).collect()
     got = {r.doc_id: r for r in rows}
-    sets = {i: shingles(t) for i, t in TEXTS.items()}
+    sets = {i: shingles(t, width) for i, t in TEXTS.items()}
     label = {i: i for i in sets}
     changed = True
     while changed:
@@ -85,7 +87,7 @@ def test_near_duplicate_chain_is_one_component(spark):
         w[(i * 3) % 100] = f"new{i}"
         w[(i * 3 + 1) % 100] = f"newer{i}"
     df = spark.createDataFrame(rows, "doc_id long, text string")
-    got = minhash_dedup.near_duplicates(df, minhash_dedup.NearDup(small=2, tile=4)).collect()
+    got = minhash_dedup.near_duplicates(df, minhash_dedup.NearDup(words=2, small=2, tile=4)).collect()
     assert {r.component_id for r in got} == {0}
 
 
@@ -263,14 +265,75 @@ def test_byte_bpe(docs, empty):
     assert byte_bpe.bpe_round_trip(empty, RANKS).count() == 0
 
 
-def test_recursive_merges_equal_the_heap():
-    bpe = byte_bpe.ByteBPE(RANKS)
-    rng = random.Random(4)
+def thue_morse(n):
+    """A word whose complement collides with it under any polynomial hash modulo 2**64, from 1,024 letters on."""
+    word = "a"
+    while len(word) < n:
+        word += word.translate(str.maketrans("ab", "ba"))
+    return word
+
+
+COMPLEMENTS = [x for n in (1024, 2048, 4096) for x in (thue_morse(n), thue_morse(n).translate(str.maketrans("ab", "ba")))]
+
+
+def tiktoken_encoding():
+    import base64
+
+    import tiktoken
+
+    with open(RANKS, "rb") as f:
+        ranks = {base64.b64decode(a): int(b) for a, b in map(bytes.split, f)}
+    return tiktoken.Encoding("own", pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks, special_tokens={})
+
+
+def test_recursive_merges_equal_the_library(monkeypatch):
+    """Short and long pieces, whole queries and queries that stop and go on, splits and none."""
+    enc, bpe, rng = tiktoken_encoding(), byte_bpe.ByteBPE(RANKS), random.Random(4)
     samples = ["".join(rng.choice("abcdeé ") for _ in range(rng.randrange(2, 60))).encode() for _ in range(300)]
+    samples += [x.encode() for x in ("z" * 900, "ab" * 400, "zzz" * 101, "lalaland" * 60, "etaoin" * 77, "汉字文本" * 90)]
     raw = np.frombuffer(b"".join(samples), np.uint8)
     size = np.array([len(s) for s in samples])
-    word, tok = bpe.fixpoint(raw, np.cumsum(size) - size, size)
-    assert [tok[word == k].tolist() for k in range(len(samples))] == [bpe.merged(s) for s in samples]
+    want = [enc.encode_single_token(s) if s in enc._mergeable_ranks else enc._encode_bytes(s) for s in samples]
+    want = [[w] if isinstance(w, int) else w for w in want]
+    for rows, long in ((2_000_000, 256), (5_000, 256), (50_000, 1)):
+        monkeypatch.setattr(byte_bpe, "ROWS", rows)
+        monkeypatch.setattr(byte_bpe, "LONG", long)
+        ids, n = bpe.encode(raw, np.cumsum(size) - size, np.cumsum(size))
+        edge = np.concatenate([[0], np.cumsum(n)])
+        assert [ids[a:b].tolist() for a, b in zip(edge[:-1], edge[1:], strict=True)] == want
+
+
+@pytest.mark.parametrize("text", ["，".join("".join(chr(0x4E00 + (i * j) % 3001) for j in range(5, 40)) for i in range(400)), " ".join("".join(random.Random(i).choices("etaoinshrdlu", k=400)) for i in range(60)), "".join(random.Random(1).choices("etaoinshrdlu", k=20_000)), " ".join(COMPLEMENTS)], ids=["chinese", "words of 400", "one word", "complements"])
+def test_byte_bpe_of_long_words(text):
+    (ids, n), (raw, size) = byte_bpe.encode_decode([text, text[: len(text) // 2]], RANKS)
+    want = [tiktoken_encoding().encode_ordinary(x) for x in (text, text[: len(text) // 2])]
+    assert n.tolist() == [len(w) for w in want] and ids.tolist() == want[0] + want[1]
+    assert raw.tobytes().decode() == text + text[: len(text) // 2]
+
+
+def test_words_of_one_hash_stay_apart(spark, monkeypatch):
+    """With hashes of two bits everything collides; ids, counts and words are right all the same."""
+    from tokenizers import Tokenizer
+
+    real = textnum.span_hashes
+    monkeypatch.setattr(textnum, "span_hashes", lambda *a: real(*a) & np.uint64(3))
+    for cache in (byte_bpe.byte_bpe, pieces.pair_merges):
+        cache.cache_clear()
+    packing._cache.clear()
+    texts = [words(random.Random(k), 60) for k in range(6)]
+    (ids, _), (raw, _) = byte_bpe.encode_decode(texts[:3], RANKS)
+    (more, _), _ = byte_bpe.encode_decode(texts[3:], RANKS)
+    assert ids.tolist() + more.tolist() == [i for t in texts for i in tiktoken_encoding().encode_ordinary(t)]
+    assert raw.tobytes().decode() == "".join(texts[:3])
+    got, _ = packing.text_ids(texts, pieces.pair_merges(WORD_BPE), pieces.IdCache(), True)
+    assert got.tolist() == [i for t in texts for i in [*Tokenizer.from_file(WORD_BPE).encode(t, add_special_tokens=False).ids, 0]]
+    byte_bpe.byte_bpe.cache_clear()
+
+
+def test_complements_have_sets_of_their_own():
+    raw, offsets = textnum.utf8(pa.array(COMPLEMENTS))
+    values, _, counts = minhash_dedup.shingle_sets(raw, offsets, 2)
+    assert counts.tolist() == [1] * len(COMPLEMENTS) and len(set(values.tolist())) == len(COMPLEMENTS)
 
 
 def test_token_counts(docs, empty):
@@ -291,7 +354,20 @@ def test_token_counts(docs, empty):
     ends = np.cumsum([len(s) for s in samples])
     assert machine.counts(raw, ends - [len(s) for s in samples], ends).tolist() == [greedy(s) for s in samples]
     got = {r.doc_id: r for r in token_counts.token_counts(docs, RANKS).collect()}
-    assert (got[5].n_words, got[5].n_tokens, got[7].n_tokens) == (0, 0, 0) and got[10].n_words == 6000 and got[18].n_words == 1
+    # Whole documents under the real vocabulary.
+    tokens = set(tiktoken_encoding()._mergeable_ranks) | {bytes([b]) for b in range(256)}
+    longest = max(map(len, tokens))
+
+    def whole(word):
+        s, n = b" " + word, 0
+        while s:
+            k = max(k for k in range(1, min(len(s), longest) + 1) if s[:k] in tokens)
+            s, n = s[k:], n + 1
+        return n
+
+    for i, t in [*TEXTS.items(), (None, "nobody's text here")]:
+        found = re.findall(rb"[^\x20\x09-\x0D]+", (t or "").encode())
+        assert (got[i].n_words, got[i].n_tokens) == (len(found), sum(map(whole, found))), i
     assert token_counts.token_counts(empty, RANKS).count() == 0
 
 
