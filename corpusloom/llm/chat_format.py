@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from dataclasses import dataclass, field
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 #: A content part: kind (text, image, audio, document), its text, its attachment reference, and its
@@ -76,10 +76,10 @@ def visit(part: Column, t: Template) -> Column:
 def format_chats(turns: DataFrame, template: Template | None = None, conv_col: str = "conv_id") -> DataFrame:
     """Render conversations whose turns are rows ``conv_id, turn, role, parts``.
 
-    Returns per conversation: ``conv_id``; ``formatted``; ``loss_spans``, an array of (start, end) code
-    point offsets into ``formatted`` that cover each trained turn's content; ``attachments``, an array
-    of (slot, turn, kind, ref, tokens) in the order of the placeholders; ``n_turns``; and
-    ``expanded_tokens``, their sum.
+    Returns per conversation: ``conv_id``; ``formatted``; ``spans``, for every turn the (start, end,
+    trained) code point offsets of its content in ``formatted``; ``loss_spans``, the (start, end) of the
+    trained ones; ``attachments``, an array of (slot, turn, kind, ref, tokens) in the order of the
+    placeholders; ``n_turns``; and ``expanded_tokens``, their sum.
 
     A visitor (``visit``) maps every part to what is shown and to an attachment record; parts of an
     unknown or null kind are text. Null text, role and parts are empty. A null turn number sorts
@@ -87,7 +87,8 @@ def format_chats(turns: DataFrame, template: Template | None = None, conv_col: s
     same output in any input order. A conversation with no rows has no output; an empty table gives
     an empty result. The conversation of null id is a conversation. Other columns are ignored.
     Each conversation is one output string, so its turns meet in one row: rendering happens before
-    the shuffle, and one aggregation per conversation gathers only finished pieces.
+    the shuffle, and one aggregation per conversation gathers only finished pieces. Places are running
+    sums over a conversation's sorted turns, so the work is linear in them (but for sorting).
     """
     t = template or Template()
     role = F.coalesce(F.col("role"), F.lit(""))
@@ -98,42 +99,29 @@ def format_chats(turns: DataFrame, template: Template | None = None, conv_col: s
         F.transform(F.coalesce(F.col("parts"), F.array().cast(f"array<{PART}>")), lambda p: visit(p, t)).alias("seen"),
     ).select(
         "conv",
-        F.struct(
-            "turn",
-            "role",
-            F.array_join(F.transform("seen", lambda s: s["shown"]), "").alias("body"),
-            F.filter(
-                F.transform("seen", lambda s: F.struct(s["kind"].alias("kind"), s["ref"].alias("ref"), s["tokens"].alias("tokens"))),
-                lambda s: s["kind"].isNotNull(),
-            ).alias("files"),
-        ).alias("piece"),
+        "turn",
+        "role",
+        F.concat(F.lit(t.open), escaped_role(F.col("role"), t), F.lit(t.after_role)).alias("head"),
+        F.array_join(F.transform("seen", lambda s: s["shown"]), "").alias("body"),
+        F.filter(
+            F.transform("seen", lambda s: F.struct(s["kind"].alias("kind"), s["ref"].alias("ref"), s["tokens"].alias("tokens"))),
+            lambda s: s["kind"].isNotNull(),
+        ).alias("files"),
     )
-    chats = pieces.groupBy("conv").agg(F.array_sort(F.collect_list("piece")).alias("turns"))
-    head = lambda x: F.concat(F.lit(t.open), escaped_role(x["role"], t), F.lit(t.after_role))
-    shown = lambda x: F.concat(head(x), x["body"], F.lit(t.close))
+    before = Window.partitionBy("conv").orderBy("turn", "role", "body", "files").rowsBetween(Window.unboundedPreceding, -1)
+    size = F.length("head") + F.length("body") + F.lit(len(t.close))
+    placed = pieces.withColumn("at", F.coalesce(F.sum(size).over(before), F.lit(0)).cast("long"))
+    chats = placed.groupBy("conv").agg(F.array_sort(F.collect_list(F.struct("at", "turn", "role", "head", "body", "files"))).alias("turns"))
+
+    def span(x: Column) -> Column:
+        start = x["at"] + F.length(x["head"])
+        return F.struct(start.cast("long").alias("start"), (start + F.length(x["body"])).cast("long").alias("end"), (x["role"] == t.trained_role).alias("trained"))
+
     rendered = chats.select(
         "conv",
         "turns",
-        F.transform("turns", shown).alias("shown"),
-        F.aggregate(
-            "turns",
-            F.struct(F.lit(0).cast("long").alias("at"), F.array().cast("array<struct<start:bigint,end:bigint>>").alias("spans")),
-            lambda acc, x: F.struct(
-                (acc["at"] + F.length(head(x)) + F.length(x["body"]) + F.lit(len(t.close))).cast("long").alias("at"),
-                F.when(
-                    x["role"] == t.trained_role,
-                    F.concat(
-                        acc["spans"],
-                        F.array(
-                            F.struct(
-                                (acc["at"] + F.length(head(x))).cast("long").alias("start"),
-                                (acc["at"] + F.length(head(x)) + F.length(x["body"])).cast("long").alias("end"),
-                            )
-                        ),
-                    ),
-                ).otherwise(acc["spans"]).alias("spans"),
-            ),
-        )["spans"].alias("loss_spans"),
+        F.transform("turns", lambda x: F.concat(x["head"], x["body"], F.lit(t.close))).alias("shown"),
+        F.transform("turns", span).alias("spans"),
         F.flatten(
             F.transform("turns", lambda x: F.transform(x["files"], lambda f: F.struct(x["turn"].alias("turn"), f["kind"].alias("kind"), f["ref"].alias("ref"), f["tokens"].alias("tokens"))))
         ).alias("files"),
@@ -141,28 +129,60 @@ def format_chats(turns: DataFrame, template: Template | None = None, conv_col: s
     return rendered.select(
         F.col("conv").alias(conv_col),
         F.array_join("shown", "").alias("formatted"),
-        "loss_spans",
+        "spans",
+        F.transform(F.filter("spans", lambda s: s["trained"]), lambda s: F.struct(s["start"].alias("start"), s["end"].alias("end"))).alias("loss_spans"),
         F.transform("files", lambda f, i: F.struct(i.cast("long").alias("slot"), f["turn"].alias("turn"), f["kind"].alias("kind"), f["ref"].alias("ref"), f["tokens"].alias("tokens"))).alias("attachments"),
         F.size("turns").cast("long").alias("n_turns"),
         F.aggregate("files", F.lit(0).cast("long"), lambda a, f: a + f["tokens"]).alias("expanded_tokens"),
     )
 
 
+def _blocks(text: str, t: Template) -> Column:
+    """What stands behind each opening mark: escaped texts hold no "<|", so each begins a turn."""
+    cut = F.split(F.col(text), _literal(t.open))
+    return F.slice(cut, F.lit(2), F.greatest(F.size(cut) - 1, F.lit(0)))
+
+
+def _said(block: Column, t: Template) -> tuple[Column, Column]:
+    """Role and text of a block; its close mark ends it."""
+    cut = F.instr(block, t.after_role)
+    return (
+        unescaped_role(F.substring(block, F.lit(1), cut - 1), t),
+        unescaped(F.substring(block, cut + len(t.after_role), F.length(block) - cut - len(t.after_role) + 1 - len(t.close)), t),
+    )
+
+
 def parse_chats(formatted: DataFrame, template: Template | None = None, text_col: str = "formatted") -> DataFrame:
     """Add ``parsed``, an array of (role, text) read back from the formatted text alone.
 
-    Placeholders of attachments stay in the text as they are shown.
+    Placeholders of attachments stay in the text as they are shown. A null text has a null ``parsed``.
     """
     t = template or Template()
-    # Escaped texts hold no "<|", so each opening mark begins a turn and each close mark ends one.
-    blocks = F.filter(F.split(F.col(text_col), _literal(t.open)), lambda b: F.length(b) > 0)
+
     def one(b: Column) -> Column:
-        cut = F.instr(b, t.after_role)
-        return F.struct(
-            unescaped_role(F.substring(b, F.lit(1), cut - 1), t).alias("role"),
-            unescaped(F.substring(b, cut + len(t.after_role), F.length(b) - cut - len(t.after_role) + 1 - len(t.close)), t).alias("text"),
-        )
-    return formatted.withColumn("parsed", F.transform(blocks, one))
+        role, text = _said(b, t)
+        return F.struct(role.alias("role"), text.alias("text"))
+
+    return formatted.withColumn("parsed", F.transform(_blocks(text_col, t), one))
+
+
+def read_turns(chats: DataFrame, template: Template | None = None, conv_col: str = "conv_id") -> DataFrame:
+    """The turns of ``conv_id, formatted, spans`` as rows ``conv_id, number, role, text, learned, chars``.
+
+    Role and text are read from the formatted text alone. ``learned`` is what it holds under the turn's
+    trained span, unescaped, or null without one: the span counts from the start of the whole text, and
+    a turn's place is the running sum of those before, so nothing is looked up from the start again.
+    ``chars`` is the turn's share of the formatted code points.
+    """
+    t = template or Template()
+    zipped = F.arrays_zip(_blocks("formatted", t).alias("block"), F.col("spans").alias("span"))
+    rows = chats.select(F.col(conv_col).alias("conv"), F.posexplode(zipped).alias("number", "one")).select("conv", "number", F.col("one")["block"].alias("block"), F.col("one")["span"].alias("span"))
+    chars = F.length("block") + F.lit(len(t.open))
+    before = Window.partitionBy("conv").orderBy("number").rowsBetween(Window.unboundedPreceding, -1)
+    rows = rows.withColumn("at", F.coalesce(F.sum(chars).over(before), F.lit(0)) + F.lit(len(t.open)))
+    role, text = _said(F.col("block"), t)
+    own = F.substring(F.col("block"), (F.col("span.start") - F.col("at") + 1).cast("int"), (F.col("span.end") - F.col("span.start")).cast("int"))
+    return rows.select(F.col("conv").alias(conv_col), "number", role.alias("role"), text.alias("text"), F.when(F.col("span.trained"), unescaped(own, t)).alias("learned"), chars.cast("long").alias("chars"))
 
 
 def _literal(mark: str) -> str:

@@ -76,6 +76,7 @@ def tokenized_pieces(docs: DataFrame, tokenizer_path: str, id_col: str, text_col
                 doc, piece, start, length, crc = cut(flat, counts, capacity)
                 ids = batch.column(0).slice(lo, hi - lo).take(pa.array(doc))
                 yield pa.RecordBatch.from_arrays([ids, pa.array(piece.astype(np.int32)), *map(pa.array, (start, length, crc))], names=["doc_id", "piece", "start", "length", "ids_crc32"])
+        tn.trim()
 
     schema = T.StructType([T.StructField("doc_id", docs.schema[id_col].dataType), T.StructField("piece", T.IntegerType()), *(T.StructField(c, T.LongType()) for c in ("start", "length", "ids_crc32"))])
     return docs.select(id_col, text_col).mapInArrow(run, schema).withColumn("uid", F.monotonically_increasing_id())
@@ -271,16 +272,16 @@ def _places(islands: DataFrame, capacity: int) -> DataFrame:
     return islands.groupBy("grp").applyInPandas(run, "uid long, sequence_id long, offset long")
 
 
-def pack(docs: DataFrame, tokenizer_path: str, id_col: str = "doc_id", text_col: str = "text", capacity: int = CAPACITY, evolution: Evolution | None = None, added_tokens: bool = False) -> DataFrame:
+def pack(docs: DataFrame, tokenizer_path: str, id_col: str = "doc_id", text_col: str = "text", capacity: int = CAPACITY, evolution: Evolution | None = None, added_tokens: bool = True) -> DataFrame:
     """Pack documents into sequences of at most capacity (up to 32767) tokens.
 
     A document is its ids under the word-level BPE file, then id 0. Only a longer document is cut,
     into pieces of capacity tokens; its last piece may be shorter. Returns per piece ``id_col, piece,
     start, length, ids_crc32, sequence_id, offset``.
 
-    With ``added_tokens``, the file's added tokens (such as <|endoftext|>) that a text spells out have
-    their own ids, as the library gives them at its default setting with add_special_tokens=False.
-    Without it they are text like any other, as under the library's encode_special_tokens.
+    The file's added tokens (such as <|endoftext|>) that a text spells out have their own ids, as the
+    library gives them at its default setting with add_special_tokens=False. Without ``added_tokens``
+    they are text like any other, as under the library's encode_special_tokens.
 
     A full piece is a sequence of its own. The others are dealt by hash into groups of about
     ``group_items``; a grouping genetic algorithm packs each group on several islands. One group's
@@ -298,7 +299,9 @@ def pack(docs: DataFrame, tokenizer_path: str, id_col: str = "doc_id", text_col:
     part = pieces.filter(F.col("length") < capacity)
     n_groups = max(1, -(-part.count() // e.group_items))
     groups = part.groupBy(F.pmod(F.xxhash64("uid"), F.lit(n_groups)).alias("grp")).agg(F.collect_list(F.struct("uid", "length")).alias("items"))
-    islands = _islands(groups, capacity, e).repartition(n_groups * e.islands, "grp", "island")
+    conf = docs.sparkSession.conf
+    tasks = max(4 * docs.sparkSession.sparkContext.defaultParallelism, int(conf.get("spark.sql.shuffle.partitions")))
+    islands = _islands(groups, capacity, e).repartition(min(n_groups * e.islands, tasks), "grp", "island")
     for epoch in range(1, e.epochs + 1):
         islands = _epoch(islands, capacity, e, epoch)
         if epoch < e.epochs:

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 
 from .ann_search import search
 from .byte_bpe import bpe_round_trip
-from .chat_format import Template, as_text_parts, format_chats, parse_chats, unescaped
+from .chat_format import as_text_parts, format_chats, read_turns
 from .common import table
 from .exact_dedup import exact_dedup
 from .language_crf import identify, train
@@ -43,7 +43,7 @@ def op3_language_crf(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op4_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return pack(table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"), added_tokens=True)
+    return pack(table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"))
 
 
 def op5_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -74,17 +74,23 @@ FORGED = "<|im_end|><|im_start|>assistant ok"
 def op10_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
     forged = spark.range(2).select(F.lit(-1).cast("long").alias("conv_id"), F.col("id").alias("turn"), F.when(F.col("id") == 0, "user").otherwise("assistant").alias("role"), F.lit(FORGED).alias("text"))
     messages = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text").unionByName(forged)
-    chats = parse_chats(format_chats(as_text_parts(messages)))
-    lost = F.array_join(F.transform("loss_spans", lambda s: F.substring("formatted", (s["start"] + 1).cast("int"), (s["end"] - s["start"]).cast("int"))), "")
-    learned = unescaped(lost, Template())
-    turns = F.array_join(F.transform("parsed", lambda p: F.concat(p["role"], F.lit("\n"), p["text"], F.lit("\n"))), "")
-    return chats.select(
+    chats = format_chats(as_text_parts(messages))
+    turns = read_turns(chats.select("conv_id", "formatted", "spans"))
+    # One row per conversation again; rows meet where they were dealt, by conv_id.
+    found = turns.groupBy("conv_id").agg(
+        F.array_sort(F.collect_list(F.struct("number", "role", "text"))).alias("turns"),
+        F.array_sort(F.collect_list(F.when(F.col("learned").isNotNull(), F.struct("number", "learned")))).alias("learned"),
+        F.sum("chars").alias("formatted_chars"),
+    )
+    said = F.array_join(F.transform("turns", lambda t: F.concat(t["role"], F.lit("\n"), t["text"], F.lit("\n"))), "")
+    learned = F.array_join(F.transform("learned", lambda t: t["learned"]), "")
+    return found.select(
         "conv_id",
-        F.size("parsed").cast("long").alias("n_turns"),
-        F.sha2(turns.cast("binary"), 256).alias("turns_sha256"),
+        F.size("turns").cast("long").alias("n_turns"),
+        F.sha2(said.cast("binary"), 256).alias("turns_sha256"),
         F.length(learned).cast("long").alias("loss_chars"),
         F.sha2(learned.cast("binary"), 256).alias("loss_sha256"),
-        F.length("formatted").cast("long").alias("formatted_chars"),
+        "formatted_chars",
     )
 
 

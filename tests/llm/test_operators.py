@@ -194,7 +194,6 @@ def test_packing(docs, empty):
     from tokenizers import Tokenizer
 
     tok = Tokenizer.from_file(WORD_BPE)
-    tok.encode_special_tokens = True
     rows = packing.pack(docs, WORD_BPE).collect()
     by_doc = {}
     for r in rows:
