@@ -304,6 +304,7 @@ def bpe_round_trip(docs: DataFrame, rank_path: str, id_col: str = "doc_id", text
                 if with_ids:
                     cols.append(pa.ListArray.from_arrays(pa.array(at.astype(np.int32)), pa.array(ids.astype(np.int32))))
                 yield pa.RecordBatch.from_arrays(cols, names=schema.names)
+        tn.trim()
 
     modest_batches(docs)
     schema = T.StructType([T.StructField(id_col, docs.schema[id_col].dataType), T.StructField("n_tokens", T.LongType()), T.StructField("ids_sha256", T.StringType()), T.StructField("decoded_sha256", T.StringType())])

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 import tempfile
 
 from pyspark.sql import DataFrame, SparkSession
@@ -32,17 +33,22 @@ def modest_batches(df: DataFrame, rows: int = 1000) -> None:
             conf.set(key, str(most))
 
 
-def checkpoint(df: DataFrame) -> DataFrame:
-    """Cut the lineage through the shared folder the session names in spark.checkpoint.dir.
+def shared_folder(spark: SparkSession) -> str:
+    """The folder that the session names in spark.checkpoint.dir. Without one, a local session gets a
+    temporary folder; a cluster has none that all its machines see, which is an error."""
+    folder = spark.conf.get("spark.checkpoint.dir", None)
+    if folder:
+        return folder
+    if not re.fullmatch(r"local(\[.*\])?", spark.sparkContext.master):
+        raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
+    return tempfile.mkdtemp(prefix="corpusloom-")
 
-    Where no folder is set (local tests), one of our own is made first.
-    """
-    spark = df.sparkSession
-    context = spark.sparkContext
+
+def checkpoint(df: DataFrame) -> DataFrame:
+    """Cut the lineage through the shared folder."""
+    context = df.sparkSession.sparkContext
     if context.getCheckpointDir() is None:
-        context.setCheckpointDir(
-            spark.conf.get("spark.checkpoint.dir", None) or tempfile.mkdtemp(prefix="corpusloom-")
-        )
+        context.setCheckpointDir(shared_folder(df.sparkSession))
     return df.checkpoint(eager=True)
 
 

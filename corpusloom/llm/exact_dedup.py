@@ -7,21 +7,17 @@ from pyspark.sql import functions as F
 
 from .common import SPACES, checkpoint, small_side
 
-#: Members of a group that meet one copy of its head.
-SPREAD = 500
-
-
-def exact_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+def exact_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", key_digits: int = 32) -> DataFrame:
     """Group documents whose texts are identical without white space; the fullest original stays.
 
     A group's survivor has the most code points in its original text, then the smallest id.
     Returns ``id_col, keep_id, group_size, kept, text_sha256``.
 
-    The grouping key is the first half (128 bits) of the SHA-256 of the normalised text. Members of
-    a group of two or more are then compared byte by byte with the group's representative; a member
-    that differs is a collision and is regrouped under its own text, so no collision merges texts.
-    Only narrow rows (id, hash, length) are shuffled for the grouping, with partial aggregation; the
-    texts of groups of two or more go through one shuffle, in which large groups are salted.
+    The grouping key is the first half (128 bits, ``key_digits`` of hex) of the SHA-256 of the normalised text. Of a group of
+    two or more, the least and the greatest text are then compared byte by byte; if they differ, the
+    hash collides, and the group's members are regrouped under their own texts, so no collision merges
+    texts. Only narrow rows (id, hash, length) are shuffled for the grouping; both steps aggregate
+    partially, so a large group sends one row, or two texts, from each task.
 
     Null text counts as empty, and empty texts form one group like any other. A null id sorts after
     every other id. Repeated rows (same id, same normalised text, same length) are one document: they
@@ -37,33 +33,16 @@ def exact_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
     )
     small = checkpoint(
         rows.groupBy("id", "sha", "len").agg(F.count(F.lit(1)).alias("copies"))
-        .withColumn("key", F.substring("sha", 1, 32))
-    )
-    several = small.groupBy("key").agg(
-        F.sum("copies").alias("n"),
-        F.min(F.struct(F.col("id").isNull().alias("none"), "id", "len")).alias("first"),
-    ).filter("n > 1").select("key", F.col("first.id").alias("first_id"), F.ceil(F.col("n") / F.lit(SPREAD)).cast("int").alias("salts"))
-
-    texts = docs.select(F.col(id_col).alias("id"), normal.alias("normal")).select(
-        "id", "normal", F.substring(F.sha2(F.col("normal").cast("binary"), 256), 1, 32).alias("key")
-    )
-    members = texts.join(small_side(several, 120), "key").withColumn("salt", F.pmod(F.xxhash64("id"), F.col("salts")).cast("int"))
-    # A large group is dealt over salts, and its head is copied to each.
-    heads = (
-        members.filter(F.col("id").eqNullSafe(F.col("first_id")))
-        .groupBy("key").agg(F.min("normal").alias("head"), F.max("salts").alias("n"))
-        .select("key", "head", F.explode(F.sequence(F.lit(0), F.col("n") - 1)).alias("salt"))
-    )
-    collided = (
-        members.join(heads, ["key", "salt"]).filter(F.col("normal") != F.col("head"))
-        .select(F.col("id").alias("c_id"), F.col("key").alias("c_key"), F.sha2(F.col("normal").cast("binary"), 256).alias("c_sha"), F.col("normal").alias("own"))
-        .distinct()
+        .withColumn("key", F.substring("sha", 1, key_digits))
     )
-    keyed = small.join(
-        collided,
-        F.col("id").eqNullSafe(F.col("c_id")) & (F.col("key") == F.col("c_key")) & (F.col("sha") == F.col("c_sha")),
-        "left",
-    ).select("id", "sha", "len", "copies", "key", "own")
+    several = small.groupBy("key").agg(F.sum("copies").alias("n")).filter("n > 1").select("key")
+    texts = docs.select(F.col(id_col).alias("id"), normal.alias("normal")).withColumn("full", F.sha2(F.col("normal").cast("binary"), 256)).withColumn("key", F.substring("full", 1, key_digits))
+    bounds = texts.join(small_side(several, 80), "key", "left_semi").groupBy("key").agg(F.min("normal").alias("head"), F.max("normal").alias("tail"))
+    collided = checkpoint(bounds.filter("head <> tail").select("key", "head"))
+    keyed = small.withColumn("own", F.lit(None).cast("string"))
+    if not collided.isEmpty():
+        other = texts.join(collided, "key").filter("normal <> head").select(F.col("id").alias("c_id"), F.col("full").alias("c_sha"), F.col("normal").alias("own")).distinct()
+        keyed = small.join(other, F.col("id").eqNullSafe(F.col("c_id")) & (F.col("sha") == F.col("c_sha")), "left").select("id", "sha", "len", "copies", "key", "own")
     groups = keyed.groupBy("key", "own").agg(
         F.sum("copies").alias("group_size"),
         F.min(F.struct((-F.col("len")).alias("less"), F.col("id").isNull().alias("none"), "id")).alias("best"),

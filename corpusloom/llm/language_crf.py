@@ -343,6 +343,7 @@ def identify(docs: DataFrame, model: LanguageCRF, id_col: str = "doc_id", text_c
                     each = marginal.argmax(axis=1) if len(marginal) else np.empty(0, np.int64)
                     cols.append(pa.array([_runs(each[a:b], model.labels) for a, b in zip(edge[:-1], edge[1:], strict=True)], pa.list_(run_type)))
                 yield pa.RecordBatch.from_arrays(cols, names=schema.names)
+        tn.trim()
 
     return docs.select(id_col, text_col).mapInArrow(run, schema)
 

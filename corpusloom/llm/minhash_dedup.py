@@ -144,6 +144,7 @@ def sketches(docs: DataFrame, p: NearDup, id_col: str, text_col: str) -> DataFra
                 keys = band_keys(signatures(values, counts, p), p)[counts > 0]
                 bands = _lists(keys.reshape(-1), np.where(counts > 0, p.bands, 0), pa.int64())
                 yield pa.RecordBatch.from_arrays([batch.column(0).slice(lo, hi - lo), pa.array(counts.astype(np.int64)), pa.array(h1), pa.array(h2), bands], names=["id", "n", "h1", "h2", "bands"])
+        tn.trim()
 
     schema = T.StructType([T.StructField("id", docs.schema[id_col].dataType), *(T.StructField(c, T.LongType()) for c in ("n", "h1", "h2")), T.StructField("bands", T.ArrayType(T.LongType()))])
     return docs.select(id_col, text_col).mapInArrow(run, schema)
@@ -160,6 +161,7 @@ def full_sets(docs: DataFrame, p: NearDup, id_col: str, text_col: str) -> DataFr
                 edge = np.concatenate([[0], np.cumsum(counts)])
                 sets = [values[a:b].tobytes() for a, b in zip(edge[:-1], edge[1:], strict=True)]
                 yield pa.RecordBatch.from_arrays([batch.column(0).slice(lo, hi - lo), pa.array(h1), pa.array(h2), pa.array(sets, pa.binary())], names=["id", "h1", "h2", "members"])
+        tn.trim()
 
     schema = T.StructType([T.StructField("id", docs.schema[id_col].dataType), T.StructField("h1", T.LongType()), T.StructField("h2", T.LongType()), T.StructField("members", T.BinaryType())])
     return docs.select(id_col, text_col).mapInArrow(run, schema)

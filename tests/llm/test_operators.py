@@ -121,6 +121,16 @@ def test_exact_dedup(docs, empty):
     assert exact_dedup.exact_dedup(empty).count() == 0
 
 
+def test_exact_dedup_tells_colliding_texts_apart(spark):
+    """With a key of one digit most groups collide; the texts decide."""
+    texts = [f"text {k % 40}{' ' * (k % 3)}" for k in range(130)]
+    got = exact_dedup.exact_dedup(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string"), key_digits=1).collect()
+    assert len(got) == len(texts)
+    for r in got:
+        group = [j for j, t in enumerate(texts) if t.replace(" ", "") == texts[r.doc_id].replace(" ", "")]
+        assert (r.group_size, r.keep_id) == (len(group), min(group, key=lambda j: (-len(texts[j]), j)))
+
+
 @pytest.mark.parametrize("depth", [None, 50])
 def test_suffix_order(depth):
     rng = np.random.default_rng(1)
@@ -414,6 +424,19 @@ def test_language_crf(spark, docs, empty):
     assert {r.lang_pred for r in language_crf.identify(docs, nothing).collect()} == {"und"}
 
 
+def test_language_sample_is_bounded_rows(spark, monkeypatch):
+    """Rows count, not ids, and so do bytes; texts are whole."""
+    seen = []
+    monkeypatch.setattr(language_crf.LanguageCRF, "fit", lambda self, texts, langs: seen.append(list(zip(langs, texts, strict=True))) or self)
+    rows = [(7, f"kala {i}", "aa") for i in range(10_000)] + [(i, f"brek {i}", "bb") for i in range(3000)] + [(i, "x" * 1000, "cc") for i in range(20)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    p = language_crf.CRFParams(sample_bytes=5000)
+    assert language_crf.train(df, p).labels == language_crf.train(df.repartition(7), p).labels == ["aa", "bb", "cc"]
+    assert seen[0] == seen[1]
+    n = {g: sum(x == g for x, _ in seen[0]) for g in ("aa", "bb", "cc")}
+    assert n == {"aa": 150, "bb": 150, "cc": 5} and {t for g, t in seen[0] if g == "cc"} == {"x" * 1000}
+
+
 def test_language_crf_learns_every_language(spark):
     rng = random.Random(16)
     pools = {f"l{k:02}": ["".join(rng.choice("bcdfghjklmnpqrstvwz") + rng.choice("aeiou") for _ in range(2)) for _ in range(5)] for k in range(70)}

@@ -4,6 +4,7 @@ import random
 import re
 
 import pytest
+from pyspark.sql import functions as F
 
 import corpus_pipeline as cp
 
@@ -81,7 +82,7 @@ def test_exact(stages):
 
 
 def test_near(stages):
-    sets = {r.doc_id: shingles(r.text) for r in stages[2]}
+    sets = {r.doc_id: shingles(r.text, 5) for r in stages[2]}
     label = {i: i for i in sets}
     links = [(a, b) for a in sets for b in sets if a < b and 100 * len(sets[a] & sets[b]) >= 80 * len(sets[a] | sets[b])]
     for _ in links:
@@ -129,5 +130,24 @@ def test_packing(stages):
     assert len(sequences) <= -(-total // 2048) + 1
 
 
+def test_odd_tables(spark):
+    """Empty tables, extra columns whose names clash with inner ones, a very long text, ties and repeats."""
+    rng = random.Random(18)
+    long = " ".join(f"w{rng.randrange(5000)}" for _ in range(60_000))
+    schema = "doc_id long, text string, lang string, source string, n_chars long, id long, uid long, row_id long, kept boolean, sha string, bands string, key string"
+    rows = [(1, long, "en", "s", 0), (2, long, "en", "s", 0), (3, "one", "en", "s", 0), (3, "one", "en", "s", 0), (4, None, None, None, None), (5, "", "en", None, 0)]
+    docs = spark.createDataFrame([(*r, 7, 7, 7, True, "x", "y", "z") for r in rows], schema)
+    for name, stage in cp.STAGES:
+        none = stage(spark, docs.limit(0), "").collect()
+        assert none == [], name
+        docs = stage(spark, docs, "")
+        if name != cp.STAGES[-1][0]:
+            assert docs.columns == COLUMNS
+            docs = docs.select("*", *(F.lit(7).alias(c) for c in ("id", "uid", "row_id", "kept", "sha", "bands", "key"))).persist()
+    pieces = docs.collect()
+    assert {r.doc_id for r in pieces} == {1, 3}
+    assert len([r for r in pieces if r.doc_id == 3]) == 1 and len([r for r in pieces if r.doc_id == 1]) > 29
+
+
 def test_order_of_stages():
     assert [n for n, _ in cp.STAGES] == ["language_id", "exact_dedup", "minhash_dedup", "suffix_dedup", "best_fit_packing"]
