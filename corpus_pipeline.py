@@ -8,14 +8,13 @@ columns of documents.
 from __future__ import annotations
 
 import posixpath
-import tempfile
 import uuid
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from corpusloom.llm.common import checkpoint, small_side, table
+from corpusloom.llm.common import checkpoint, shared_folder, small_side, table
 from corpusloom.llm.exact_dedup import exact_dedup
 from corpusloom.llm.language_crf import UNDETERMINED, identify, train
 from corpusloom.llm.minhash_dedup import near_duplicates
@@ -32,6 +31,7 @@ def _with_row_ids(docs: DataFrame) -> DataFrame:
     Where an id is null or shared, row_id is the place of (doc_id, text digest) in ascending order, null
     ids last; then only repeated rows (same id, same text) share one. The ids are sorted without texts.
     """
+    docs = docs.select(*COLUMNS)
     rows, ids = docs.agg(F.count(F.lit(1)), F.count_distinct("doc_id")).first()
     if rows == ids:
         return docs.withColumn("row_id", F.col("doc_id"))
@@ -60,8 +60,10 @@ def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def exact_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Keep one document of each group of equal texts, and one of repeated rows. Different texts of one
-    id are documents of their own, as are those of a null id, which stands after all others."""
+    """Keep one document of each group of texts that are equal without white space (the fullest, then the
+    smallest id), and one of repeated rows. Null and empty texts are one group. Different texts of one id
+    are documents of their own, as are those of a null id, which stands after all others. An empty table
+    stays empty; extra columns go."""
     docs = _with_row_ids(docs)
     found = checkpoint(exact_dedup(docs, id_col="row_id").select("row_id", "kept"))
     if found.count() < docs.count():
@@ -70,7 +72,9 @@ def exact_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
 
 
 def near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Keep the smallest document of each group of near-duplicates. Null and shared ids as for copies."""
+    """Keep the smallest document of each group of near-duplicates (80 % of shingles of five words, chained).
+    Documents without words link with none and stay. Null and shared ids as for copies; repeated rows go
+    or stay together. An empty table stays empty; extra columns go."""
     docs = _with_row_ids(docs)
     return _without(docs, near_duplicates(docs, id_col="row_id").filter(~F.col("kept")))
 
@@ -84,8 +88,9 @@ def passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Pack the documents into sequences."""
-    return pack(docs, public_tokenizers.path("word_bpe_49k.json"), added_tokens=True)
+    """Pack the documents into sequences, a row per piece: null and empty texts are one token, long texts
+    several pieces, repeated rows and null ids are packed as they come. An empty table gives no rows."""
+    return pack(docs, public_tokenizers.path("word_bpe_49k.json"))
 
 
 STAGES = [
@@ -101,12 +106,16 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """All stages over documents. Their results go to the folder in spark.checkpoint.dir."""
-    root = spark.conf.get("spark.checkpoint.dir", None) or tempfile.mkdtemp(prefix="corpusloom-")
-    folder = posixpath.join(root, f"pipeline-{uuid.uuid4().hex}")
-    docs = table(spark, sf_dir, "documents")
+    """All stages over documents. Their results go to the folder in spark.checkpoint.dir; each but the
+    last is deleted when its successor is written."""
+    folder = posixpath.join(shared_folder(spark), f"pipeline-{uuid.uuid4().hex}")
+    docs, before = table(spark, sf_dir, "documents"), None
     for name, stage in STAGES:
         path = posixpath.join(folder, name)
         stage(spark, docs, sf_dir).write.parquet(path)
         docs = spark.read.parquet(path)
+        if before:
+            done = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(before)
+            done.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(done, True)
+        before = path
     return docs
