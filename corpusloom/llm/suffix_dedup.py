@@ -118,7 +118,7 @@ PACKED = "bucket int, kind int, n int, m int, data binary"
 _SEEN = ("<u8", "<u8", "<u4", "<u4", "<u2", "<u2")  # anchor and document's number; digest (two); start; windows; lead
 _SPAN = ("<i8", "<i8", "<u4", "<u4")  # id, uid, start, end
 _TEXT = ("<u8", "<i8", "<i8", "<u4", "<u2", "<u2")  # anchor, id, uid, start, windows, lead
-_LIST = ("<u8", "<u4", "<u2", "<u2", "<u1")  # anchor, start, windows, lead, whether it is crowded
+_LIST = ("<i8", "<i8", "<u8", "<u4", "<u2", "<u2", "<u1")  # id, uid, anchor, start, windows, lead, whether it is crowded
 
 
 def _pack(kinds: tuple[str, ...], columns: list[np.ndarray]) -> bytes:
@@ -245,35 +245,41 @@ def _sightings(docs: DataFrame, p: Repeats, n_buckets: int) -> DataFrame:
     return docs.select("id", "uid", "text").mapInArrow(run, PACKED)
 
 
-def _by_document(ids: np.ndarray, uids: np.ndarray, kind: int, kinds: tuple[str, ...], columns: list[np.ndarray]) -> list[tuple]:
-    """A row for each document: id, uid, kind, how many, and its columns packed."""
-    number, own_ids, own_uids = _numbered(ids, uids)
-    order = np.argsort(number, kind="stable")
+def _dealt(kind: int, kinds: tuple[str, ...], columns: list[np.ndarray], n_docs: int) -> list[tuple]:
+    """Rows that begin with a document's id and uid, packed for each bucket of documents."""
+    with np.errstate(over="ignore"):
+        bucket = (tn.mix(columns[0].view(U64) ^ tn.mix(columns[1].view(U64))) % U64(n_docs)).astype(np.int64)
+    order = np.argsort(bucket, kind="stable")
     columns = [c[order] for c in columns]
-    cuts = np.searchsorted(number[order], np.arange(len(own_ids) + 1))
-    return [
-        (i, u, kind, b - a, _pack(kinds, [c[a:b] for c in columns]))
-        for i, u, a, b in zip(own_ids.tolist(), own_uids.tolist(), cuts[:-1].tolist(), cuts[1:].tolist(), strict=True)
-    ]
+    cuts = np.searchsorted(bucket[order], np.arange(n_docs + 1))
+    return [(b, kind, int(cuts[b + 1] - cuts[b]), 0, _pack(kinds, [c[cuts[b] : cuts[b + 1]] for c in columns])) for b in np.flatnonzero(np.diff(cuts)).tolist()]
 
 
-def _spans(spans: list[np.ndarray]) -> list[tuple]:
-    """Spans that go, joined and by document."""
+def _spans(spans: list[np.ndarray], n_docs: int) -> list[tuple]:
+    """Spans that go, joined, and packed for each bucket of documents."""
     number, ids, uids = _numbered(spans[0], spans[1])
     own, a, b = _merged(number, spans[2], spans[3])
-    return _by_document(ids[own], uids[own], GONE, ("<u4", "<u4"), [a, b])
+    return _dealt(GONE, _SPAN, [ids[own], uids[own], a, b], n_docs)
 
 
-LISTED = "id long, uid long, kind int, n long, data binary"
+def _by_document(packed: DataFrame, kinds: tuple[str, ...]) -> DataFrame:
+    """``id, uid, list``: the packed rows of each document together, without its id and uid."""
 
+    def run(rows: pa.Table) -> pa.Table:
+        columns = _together([_unpack(kinds, data.as_buffer(), n)[0] for n, data in zip(rows["n"].to_pylist(), rows["data"], strict=True)], kinds)
+        number, ids, uids = _numbered(columns[0], columns[1])
+        order = np.argsort(number, kind="stable")
+        rest = [c[order] for c in columns[2:]]
+        cuts = np.searchsorted(number[order], np.arange(len(ids) + 1)).tolist()
+        lists = [_pack(kinds[2:], [c[a:b] for c in rest]) for a, b in zip(cuts[:-1], cuts[1:], strict=True)]
+        tn.trim()
+        return pa.table({"id": ids, "uid": uids, "list": pa.array(lists, pa.binary())})
 
-def _listed(rows: list[tuple]) -> pa.Table:
-    kinds = (pa.int64(), pa.int64(), pa.int32(), pa.int64(), pa.binary())
-    return pa.Table.from_arrays([pa.array([r[c] for r in rows], k) for c, k in enumerate(kinds)], names=["id", "uid", "kind", "n", "data"])
+    return packed.groupBy("bucket").applyInArrow(run, "id long, uid long, list binary")
 
 
-def _resolved(sightings: DataFrame, p: Repeats) -> DataFrame:
-    """By document, the spans that go because a smaller document holds the whole segment; and the least
+def _resolved(sightings: DataFrame, p: Repeats, n_docs: int) -> DataFrame:
+    """For documents, the spans that go because a smaller document holds the whole segment; and the least
     documents' segments of anchors that several segments share, whose windows are still to be compared."""
 
     def run(rows: pa.Table) -> pa.Table:
@@ -315,16 +321,16 @@ def _resolved(sightings: DataFrame, p: Repeats) -> DataFrame:
                 several = np.repeat(np.where(differ, n_kinds, 0), n_kinds)  # by kind
                 several = np.repeat(several, np.diff(np.append(heads, len(ids))))
                 open_ = ~copied & (several > 1)
-                listed = _by_document(ids[open_], uids[open_], TEXT, _LIST, [h[open_], start[open_], windows[open_], lead[open_], several[open_] > p.crowd])
+                listed = _dealt(TEXT, _LIST, [ids[open_], uids[open_], h[open_], start[open_], windows[open_], lead[open_], several[open_] > p.crowd], n_docs)
             else:
                 listed = []
         else:
             listed = []
-        out = _listed(_spans(_together(spans, _SPAN)) + listed)
+        out = pa.Table.from_batches([_packed(_spans(_together(spans, _SPAN), n_docs) + listed)])
         tn.trim()
         return out
 
-    return sightings.groupBy("bucket").applyInArrow(run, LISTED)
+    return sightings.groupBy("bucket").applyInArrow(run, PACKED)
 
 
 # ---- Windows of segments that differ -------------------------------------------------------------
@@ -377,9 +383,10 @@ def _segments(docs: DataFrame, p: Repeats, n_buckets: int) -> DataFrame:
             ids, uids = (batch.column(c).to_numpy(zero_copy_only=False) for c in (0, 1))
             raw, offsets = tn.utf8(batch.column(2))
             for i in range(batch.num_rows):
-                lists = [_unpack(_LIST, x.as_buffer(), len(x.as_buffer()) // 17)[0] for x in batch.column(3)[i].values]
-                for lo in range(0, len(lists), 256):
-                    h, start, windows, lead, crowded = _together(lists[lo : lo + 256], _LIST)
+                data = batch.column(3)[i].as_buffer()
+                every, _ = _unpack(_LIST[2:], data, len(data) // 17)
+                for lo in range(0, len(every[0]), 1 << 16):
+                    h, start, windows, lead, crowded = (x[lo : lo + (1 << 16)] for x in every)
                     start, windows, lead = (x.astype(np.int64) for x in (start, windows, lead))
                     size = windows + p.length - 1
                     found.append([h, np.full(len(h), ids[i]), np.full(len(h), uids[i]), start, windows, lead, crowded.astype(bool), gather(raw, offsets[i] + start, size)])
@@ -392,7 +399,7 @@ def _segments(docs: DataFrame, p: Repeats, n_buckets: int) -> DataFrame:
         tn.trim()
 
     # With the carried columns, though unused, so that the shuffled texts are those that the cut takes too.
-    return docs.select("id", "uid", "text", "lists", "carried").mapInArrow(run, PACKED)
+    return docs.select("id", "uid", "text", "list", "carried").mapInArrow(run, PACKED)
 
 
 def repeated_windows(flat: np.ndarray, lead: np.ndarray, windows: np.ndarray, ids: np.ndarray, p: Repeats) -> tuple[np.ndarray, np.ndarray]:
@@ -426,8 +433,8 @@ def repeated_windows(flat: np.ndarray, lead: np.ndarray, windows: np.ndarray, id
     return owner[marked], number[marked]
 
 
-def _sorted_out(segments: DataFrame, p: Repeats) -> DataFrame:
-    """By document, the spans that go because a smaller document holds their windows: the suffixes of a
+def _sorted_out(segments: DataFrame, p: Repeats, n_docs: int) -> DataFrame:
+    """For documents, the spans that go because a smaller document holds their windows: the suffixes of a
     bucket's segments are sorted, and runs that agree on ``length`` bytes compared by document."""
 
     def run(rows: pa.Table) -> pa.Table:
@@ -480,15 +487,15 @@ def _sorted_out(segments: DataFrame, p: Repeats) -> DataFrame:
                     own, which = order[place[same]], which[same]
                     spans.append([ids[own], uids[own], start[own] + a[which], start[own] + b[which] + p.length])
                 lo = hi
-        out = _listed(_spans(_together(spans, _SPAN)))
+        out = pa.Table.from_batches([_packed(_spans(_together(spans, _SPAN), n_docs))])
         tn.trim()
         return out
 
-    return segments.groupBy("bucket").applyInArrow(run, LISTED)
+    return segments.groupBy("bucket").applyInArrow(run, PACKED)
 
 
 def _cut(docs: DataFrame, whole_chars: bool) -> DataFrame:
-    """Take the listed spans out of ``id, uid, text, lists, carried``."""
+    """Take the listed spans out of ``id, uid, text, list, carried``."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -497,13 +504,13 @@ def _cut(docs: DataFrame, whole_chars: bool) -> DataFrame:
             kept, removed, spans = [], [], []
             for i in range(batch.num_rows):
                 text = raw[offsets[i] : offsets[i + 1]]
-                found = lists[i].values
-                if found is None or not len(found):
+                data = lists[i].as_buffer()
+                if data is None:
                     kept.append(text.tobytes())
                     removed.append(0)
                     spans.append(0)
                     continue
-                a, b = _together([_unpack(("<u4", "<u4"), x.as_buffer(), len(x.as_buffer()) // 8)[0] for x in found], ("<u4", "<u4"))
+                (a, b), _ = _unpack(_SPAN[2:], data, len(data) // 8)
                 depth = np.zeros(len(text) + 1, np.int64)
                 np.add.at(depth, a, 1)
                 np.add.at(depth, b, -1)
@@ -518,7 +525,7 @@ def _cut(docs: DataFrame, whole_chars: bool) -> DataFrame:
         tn.trim()
 
     schema = T.StructType([T.StructField(c, T.LongType()) for c in ("id", "n_bytes", "n_removed", "n_spans")]).add("kept", T.BinaryType()).add("carried", docs.schema["carried"].dataType)
-    return docs.select("id", "uid", "text", "lists", "carried").mapInArrow(run, schema)
+    return docs.select("id", "uid", "text", "list", "carried").mapInArrow(run, schema)
 
 
 def remove_repeats(docs: DataFrame, params: Repeats | None = None, id_col: str = "doc_id", text_col: str = "text", carry: tuple[str, ...] = (), whole_chars: bool = False) -> DataFrame:
@@ -555,17 +562,17 @@ def remove_repeats(docs: DataFrame, params: Repeats | None = None, id_col: str =
     # A sighting, some 30 bytes, stands for some 17 bytes of text.
     n_buckets = max(spark.sparkContext.defaultParallelism * 4, -(-2 * (size or 0) // p.bucket_bytes))
     seen = _sightings(rows.filter(f"id IS NOT NULL AND octet_length(text) >= {p.length}"), p, n_buckets)
-    found = checkpoint(_resolved(seen, p))
+    n_docs = max(spark.sparkContext.defaultParallelism * 2, -(-(size or 0) // (3 * p.bucket_bytes)))
+    found = checkpoint(_resolved(seen, p, n_docs))
     release(spark)
-    lists = found.groupBy("id", "uid", "kind").agg(F.collect_list("data").alias("lists"))
-    wanted = found.filter(F.col("kind") == TEXT).agg(F.sum("n")).first()[0] or 0
+    wanted = found.filter(F.col("kind") == TEXT).agg(F.sum(F.col("n").cast("long"))).first()[0] or 0
     n_sorts = max(spark.sparkContext.defaultParallelism * 4, -(-wanted * 2 * p.length // p.bucket_bytes))
     by_id = rows.repartition("id", "uid")  # one shuffle of texts serves both joins
     if not unique:
         by_id = by_id.dropDuplicates(["id", "uid"])
-    differing = by_id.join(lists.filter(F.col("kind") == TEXT).select("id", "uid", "lists"), ["id", "uid"])
-    more = _sorted_out(_segments(differing, p, n_sorts), p)
-    gone = found.filter(F.col("kind") == GONE).unionByName(more).groupBy("id", "uid").agg(F.collect_list("data").alias("lists"))
+    differing = by_id.join(_by_document(found.filter(F.col("kind") == TEXT), _LIST), ["id", "uid"])
+    more = _sorted_out(_segments(differing, p, n_sorts), p, n_docs)
+    gone = _by_document(found.filter(F.col("kind") == GONE).unionByName(more), _SPAN)
     cut = _cut(by_id.join(gone, ["id", "uid"], "left"), whole_chars)
     extra = [F.col(f"carried.c{i}").alias(c) for i, c in enumerate(carry)]
     return cut.select(F.col("id").alias(id_col), "n_bytes", "n_removed", "n_spans", "kept", *extra)

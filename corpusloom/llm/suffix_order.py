@@ -76,8 +76,9 @@ class CoverRanks:
 def suffix_order(text: np.ndarray, starts: np.ndarray, depth: int | None = None, bucket: int = BUCKET) -> np.ndarray:
     """The given suffixes of text (uint8) in order; with a depth, only that many bytes are certain to count.
 
-    Equal suffixes to that depth stand together if they share a residue modulo PERIOD, or always
-    without a depth.
+    With a depth, suffixes that agree on 32 bytes go by residue modulo PERIOD, then by cover rank: so
+    those equal to that depth stand together if they share a residue. Without one, ties of different
+    residues are ordered by the ranks at their common step.
     """
     size = len(text)
     padded = np.concatenate([text, np.zeros(2 * PERIOD + 64, np.uint8)])
@@ -92,16 +93,18 @@ def suffix_order(text: np.ndarray, starts: np.ndarray, depth: int | None = None,
         parts = np.split(by_owner, cuts)
     else:
         parts = [np.arange(len(starts))]
-    return np.concatenate([p[_sorted(padded, size, starts[p], ranks)] for p in parts]) if len(starts) else np.empty(0, np.int64)
+    return np.concatenate([p[_sorted(padded, size, starts[p], ranks, depth is None)] for p in parts]) if len(starts) else np.empty(0, np.int64)
 
 
-def _sorted(text: np.ndarray, size: int, at: np.ndarray, ranks: CoverRanks) -> np.ndarray:
+def _sorted(text: np.ndarray, size: int, at: np.ndarray, ranks: CoverRanks, whole: bool) -> np.ndarray:
     """One bucket: by the first 32 bytes, ties by the ranks of cover positions."""
     keys = [words_at(text, at + 8 * k) for k in range(4)]
     keys.append(np.where(at + 32 > size, size - at, 33))
     residue = at % PERIOD
     rank = ranks.at(at + _STEP[residue])
     order = np.lexsort([rank, residue, *keys[::-1]])
+    if not whole:
+        return order
     new = np.ones(len(order), bool)
     new[1:] = False
     for k in keys:
