@@ -15,14 +15,14 @@ def done_documents(status: DataFrame, step: str) -> DataFrame:
 
 def index_status(files: DataFrame, indexed: DataFrame) -> DataFrame:
     """Each file (``name, document_id``) is indexed or not_indexed."""
-    known = indexed.select("document_id", F.lit(True).alias("hit"))
+    known = indexed.select("document_id").distinct().withColumn("hit", F.lit(True))
     return files.join(known, "document_id", "left").select("name", "document_id", F.when(F.col("hit"), "indexed").otherwise("not_indexed").alias("state"))
 
 
 def index_status_versioned(files: DataFrame, indexed: DataFrame) -> DataFrame:
     """As above, but a file whose slug is indexed under another content hash is modified."""
     slugs = indexed.select(slug_of("document_id").alias("slug"), F.lit(True).alias("same_slug")).distinct()
-    known = indexed.select("document_id", F.lit(True).alias("hit"))
+    known = indexed.select("document_id").distinct().withColumn("hit", F.lit(True))
     rows = files.join(known, "document_id", "left").withColumn("slug", slug_of("document_id")).join(slugs, "slug", "left")
     return rows.select("name", "document_id", F.when(F.col("hit"), "indexed").when(F.col("same_slug"), "modified").otherwise("not_indexed").alias("state"))
 
@@ -31,17 +31,26 @@ def index_totals(states: DataFrame) -> DataFrame:
     return states.agg(F.count(F.lit(1)).alias("present"), F.count_if(F.col("state") == "indexed").alias("indexed"), F.count_if(F.col("state") != "indexed").alias("not_indexed"))
 
 
-def snapshot_diff(before: DataFrame, after: DataFrame, new_keys: list[str], key: str = "chunk_id") -> DataFrame:
+def snapshot_diff(before: DataFrame, after: DataFrame, new_keys: list[str], key: str = "chunk_id", expected: DataFrame | None = None) -> DataFrame:
     """Problems between two snapshots (``key, document, embedding, metadata`` map): one row each.
 
-    missing, added, document, embedding, changed:<metadata key>, unexpected:<metadata key>.
+    missing, added, document, embedding, changed:<metadata key>, unexpected:<metadata key>; and, for the
+    new values that ``expected`` (``key, wanted`` map, one row a key) plans, expected:<metadata key>
+    where the row after does not hold them.
     """
     b, a = before.alias("b"), after.alias("a")
     rows = b.join(a, F.col(f"b.{key}") == F.col(f"a.{key}"), "full_outer")
+    if expected is not None:
+        plan = expected.select(F.col(key).alias("planned"), "wanted")
+        rows = rows.join(plan, F.col(f"b.{key}") == F.col("planned"), "left")
+    else:
+        rows = rows.withColumn("wanted", F.lit(None).cast("map<string,string>"))
     both = F.col(f"b.{key}").isNotNull() & F.col(f"a.{key}").isNotNull()
     old, new = F.col("b.metadata"), F.col("a.metadata")
     changed = F.filter(F.map_keys(old), lambda k: ~F.try_element_at(old, k).eqNullSafe(F.try_element_at(new, k)))
     extra = F.array_except(F.map_keys(new), F.array_union(F.map_keys(old), F.array(*(F.lit(k) for k in new_keys))))
+    wanted = F.col("wanted")
+    unmet = F.filter(F.map_keys(wanted), lambda k: ~F.try_element_at(wanted, k).eqNullSafe(F.try_element_at(new, k)))
     problems = F.concat(
         F.array(
             F.when(F.col(f"a.{key}").isNull(), F.lit("missing")),
@@ -51,10 +60,18 @@ def snapshot_diff(before: DataFrame, after: DataFrame, new_keys: list[str], key:
         ),
         F.when(both, F.transform(changed, lambda k: F.concat(F.lit("changed:"), k))).otherwise(F.array().cast("array<string>")),
         F.when(both, F.transform(extra, lambda k: F.concat(F.lit("unexpected:"), k))).otherwise(F.array().cast("array<string>")),
+        F.when(both & F.col("wanted").isNotNull(), F.transform(unmet, lambda k: F.concat(F.lit("expected:"), k))).otherwise(F.array().cast("array<string>")),
     )
     return rows.select(F.coalesce(F.col(f"b.{key}"), F.col(f"a.{key}")).alias(key), F.explode(F.filter(problems, lambda p: p.isNotNull())).alias("problem"))
 
 
+def results_diff(before: DataFrame, after: DataFrame) -> DataFrame:
+    """Queries whose result list (``qid, ids``) is not the same before and after: ``qid, problem``."""
+    rows = before.select("qid", F.col("ids").alias("old")).join(after.select("qid", F.col("ids").alias("new")), "qid", "full_outer")
+    return rows.filter(~F.col("old").eqNullSafe(F.col("new"))).select("qid", F.lit("results").alias("problem"))
+
+
+#: The fields of a stored chunk that a fresh one must repeat.
 FIELDS = ["index", "text", "heading_trail", "token_count", "embed_text", "has_code", "has_formula"]
 
 
@@ -74,7 +91,7 @@ def migratable(stored: DataFrame, mismatches: DataFrame) -> DataFrame:
 
 def metadata_update(vectors: DataFrame, expected: DataFrame, column: str = "has_image") -> DataFrame:
     """Set a metadata column for the covered ids, and leave others as they are: ``chunk_id, column, covered``."""
-    rows = vectors.join(expected.select("chunk_id", F.col(column).alias("new")), "chunk_id", "left")
+    rows = vectors.join(expected.groupBy("chunk_id").agg(F.max(column).alias("new")), "chunk_id", "left")
     return rows.withColumn("covered", F.col("new").isNotNull()).withColumn(column, F.coalesce("new", column)).drop("new")
 
 

@@ -21,7 +21,7 @@ def split_blocks(docs: DataFrame, id_col: str = "document_id", text_col: str = "
 
     Fences and headings are found by one pattern that extracts blocks, so nothing inside a fence splits.
     """
-    pattern = r"(?s)```.*?(?:```|\z)|\$\$.*?(?:\$\$|\z)|(?m:^#{1,6} [^\n]*$)|(?:(?!```|\$\$|\n\s*\n|\n#{1,6} ).)+"
+    pattern = r"(?s)```.*?(?:```|\z)|\$\$.*?(?:\$\$|\z)|(?m:^#{1,6} [^\n]*$)|(?:(?!```|\$\$|\n\s*\n|\n#{1,6} ).)++"
     rows = docs.select(id_col, F.posexplode(F.filter(F.regexp_extract_all(text_col, F.lit(pattern), 0), lambda b: F.length(F.trim(F.regexp_replace(b, r"\s+", " "))) > 0)).alias("block_index", "raw"))
     clean = F.regexp_replace("raw", r"^\s+|\s+$", "")
     return rows.select(id_col, "block_index", clean.alias("text")).withColumn("kind", block_kind("text")).select(id_col, "block_index", "kind", "text")
@@ -45,6 +45,11 @@ def content_blocks(blocks: DataFrame) -> DataFrame:
     return blocks.filter(F.col("kind") != "heading").withColumn("body", content).filter(F.length(F.trim(F.regexp_replace("body", r"\s+", " "))) > 0)
 
 
+def without_structural(blocks: DataFrame, trail: str = "heading_trail") -> DataFrame:
+    """Blocks of sections that hold no content of their own (contents, index and the like) make no chunk."""
+    return blocks.filter(~tx.is_structural(trail))
+
+
 def line_blocks(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """Non-blank lines as blocks: ``id_col, block_index, kind, text, n_tokens``."""
     lines = docs.select(id_col, F.posexplode(F.split(text_col, "\n")).alias("block_index", "text")).filter(F.length(F.trim("text")) > 0)
@@ -91,8 +96,19 @@ def model_limits(models: DataFrame, configs: DataFrame) -> DataFrame:
 
 
 def length_stats(lengths: DataFrame, limits: DataFrame, *keys: str) -> DataFrame:
-    """n, mean, largest, how many over each model's limit (strictly), and their percentage; 0 rows give 0."""
-    rows = lengths.crossJoin(F.broadcast(limits.select("name", "max_tokens")))
-    over = F.count_if(F.col("n_tokens") > F.col("max_tokens"))
-    n = F.count(F.lit(1))
-    return rows.groupBy("name", *keys).agg(n.alias("n"), F.round(F.avg("n_tokens"), 6).alias("mean_tokens"), F.max("n_tokens").alias("max_tokens_seen"), over.alias("n_over"), F.round(100.0 * over / n, 6).alias("pct_over"))
+    """n, mean, largest, how many over each model's limit (strictly), and their percentage.
+
+    Lengths are counted once; only the distinct ones meet the models. Without keys, every model has a
+    row: of no lengths, n and n_over are 0 and the others null.
+    """
+    counts = lengths.groupBy(*keys, "n_tokens").agg(F.count(F.lit(1)).alias("c"))
+    few = limits.select("name", "max_tokens")
+    over = F.sum(F.when(F.col("n_tokens") > F.col("max_tokens"), F.col("c")).otherwise(0))
+    n = F.sum("c")
+    stats = counts.crossJoin(F.broadcast(few)).groupBy("name", *keys).agg(
+        n.alias("n"), F.round(F.sum(F.col("n_tokens").cast("long") * F.col("c")) / F.sum(F.when(F.col("n_tokens").isNotNull(), F.col("c"))), 6).alias("mean_tokens"),
+        F.max("n_tokens").alias("max_tokens_seen"), over.alias("n_over"), F.round(100.0 * over / n, 6).alias("pct_over"),
+    )
+    if keys:
+        return stats
+    return few.select("name").join(stats, "name", "left").fillna(0, ["n", "n_over"])

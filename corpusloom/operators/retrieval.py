@@ -12,6 +12,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.vectors import cosine
+from ..plans.lineage import checkpoint, small_side
 
 #: A set of queries of at most this many rows is broadcast; a larger one is dealt out with the vectors.
 QUERY_ROWS = 10_000
@@ -27,8 +28,7 @@ class Settings:
 
 def scored(vectors: DataFrame, queries: DataFrame) -> DataFrame:
     """``qid, chunk_id, score`` of every vector for every query (``qid, q, held_out``) but its held-out chunk."""
-    few = queries.limit(QUERY_ROWS + 1).count() <= QUERY_ROWS
-    both = vectors.crossJoin(F.broadcast(queries) if few else queries)
+    both = vectors.crossJoin(small_side(queries, QUERY_ROWS))
     return both.filter(~F.col("chunk_id").eqNullSafe(F.col("held_out"))).select("qid", "chunk_id", cosine("v", "q").alias("score"))
 
 
@@ -66,9 +66,12 @@ def concept_candidates(inside: DataFrame, mentions: DataFrame, included: DataFra
     return reached.join(included, ["qid", "chunk_id"], "left_anti").withColumn("concept_id", F.col("found.concept_id"))
 
 
-def scored_candidates(candidates: DataFrame, scores: DataFrame, meta: DataFrame) -> DataFrame:
-    """Candidates with a vector and a chunk that is not structural."""
-    return candidates.join(scores, ["qid", "chunk_id"]).join(meta.filter(~F.col("structural")).select("chunk_id"), "chunk_id")
+def scored_candidates(candidates: DataFrame, vectors: DataFrame, queries: DataFrame, meta: DataFrame) -> DataFrame:
+    """Candidates with a vector and a chunk that is not structural, but a query's held-out chunk; only
+    their own vectors are scored."""
+    pairs = candidates.join(vectors.select("chunk_id", "v"), "chunk_id").join(small_side(queries, QUERY_ROWS), "qid")
+    scores = pairs.filter(~F.col("chunk_id").eqNullSafe(F.col("held_out"))).withColumn("score", cosine("v", "q")).drop("v", "q", "held_out")
+    return scores.join(meta.filter(~F.col("structural")).select("chunk_id"), "chunk_id")
 
 
 def fill_slots(candidates: DataFrame, best: DataFrame, used: DataFrame, s: Settings) -> DataFrame:
@@ -85,9 +88,11 @@ def retrieve(chunks: DataFrame, vectors: DataFrame, mentions: DataFrame | None,
     """
     s = settings or Settings()
     meta = chunks.select("chunk_id", "document_id", "chunk_index", "trail", "structural")
-    scores = scored(vectors, queries)
-    search = search_stage(top_hits(scores, s.top_k), meta)
+    # What later steps read again and again is made once.
+    search = checkpoint(search_stage(top_hits(scored(vectors, queries), s.top_k), meta))
     inside, section = section_stage(seed_sections(search, s.max_sections), meta, search)
+    inside = checkpoint(inside)
+    section = inside.join(search.select("qid", "chunk_id"), ["qid", "chunk_id"], "left_anti")
     none = F.lit(None)
     parts = [
         search.select("qid", F.lit(1).alias("stage"), F.col("rank").alias("a"), F.lit(0).alias("b"), "chunk_id", "score", F.lit("search").alias("reason")),
@@ -97,7 +102,8 @@ def retrieve(chunks: DataFrame, vectors: DataFrame, mentions: DataFrame | None,
     if mentions is not None:
         best = search.groupBy("qid").agg(F.max("score").alias("best"))
         used = included.groupBy("qid").agg(F.count(F.lit(1)).alias("used"))
-        found = scored_candidates(concept_candidates(inside, mentions, included), scores, meta)
+        candidates = checkpoint(concept_candidates(inside, checkpoint(mentions), included))
+        found = scored_candidates(candidates, vectors, queries, meta)
         parts.append(fill_slots(found, best, used, s).select("qid", F.lit(3).alias("stage"), F.col("turn").alias("a"), F.lit(0).alias("b"), "chunk_id", "score", F.concat(F.lit("concept:"), "concept_id").alias("reason")))
     rows = parts[0]
     for p in parts[1:]:

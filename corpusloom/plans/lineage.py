@@ -1,15 +1,30 @@
-"""Cutting lineage through the shared checkpoint folder."""
+"""Cutting lineage through the shared checkpoint folder, and deciding on a broadcast."""
 
 from __future__ import annotations
 
+import re
 import tempfile
 
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+
+#: A side of at most this many counted rows is broadcast.
+BROADCAST_ROWS = 10_000
 
 
 def checkpoint(df: DataFrame) -> DataFrame:
-    """Write df to the folder that spark.checkpoint.dir names; where it is unset, as in tests, to one of our own."""
-    context = df.sparkSession.sparkContext
+    """Write df to the folder that spark.checkpoint.dir names. Where it is unset, a local session gets a
+    temporary one; a cluster has none that all its machines see, which is an error."""
+    spark = df.sparkSession
+    context = spark.sparkContext
     if context.getCheckpointDir() is None:
-        context.setCheckpointDir(df.sparkSession.conf.get("spark.checkpoint.dir", None) or tempfile.mkdtemp(prefix="corpusloom-"))
+        folder = spark.conf.get("spark.checkpoint.dir", None)
+        if not folder and not re.fullmatch(r"local(\[.*\])?", context.master):
+            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
+        context.setCheckpointDir(folder or tempfile.mkdtemp(prefix="corpusloom-"))
     return df.checkpoint(eager=True)
+
+
+def small_side(df: DataFrame, rows: int = BROADCAST_ROWS) -> DataFrame:
+    """df with a broadcast hint if it has at most so many rows, else as it is."""
+    return F.broadcast(df) if df.limit(rows + 1).count() <= rows else df

@@ -387,6 +387,12 @@ def _(spark, d):
     return stats.join(F.broadcast(limits.select("name", "provenance")), "name")
 
 
+@query("length_stats_of_nothing", f"SELECT name, 0 AS n, NULL::DOUBLE AS mean_tokens, NULL::INT AS max_tokens_seen, 0 AS n_over, NULL::DOUBLE AS pct_over FROM (VALUES {_MODELS}) AS m(name, max_tokens)")
+def _(spark, d):
+    models = spark.createDataFrame([(n, m) for n, _, m in chunking.MODELS], "name string, max_tokens int")
+    return chunking.length_stats(corpus.table(spark, d, "documents").filter("text = '' AND text <> ''").select(tx.token_count().alias("n_tokens")), models)
+
+
 _MARKDOWN = [
     ("m1", "# Title\n\nSome prose here.\n\n```py\nx = 1\n\n# not a heading\n```\nDescription: the code.\n\nMore prose."),
     ("m2", "$$\na+b\n$$\n\n![fig](a.png)\nDescription: a figure.\n\n## Part\nText under it.\nSecond line."),
@@ -394,14 +400,22 @@ _MARKDOWN = [
 ]
 
 
+def _markdown(spark, d):
+    """Each document as a markdown page with a title, a code block and its description; and odd pages."""
+    code = F.concat(F.lit("```\n"), F.col("lang"), F.lit("\n\n# no heading\n```\nDescription: "), F.col("source"))
+    page = F.concat_ws("\n\n", F.concat(F.lit("# "), F.col("source")), "text", code)
+    pages = corpus.table(spark, d, "documents").select(F.col("doc_id").cast("string").alias("document_id"), page.alias("pivot_md"))
+    return pages.unionByName(spark.createDataFrame(_MARKDOWN, "document_id string, pivot_md string"))
+
+
 @query("markdown_blocks")
 def _(spark, d):
-    return chunking.split_blocks(spark.createDataFrame(_MARKDOWN, "document_id string, pivot_md string"))
+    return chunking.split_blocks(_markdown(spark, d))
 
 
 @query("described_blocks")
 def _(spark, d):
-    return chunking.merge_descriptions(chunking.split_blocks(spark.createDataFrame(_MARKDOWN, "document_id string, pivot_md string")))
+    return chunking.merge_descriptions(chunking.split_blocks(_markdown(spark, d)))
 
 
 # ---- Concepts ------------------------------------------------------------------------------------
@@ -595,7 +609,7 @@ def _(spark, d):
 
 
 @query("snapshot_diff", with_sql(CHUNKS, """SELECT chunk_id, problem FROM (SELECT chunk_id, unnest([CASE WHEN doc_id % 17 = 0 THEN 'missing' END, CASE WHEN doc_id % 17 <> 0 AND doc_id % 13 = 0 THEN 'document' END,
-CASE WHEN doc_id % 17 <> 0 AND doc_id % 19 = 0 THEN 'changed:trail' END, CASE WHEN doc_id % 17 <> 0 AND doc_id % 23 = 0 THEN 'unexpected:stray' END]) AS problem FROM chunks) WHERE problem IS NOT NULL
+CASE WHEN doc_id % 17 <> 0 AND doc_id % 19 = 0 THEN 'changed:trail' END, CASE WHEN doc_id % 17 <> 0 AND doc_id % 23 = 0 THEN 'unexpected:stray' END, CASE WHEN doc_id % 17 <> 0 AND doc_id % 37 = 0 THEN 'expected:has_image' END]) AS problem FROM chunks) WHERE problem IS NOT NULL
 UNION ALL SELECT 'new::0', 'added'"""))
 def _(spark, d):
     c = corpus.chunks(spark, d).select("doc_id", "chunk_id", "text", "trail", "has_image").join(corpus.vectors(spark, d).select("chunk_id", "v"), "chunk_id")
@@ -605,16 +619,19 @@ def _(spark, d):
     after_map = F.create_map(F.lit("trail"), trail, F.lit("has_image"), F.col("has_image").cast("string"))
     after = c.filter("doc_id % 17 <> 0").select("chunk_id", F.when(i % 13 == 0, F.concat("text", F.lit("!"))).otherwise(F.col("text")).alias("document"), F.col("v").alias("embedding"), F.when(i % 23 == 0, F.map_concat(after_map, F.create_map(F.lit("stray"), F.lit("1")))).otherwise(after_map).alias("metadata"))
     extra = spark.createDataFrame([("new::0", "x")], "chunk_id string, document string").select("*", F.array().cast("array<double>").alias("embedding"), F.create_map().cast("map<string,string>").alias("metadata"))
-    return catalog.snapshot_diff(before, after.unionByName(extra), ["has_image"])
+    flag = F.when(i % 37 == 0, ~F.col("has_image")).otherwise(F.col("has_image"))
+    expected = c.select("chunk_id", F.create_map(F.lit("has_image"), flag.cast("string")).alias("wanted"))
+    return catalog.snapshot_diff(before, after.unionByName(extra), ["has_image"], expected=expected)
 
 
 _RECHUNK = f"""{CHUNKS}, stored AS (SELECT *, chunk_index AS pos FROM chunks),
-diffs AS (SELECT document_id, pos, unnest([CASE WHEN doc_id % 29 = 0 THEN 'count' END, CASE WHEN doc_id % 29 <> 0 AND doc_id % 31 = 0 THEN 'text' END]) AS field FROM stored)"""
+diffs AS (SELECT document_id, pos, unnest([CASE WHEN doc_id % 29 = 0 AND NOT sound THEN 'count' END, CASE WHEN doc_id % 29 <> 0 AND doc_id % 31 = 0 AND NOT sound THEN 'text' END]) AS field FROM (SELECT *, document_id IN ('src1', 'src2', 'src3') AS sound FROM stored))"""
 
 
 def _rechunk(spark, d):
     stored = corpus.chunks(spark, d).select("doc_id", "document_id", F.col("chunk_index").alias("pos"), F.col("chunk_index").alias("index"), "text", "heading_trail", "has_code")
-    fresh = stored.filter("doc_id % 29 <> 0").withColumn("text", F.when(F.col("doc_id") % 31 == 0, "changed").otherwise(F.col("text")))
+    sound = F.col("document_id").isin("src1", "src2", "src3")
+    fresh = stored.filter(sound | (F.col("doc_id") % 29 != 0)).withColumn("text", F.when(~sound & (F.col("doc_id") % 31 == 0), "changed").otherwise(F.col("text")))
     return stored, catalog.rechunk_mismatch(stored, fresh)
 
 

@@ -61,6 +61,13 @@ def list_files(spark: SparkSession, folder: str, suffix: str = ".pdf") -> DataFr
     return rows.filter(F.lower("name").endswith(suffix.lower())).orderBy("name")
 
 
+def documents_with(files: DataFrame, *names: str) -> DataFrame:
+    """Documents (folders of the listed ``path``) that hold a file of each name: ``document_id``."""
+    parts = F.split("path", "/")
+    rows = files.select(F.element_at(parts, -2).alias("document_id"), F.element_at(parts, -1).alias("name")).filter(F.col("name").isin(list(names)))
+    return rows.groupBy("document_id").agg(F.count_distinct("name").alias("n")).filter(F.col("n") == len(set(names))).select("document_id")
+
+
 # ---- Views over the test tables --------------------------------------------------------------------
 
 

@@ -122,3 +122,73 @@ def test_stream_equals_table(spark, tmp_path):
     q = stream.writeStream.outputMode("complete").trigger(availableNow=True).option("checkpointLocation", f"{tmp_path}/ck").foreachBatch(lambda b, _: got.extend(b.collect())).start()
     q.awaitTermination(60)
     assert sorted(map(tuple, got)) == sorted(map(tuple, ev.tumbling(df).collect()))
+
+
+def test_migration_is_planned_verified_and_swapped(spark, tmp_path):
+    from corpusloom.operators import migration
+
+    chunk = "document_id string, pos int, chunk_id string, text string, has_image boolean"
+    stored = spark.createDataFrame([("a", 0, "a::0", "x", None), ("a", 1, "a::1", "y", None), ("b", 0, "b::0", "z", None)], chunk)
+    fresh = spark.createDataFrame([("a", 0, "a::0", "x", True), ("a", 1, "a::1", "y", False), ("b", 0, "b::0", "other", True)], chunk)
+    vectors = spark.createDataFrame([(i, "t", [1.0], {"lang": "fr"}) for i in ("a::0", "a::1", "b::0")], "chunk_id string, document string, embedding array<double>, metadata map<string,string>")
+    target = f"{tmp_path}/vectors"
+    vectors.write.parquet(target)
+    old = spark.read.parquet(target)
+    same = lambda df: df.select(F.lit(1).alias("qid"), "chunk_id").groupBy("qid").agg(F.array_join(F.sort_array(F.collect_list("chunk_id")), ",").alias("ids"))
+    plan = migration.migrate(old, stored, fresh, ["has_image"], target, same)
+    assert {r.chunk_id: r.wanted["has_image"] for r in plan.collect()} == {"a::0": "true", "a::1": "false"}
+    assert spark.read.parquet(target).filter("map_contains_key(metadata, 'has_image')").count() == 0
+    with pytest.raises(sinks.VerificationError, match="results"):
+        migration.migrate(old, stored, fresh, ["has_image"], target, lambda df: df.select(F.lit(1).alias("qid"), F.size("metadata").cast("string").alias("ids")).distinct().limit(1) if "wanted" in df.columns else df.groupBy().agg(F.lit(1).alias("qid"), F.max(F.size("metadata")).cast("string").alias("ids")).select("qid", "ids"), apply=True)
+    migration.migrate(old, stored, fresh, ["has_image"], target, same, apply=True)
+    spark.catalog.refreshByPath(target)
+    got = {r.chunk_id: r.metadata for r in spark.read.parquet(target).collect()}
+    assert got == {"a::0": {"lang": "fr", "has_image": "true"}, "a::1": {"lang": "fr", "has_image": "false"}, "b::0": {"lang": "fr"}}
+    wrong = spark.createDataFrame([("a::0", {"has_image": "false"})], "chunk_id string, wanted map<string,string>")
+    assert [tuple(r) for r in catalog.snapshot_diff(vectors, spark.read.parquet(target), ["has_image"], expected=wrong).collect()] == [("a::0", "expected:has_image")]
+
+
+def test_repeated_rows_multiply_nothing(spark):
+    files = spark.createDataFrame([("f", "d1"), ("g", "d2")], "name string, document_id string")
+    twice = spark.createDataFrame([("d1",), ("d1",)], "document_id string")
+    assert sorted((r.name, r.state) for r in catalog.index_status(files, twice).collect()) == [("f", "indexed"), ("g", "not_indexed")]
+    assert catalog.index_status_versioned(files, twice).count() == 2
+
+
+def test_documents_that_hold_both_files(spark):
+    files = spark.createDataFrame([(p,) for p in ("x/a/pivot.md", "x/a/chunks.json", "x/b/pivot.md", "x/b/other.md", "x/c/chunks.json")], "path string")
+    assert [r.document_id for r in corpus.documents_with(files, "pivot.md", "chunks.json").collect()] == ["a"]
+    assert sorted(r.document_id for r in corpus.documents_with(files, "pivot.md").collect()) == ["a", "b"]
+
+
+def test_structural_sections_and_blank_blocks_make_no_chunk(spark):
+    rows = [("d", 0, "heading", "# T", ["Sommaire"]), ("d", 1, "prose", "a list", ["Sommaire"]), ("d", 2, "prose", "text", ["Part"]), ("d", 3, "prose", " \n ", ["Part"])]
+    blocks = spark.createDataFrame(rows, "document_id string, block_index int, kind string, text string, heading_trail array<string>")
+    assert [r.block_index for r in chunking.content_blocks(chunking.without_structural(blocks)).collect()] == [2]
+
+
+def test_article_code_comes_from_its_sources(spark):
+    from corpusloom.operators import content
+
+    articles = spark.createDataFrame([("a", "Text.\n```py\nx = 1\n```\n```\ny\n```")], "article string, text string")
+    sources = spark.createDataFrame([("a", "S1", "```\nx = 1\n```"), ("b", "S1", "```\ny\n```")], "article string, source string, text string")
+    assert [tuple(r) for r in content.citation_check(articles, sources).collect()] == [("a", "code", "y\n")]
+
+
+def test_long_pages_split_into_blocks(spark):
+    """Against a plain reading, line by line; prose of any length is one block."""
+    page = "# T\n\n" + "word " * 60_000 + "\nnext line\n\n```\nx\n\n# y\n```\n\nend"
+    got = chunking.split_blocks(spark.createDataFrame([("d", page)], "document_id string, pivot_md string")).orderBy("block_index").collect()
+    want, held, fence = [], [], False
+    for line in [*page.split("\n"), ""]:
+        mark = line.startswith("```")
+        if not fence and (not line.strip() or mark or line.startswith("# ")) and held:
+            want.append("\n".join(held).strip())
+            held = []
+        if line.strip() or fence:
+            held.append(line)
+        if not fence and line.startswith("# ") or mark and fence:
+            want.append("\n".join(held).strip())
+            held = []
+        fence ^= mark
+    assert [r.text for r in got] == want and [r.kind for r in got] == ["heading", "prose", "code", "prose"]
