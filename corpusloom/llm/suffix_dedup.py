@@ -143,8 +143,8 @@ def _packed(rows: list[tuple]) -> pa.RecordBatch:
 
 
 def _buckets(anchor: np.ndarray, n: int) -> np.ndarray:
-    """The bucket of 48-bit anchors: a range of them."""
-    return (((anchor >> U64(16)) * U64(n)) >> U64(32)).astype(np.int64)
+    """The bucket of anchors. They are least hashes, so mostly small: another scramble spreads them evenly."""
+    return (((tn.mix(anchor) >> U64(32)) * U64(n)) >> U64(32)).astype(np.int64)
 
 
 def _groups(*keys: np.ndarray) -> np.ndarray:
@@ -200,9 +200,11 @@ def _sightings(docs: DataFrame, p: Repeats, n_buckets: int) -> DataFrame:
             own, a, b = _merged(doc[copied], start[copied], start[copied] + windows[copied] - 1 + p.length)
             rows.append((turn % n_buckets, GONE, len(own), 0, _pack(_SPAN, [ids[own], uids[own], a, b])))
         rest = np.flatnonzero(~copied)
-        rest = rest[np.argsort(h[rest], kind="stable")]
+        bucket = _buckets(h[rest], n_buckets)
+        by_bucket = np.lexsort([h[rest], bucket])
+        rest, bucket = rest[by_bucket], bucket[by_bucket]
         h, c1, c2, doc, start, windows, lead = (x[rest] for x in (h, c1, c2, doc, start, windows, lead))
-        cuts = np.searchsorted(_buckets(h, n_buckets), np.arange(n_buckets + 1))
+        cuts = np.searchsorted(bucket, np.arange(n_buckets + 1))
         for k in np.flatnonzero(np.diff(cuts)).tolist():
             i = slice(cuts[k], cuts[k + 1])
             used, number = np.unique(doc[i], return_inverse=True)
