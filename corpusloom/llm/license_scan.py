@@ -8,7 +8,7 @@ import re
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .license_texts import NOTICES, TEXTS
+from .license_texts import DIGESTS, NOTICES, TEXTS
 
 #: A line that only says whose copyright it is; a sentence that mentions a copyright notice is none.
 COPYRIGHT_LINE = r"(?m)^[^\p{L}\p{N}\n©]*(copyright[ \t]*(\(c\)|©|[:0-9<\[{])|©|\(c\)[ \t]*[0-9])[^\n]*$"
@@ -56,7 +56,7 @@ def digest(text: str) -> str:
 
 def known_digests() -> list[tuple[str, str]]:
     """(digest, licence id) of the known texts: a fixed table of a few rows."""
-    out: dict[str, str] = {}
+    out = {known: name for name, known in DIGESTS}
     for name, title, text in TEXTS:
         out[digest(text)] = name
         out[digest(f"{title}\n\n{text}")] = name
@@ -69,11 +69,12 @@ def license_scan(docs: DataFrame, known: list[tuple[str, str]] | None = None, id
     """Look every whole text up among known licences: ``id_col, text_digest, license_id``.
 
     ``text_digest`` is the SHA-256 of the canonical form; ``license_id`` is null where it is not
-    known. The table of digests is a constant of the call and is broadcast; documents are neither
-    shuffled nor sampled. Null and empty texts have the digest of the empty text and no licence.
+    known. The table of digests is a constant of the call and is broadcast; an empty one knows no
+    licence, and of a repeated digest the last id holds. Documents are neither shuffled nor sampled. Null and empty texts have the digest of the empty text and no licence.
     Repeated rows and null ids are returned as they come. Other columns are ignored.
     """
-    table = docs.sparkSession.createDataFrame(known or known_digests(), "known_digest string, license_id string")
+    pairs = known_digests() if known is None else list(dict(known).items())
+    table = docs.sparkSession.createDataFrame(pairs, "known_digest string, license_id string")
     rows = docs.select(F.col(id_col).alias("id"), F.sha2(canonical(F.col(text_col)).cast("binary"), 256).alias("text_digest"))
     joined = rows.join(F.broadcast(table), F.col("text_digest") == F.col("known_digest"), "left")
     return joined.select(F.col("id").alias(id_col), "text_digest", "license_id")

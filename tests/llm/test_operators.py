@@ -1,6 +1,7 @@
 """Each operator against brute force on a small, awkward table; and what it does with odd rows."""
 
 import hashlib
+import os
 import random
 import re
 import zlib
@@ -387,6 +388,21 @@ def test_license_scan(spark, docs, empty):
     assert got == {1: "MIT", 2: "BSD-3-Clause", 3: None, 4: None, 5: "CC-BY-NC-4.0", 6: "ISC"}
     assert {r.license_id for r in license_scan.license_scan(docs).collect()} == {None}
     assert license_scan.license_scan(empty).count() == 0
+    one = spark.createDataFrame(rows[4:5] * 2, "doc_id long, text string")
+    assert [r.license_id for r in license_scan.license_scan(one, []).collect()] == [None, None]
+    own = license_scan.digest("Licensed under CC BY-NC 4.0.")
+    assert [r.license_id for r in license_scan.license_scan(one, [(own, "old"), (own, "new")]).collect()] == ["new", "new"]
+
+
+@pytest.mark.skipif(not os.path.isdir("/usr/share/common-licenses"), reason="needs Debian's licence texts")
+def test_long_licenses(spark):
+    """Whole texts as distributed, and with other case, line breaks, punctuation and copyright lines."""
+    want = {"Apache-2.0": "Apache-2.0", "CC0-1.0": "CC0-1.0", "GPL-2": "GPL-2.0-only", "GPL-3": "GPL-3.0-only", "LGPL-2.1": "LGPL-2.1-only", "MPL-2.0": "MPL-2.0"}
+    texts = {f: open(f"/usr/share/common-licenses/{f}", encoding="utf-8").read() for f in want}
+    rows = [(f, t) for f, t in texts.items()] + [(f, "Copyright (c) 2024 A. Person\n\n" + t.upper().replace(",", " -")) for f, t in texts.items()]
+    rows += [("none", t[: len(t) // 2]) for t in texts.values()]
+    got = license_scan.license_scan(spark.createDataFrame(rows, "doc_id string, text string")).collect()
+    assert len(got) == len(rows) and all(r.license_id == want.get(r.doc_id) for r in got)
 
 
 def test_chat_parts(spark):
