@@ -62,9 +62,9 @@ def _distances(x: np.ndarray, c: np.ndarray) -> np.ndarray:
 
 
 def usable(vectors: DataFrame, id_col: str, vec_col: str) -> DataFrame:
-    """``id, v`` (doubles) of the rows that take part: no null, no component that is null or not finite,
-    not all zero, and of the commonest dimension."""
-    v = F.transform(F.col(vec_col), lambda x: x.cast("double"))
+    """``id, v`` (floats as they are, else doubles) of the rows that take part: no null, no component that
+    is null or not finite, not all zero, and of the commonest dimension."""
+    v = F.col(vec_col) if vectors.schema[vec_col].dataType.elementType == T.FloatType() else F.transform(F.col(vec_col), lambda x: x.cast("double"))
     rows = vectors.filter(F.col(vec_col).isNotNull() & F.col(id_col).isNotNull()).select(F.col(id_col).cast("long").alias("id"), v.alias("v"))
     inf = float("inf")
     rows = rows.filter(F.forall("v", lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) < F.lit(inf))) & F.exists("v", lambda x: x != 0))
@@ -83,15 +83,20 @@ def _kmeans(x: np.ndarray, lists: int, rounds: int, rng: np.random.Generator) ->
 
 
 def _matrix(column: pa.Array) -> np.ndarray:
-    return column.flatten().to_numpy(zero_copy_only=False).reshape(len(column), -1)
+    return column.flatten().to_numpy(zero_copy_only=False).reshape(len(column), -1).astype(np.float64, copy=False)
+
+
+def _square(v: str):
+    """The squared norm of a vector column, in doubles."""
+    return F.aggregate(v, F.lit(0.0), lambda a, x: a + x.cast("double") * x.cast("double"))
 
 
 def build(rows: DataFrame, n_rows: int, p: AnnParams) -> tuple[Index, DataFrame]:
-    """Fit on a bounded sample by hash, then assign every row to its list: ``list, id, v, r`` (rotated)."""
+    """Fit on a bounded sample by hash, then assign every row to its list: ``list, id, v``."""
     rng = np.random.default_rng(p.seed)
-    norm = math.sqrt(rows.agg(F.max(F.aggregate("v", F.lit(0.0), lambda a, x: a + x * x))).first()[0])
+    norm = math.sqrt(rows.agg(F.max(_square("v"))).first()[0])
     chosen = rows.orderBy(F.xxhash64("id"), "id").limit(p.sample).select("v").collect()
-    x = np.array([r["v"] for r in chosen])
+    x = np.array([r["v"] for r in chosen], dtype=np.float64)
     d = x.shape[1] + 1
     rotation = np.linalg.qr(rng.normal(size=(d, d)))[0]
     index = Index(rotation, np.empty((0, d)), norm, 1, np.empty(0))
@@ -102,12 +107,10 @@ def build(rows: DataFrame, n_rows: int, p: AnnParams) -> tuple[Index, DataFrame]
         for batch in batches:
             if not batch.num_rows:
                 continue
-            v = _matrix(batch.column(1))
-            r = index.turned(v, query=False)
-            flat = pa.ListArray.from_arrays(pa.array(np.arange(len(r) + 1, dtype=np.int32) * r.shape[1]), pa.array(r.reshape(-1)))
-            yield pa.RecordBatch.from_arrays([pa.array(index.lists(r).astype(np.int32)), batch.column(0), batch.column(1), flat], names=["list", "id", "v", "r"])
+            own = index.lists(index.turned(_matrix(batch.column(1)), query=False))
+            yield pa.RecordBatch.from_arrays([pa.array(own.astype(np.int32)), batch.column(0), batch.column(1)], names=["list", "id", "v"])
 
-    placed = checkpoint(rows.select("id", "v").mapInArrow(run, "list int, id long, v array<double>, r array<double>"))
+    placed = checkpoint(rows.select("id", "v").mapInArrow(run, T.StructType([T.StructField("list", T.IntegerType()), *rows.select("id", "v").schema])))
     sizes = np.zeros(lists)
     for r in placed.groupBy("list").count().collect():
         sizes[r["list"]] = r["count"]
@@ -146,7 +149,7 @@ def calibrate(index: Index, placed: DataFrame, queries: DataFrame, p: AnnParams)
     some = queries.orderBy(F.xxhash64("id"), "id").limit(p.check).collect()
     if not some:
         return 1.0
-    q, ids = np.array([r["v"] for r in some]), np.array([r["id"] for r in some])
+    q, ids = np.array([r["v"] for r in some], dtype=np.float64), np.array([r["id"] for r in some])
     true = exact(placed, q, ids, p.k).select("query_id", "list").collect()
     order = np.argsort(_distances(index.turned(q, query=True), index.centroids), axis=1, kind="stable")
     place = np.empty_like(order)
@@ -180,23 +183,29 @@ def scan(rows: np.ndarray, query: np.ndarray, near: float, p: AnnParams, norm2:
     return alive
 
 
-def _tiles(placed: DataFrame, probes: DataFrame, p: AnnParams) -> DataFrame:
-    """``query_id, id, score``: each probed list's rows, dealt into tiles, against its queries, dealt too."""
+def _tiles(index: Index, placed: DataFrame, probes: DataFrame, p: AnnParams) -> DataFrame:
+    """``query_id, id, score``: each probed list's rows, dealt into tiles, against its queries, dealt too.
+
+    Rows are dealt by their place in the written table, so that repeats of one id spread; a list's rows
+    and queries are rotated where they meet.
+    """
 
     def dealt(df: DataFrame, name: str, size: int, cols: list[str]) -> DataFrame:
         parts = df.groupBy("list").agg(F.ceil(F.count(F.lit(1)) / F.lit(size)).alias("parts"))
-        part = F.pmod(F.xxhash64("id"), F.col("parts"))
+        part = F.pmod(F.xxhash64("place"), F.col("parts"))
         return df.join(F.broadcast(parts), "list").groupBy("list", part.alias("part")).agg(F.collect_list(F.struct(*cols)).alias(name)).select("list", name)
 
-    tiles = dealt(placed, "rows", p.tile, ["id", "v", "r"]).join(dealt(probes, "queries", p.tile_queries, ["id", "v", "r", "near"]), "list")
+    rows = placed.withColumn("place", F.monotonically_increasing_id())
+    tiles = dealt(rows, "rows", p.tile, ["id", "v"]).join(dealt(probes.withColumn("place", F.col("id")), "queries", p.tile_queries, ["id", "v", "near"]), "list")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             out: list[tuple[np.ndarray, ...]] = []
             for i in range(batch.num_rows):
                 rows, queries = batch.column(1)[i].values, batch.column(2)[i].values
-                ids, v, r = rows.field("id").to_numpy(), _matrix(rows.field("v")), _matrix(rows.field("r"))
-                q_ids, q_v, q_r = queries.field("id").to_numpy(), _matrix(queries.field("v")), _matrix(queries.field("r"))
+                ids, v = rows.field("id").to_numpy(), _matrix(rows.field("v"))
+                q_ids, q_v = queries.field("id").to_numpy(), _matrix(queries.field("v"))
+                r, q_r = index.turned(v, query=False), index.turned(q_v, query=True)
                 limits = queries.field("near").to_numpy(zero_copy_only=False)
                 norm2 = float((r[0] ** 2).sum())
                 for n in range(len(q_ids)):
@@ -233,7 +242,7 @@ def search(vectors: DataFrame, is_query, params: AnnParams | None = None, id_col
 
     Rows whose vector is null, zero, or has null or non-finite components take no part, nor do rows of
     a null id or of another length than the commonest. Repeated rows are candidates each; repeats of
-    the query's own id are not its candidates. A list that holds many rows is dealt into tiles. An
+    the query's own id are not its candidates, and of several vectors of a query's id the least asks. A list that holds many rows is dealt into tiles. An
     empty table gives an empty result. Other columns are ignored.
     """
     p = params or AnnParams()
@@ -244,7 +253,7 @@ def search(vectors: DataFrame, is_query, params: AnnParams | None = None, id_col
     if not n_rows:
         return spark.createDataFrame([], RESULT)
     index, placed = build(rows, n_rows, p)
-    queries = rows.filter(is_query).dropDuplicates(["id"])
+    queries = rows.filter(is_query).groupBy("id").agg(F.min("v").alias("v"))
     calibrate(index, placed, queries, p)
     enough = 2 * p.k + 1
 
@@ -258,17 +267,15 @@ def search(vectors: DataFrame, is_query, params: AnnParams | None = None, id_col
             n = np.maximum(index.probes, 1 + (held <= enough).sum(axis=1)).clip(max=order.shape[1])
             q = np.repeat(np.arange(len(n)), n)
             turn = np.arange(len(q)) - np.repeat(np.cumsum(n) - n, n)
-            flat = pa.ListArray.from_arrays(pa.array(np.arange(len(r) + 1, dtype=np.int32) * r.shape[1]), pa.array(r.reshape(-1)))
-            yield pa.RecordBatch.from_arrays([pa.array(order[q, turn].astype(np.int32)), pa.array(turn.astype(np.int32)), batch.column(0).take(pa.array(q)), batch.column(1).take(pa.array(q)), flat.take(pa.array(q))], names=["list", "turn", "id", "v", "r"])
+            yield pa.RecordBatch.from_arrays([pa.array(order[q, turn].astype(np.int32)), pa.array(turn.astype(np.int32)), batch.column(0).take(pa.array(q)), batch.column(1).take(pa.array(q))], names=["list", "turn", "id", "v"])
 
-    probes = queries.select("id", "v").mapInArrow(choose, "list int, turn int, id long, v array<double>, r array<double>")
+    probes = queries.select("id", "v").mapInArrow(choose, T.StructType([T.StructField("list", T.IntegerType()), T.StructField("turn", T.IntegerType()), *rows.select("id", "v").schema]))
     first = probes.filter("turn = 0").withColumn("near", F.lit(float("inf")))
-    found = checkpoint(_tiles(placed, first, p))
+    found = checkpoint(_tiles(index, placed, first, p))
     norm2 = index.norm**2
     # The k-th score so far, as a squared distance between augmented vectors.
     limit = nearest(found, p.k).groupBy("query_id").agg(F.min("score").alias("least"), F.count(F.lit(1)).alias("n")).filter(F.col("n") >= p.k)
-    square = F.aggregate("v", F.lit(0.0), lambda a, x: a + x * x)
-    rest = probes.filter("turn > 0").join(limit, F.col("id") == F.col("query_id"), "left").withColumn("near", F.coalesce(square + F.lit(norm2) - 2 * F.col("least"), F.lit(float("inf"))))
-    more = _tiles(placed, rest.select("list", "id", "v", "r", "near"), p)
+    rest = probes.filter("turn > 0").join(limit, F.col("id") == F.col("query_id"), "left").withColumn("near", F.coalesce(_square("v") + F.lit(norm2) - 2 * F.col("least"), F.lit(float("inf"))))
+    more = _tiles(index, placed, rest.select("list", "id", "v", "near"), p)
     best = nearest(found.unionByName(more), p.k)
     return best.select("query_id", F.col("rank").cast("int").alias("rank"), F.col("id").alias("vec_id"), "score")
