@@ -115,6 +115,8 @@ def chunks(raw: np.ndarray, offsets: np.ndarray, p: Repeats) -> Iterator[tuple[i
 #: What a row holds: sightings of anchors, spans that go, or segments of text.
 SEEN, GONE, TEXT = 0, 1, 2
 PACKED = "bucket int, kind int, n int, m int, data binary"
+#: Packed rows leave a worker in batches of about so many bytes.
+SENT_BYTES = 2 << 20
 _SEEN = ("<u8", "<u8", "<u4", "<u4", "<u2", "<u2")  # anchor and document's number; digest (two); start; windows; lead
 _SPAN = ("<i8", "<i8", "<u4", "<u4")  # id, uid, start, end
 _TEXT = ("<u8", "<i8", "<i8", "<u4", "<u2", "<u2")  # anchor, id, uid, start, windows, lead
@@ -187,8 +189,11 @@ def _sightings(docs: DataFrame, p: Repeats, n_buckets: int) -> DataFrame:
     of a block only those of the least document go out; the others are spans that go.
     """
 
-    def block(ids: np.ndarray, uids: np.ndarray, found: list[list[np.ndarray]], turn: int) -> pa.RecordBatch:
-        h, c1, c2, doc, start, windows, lead = (np.concatenate([f[c] for f in found]) for c in range(7))
+    def block(ids: np.ndarray, uids: np.ndarray, found: list[list[np.ndarray]], turn: int) -> Iterator[pa.RecordBatch]:
+        columns = []
+        for _ in range(7):  # column by column, each let go as it is joined
+            columns.append(np.concatenate([f.pop(0) for f in found]))
+        h, c1, c2, doc, start, windows, lead = columns
         order = np.argsort(c1, kind="stable")
         new = _groups(c1[order], c2[order], h[order])
         heads = np.flatnonzero(new)
@@ -203,19 +208,28 @@ def _sightings(docs: DataFrame, p: Repeats, n_buckets: int) -> DataFrame:
         bucket = _buckets(h[rest], n_buckets)
         by_bucket = np.lexsort([h[rest], bucket])
         rest, bucket = rest[by_bucket], bucket[by_bucket]
-        h, c1, c2, doc, start, windows, lead = (x[rest] for x in (h, c1, c2, doc, start, windows, lead))
+        del h, c1, c2, doc, start, windows, lead, order, by_bucket
+        for c in range(7):
+            columns[c] = columns[c][rest]
+        h, c1, c2, doc, start, windows, lead = columns
         cuts = np.searchsorted(bucket, np.arange(n_buckets + 1))
+        held = sum(len(r[-1]) for r in rows)
         for k in np.flatnonzero(np.diff(cuts)).tolist():
             i = slice(cuts[k], cuts[k + 1])
             used, number = np.unique(doc[i], return_inverse=True)
             table = _pack(("<i8", "<i8"), [ids[used], uids[used]])
             rows.append((k, SEEN, len(number), len(used), table + _pack(_SEEN, [(h[i] << U64(16)) | number.astype(U64), c1[i], c2[i], start[i], windows[i], lead[i]])))
-        return _packed(rows)
+            held += len(rows[-1][-1])
+            if held > SENT_BYTES:
+                yield _packed(rows)
+                rows, held = [], 0
+        if rows:
+            yield _packed(rows)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         found, held, known, turn = [], 0, [], 0
 
-        def flush() -> pa.RecordBatch:
+        def flush() -> Iterator[pa.RecordBatch]:
             return block(np.concatenate([k[0] for k in known]), np.concatenate([k[1] for k in known]), found, turn)
 
         for batch in batches:
@@ -224,7 +238,7 @@ def _sightings(docs: DataFrame, p: Repeats, n_buckets: int) -> DataFrame:
             for lo in range(0, len(ids), 1 << 12):
                 hi = min(len(ids), lo + (1 << 12))
                 if held and sum(len(k[0]) for k in known) + hi - lo > 1 << 16:  # numbers have 16 bits
-                    yield flush()
+                    yield from flush()
                     found, held, known, turn = [], 0, [], turn + 1
                 base = sum(len(k[0]) for k in known)
                 known.append((ids[lo:hi], uids[lo:hi]))
@@ -233,15 +247,15 @@ def _sightings(docs: DataFrame, p: Repeats, n_buckets: int) -> DataFrame:
                     h, r, s0, s1, at = anchor_runs(part, edge, p, g)
                     if not len(h):
                         continue
-                    found.append([h, *digests(g, s0, s1 + p.length, p), r + row + base, s0 - edge[r] + place, s1 - s0 + 1, at - s0])
+                    found.append([h, *digests(g, s0, s1 + p.length, p), (r + row + base).astype(np.int32), s0 - edge[r] + place, (s1 - s0 + 1).astype(np.uint16), (at - s0).astype(np.uint16)])
                     held += len(h)
                     if held > p.block:
-                        yield flush()
+                        yield from flush()
                         found, held, turn = [], 0, turn + 1
             if not held:
                 known = []
         if held:
-            yield flush()
+            yield from flush()
         tn.trim()
 
     return docs.select("id", "uid", "text").mapInArrow(run, PACKED)
