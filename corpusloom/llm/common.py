@@ -19,7 +19,7 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 #: Bytes of rows handed to Python at once, whatever their number.
-BATCH_BYTES = 16 << 20
+BATCH_BYTES = 4 << 20
 
 
 def modest_batches(df: DataFrame, rows: int = 1000) -> None:
