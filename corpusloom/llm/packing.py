@@ -67,7 +67,7 @@ def tokenized_pieces(docs: DataFrame, tokenizer_path: str, id_col: str, text_col
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         merges = pair_merges(tokenizer_path)
-        cache = _cache.setdefault(tokenizer_path, IdCache())
+        cache = _cache.setdefault(tokenizer_path, IdCache(16 << 20))
         for batch in batches:
             _, offsets = tn.utf8(batch.column(1))
             for lo, hi in tn.row_ranges(offsets, TEXT_BYTES):
