@@ -2,8 +2,14 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ..functions import text as tx
 
@@ -57,17 +63,42 @@ def line_blocks(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
     return lines.select(id_col, "block_index", kind.alias("kind"), "text", F.size(F.regexp_extract_all("text", F.lit(r"\S+"), 0)).alias("n_tokens"))
 
 
+def _chunk_numbers(n: np.ndarray, target: int) -> np.ndarray:
+    """The chunk of each block of n tokens: from a chunk's start, a running sum gives its end at once."""
+    total = np.concatenate([[0], np.cumsum(n)])
+    solid = np.append(np.flatnonzero(n), len(n))
+    chunk, start, number = np.empty(len(n), np.int32), 0, 0
+    while start < len(n):
+        first = solid[np.searchsorted(solid, start)]
+        end = max(first + 1, int(np.searchsorted(total, total[start] + target, side="right")) - 1)
+        chunk[start:end] = number
+        start, number = end, number + 1
+    return chunk
+
+
 def greedy_chunks(blocks: DataFrame, target: int = 400, id_col: str = "doc_id") -> DataFrame:
     """Give each block the number of its chunk: a chunk closes before the block that would take it
-    past target; a longer block is a chunk of its own. One fold over a document's block lengths."""
-    step = lambda acc, x: F.when(
-        (acc["used"] > 0) & (acc["used"] + x["n"] > target),
-        F.struct((acc["chunk"] + 1).alias("chunk"), x["n"].alias("used"), F.concat(acc["of"], F.array(acc["chunk"] + 1)).alias("of")),
-    ).otherwise(F.struct(acc["chunk"].alias("chunk"), (acc["used"] + x["n"]).alias("used"), F.concat(acc["of"], F.array(acc["chunk"])).alias("of")))
-    start = F.struct(F.lit(0).alias("chunk"), F.lit(0).alias("used"), F.array().cast("array<int>").alias("of"))
-    docs = blocks.groupBy(id_col).agg(F.array_sort(F.collect_list(F.struct("block_index", F.col("n_tokens").alias("n")))).alias("b"))
-    folded = docs.select(id_col, "b", F.aggregate("b", start, step)["of"].alias("of"))
-    return folded.select(id_col, F.explode(F.arrays_zip("b", "of")).alias("x")).select(id_col, F.col("x.b.block_index").alias("block_index"), F.col("x.of").alias("chunk_index"), F.col("x.b.n").alias("n_tokens"))
+    past target; a longer block is a chunk of its own. An unknown length counts as 0.
+
+    A chunk's end depends on its start, so a document's lengths (numbers only) meet in one row.
+    """
+    block = F.struct("block_index", F.coalesce("n_tokens", F.lit(0)).alias("n"))
+    docs = blocks.groupBy(id_col).agg(F.array_sort(F.collect_list(block)).alias("b"))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            lists = batch.column(1)
+            flat, sizes = lists.flatten(), pc.list_value_length(lists).to_numpy(zero_copy_only=False)
+            n = flat.field("n").to_numpy(zero_copy_only=False).astype(np.int64)
+            chunk = np.concatenate([_chunk_numbers(x, target) for x in np.split(n, np.cumsum(sizes)[:-1])])
+            ids = batch.column(0).take(pa.array(np.repeat(np.arange(len(sizes)), sizes)))
+            yield pa.RecordBatch.from_arrays([ids, flat.field("block_index"), pa.array(chunk), flat.field("n")], names=[id_col, "block_index", "chunk_index", "n_tokens"])
+
+    types = {f.name: f.dataType for f in blocks.schema}
+    names = [id_col, "block_index", "chunk_index", "n_tokens"]
+    return docs.select(id_col, "b").mapInArrow(run, T.StructType([T.StructField(c, types[c] if c != "chunk_index" else T.IntegerType()) for c in names]))
 
 
 def with_overlap(assigned: DataFrame, overlap: int = 1, id_col: str = "doc_id") -> DataFrame:
@@ -90,9 +121,11 @@ MODELS = [
 
 
 def model_limits(models: DataFrame, configs: DataFrame) -> DataFrame:
-    """Each model's limit from its JSON config (``name, config``), or the listed one; and which it was."""
+    """Each model's limit and where it is from: its JSON config (``name, config``; ``config``), or the listed one,
+    as the config lacks the key (``no_key``) or there is none (``no_config``)."""
     own = F.get_json_object("config", "$.max_seq_length").cast("int")
-    return models.join(configs, "name", "left").select("name", F.coalesce(own, "max_tokens").alias("max_tokens"), F.when(own.isNotNull(), "config").otherwise("fallback").alias("provenance"))
+    source = F.when(own.isNotNull(), "config").when(F.col("config").isNotNull(), "no_key").otherwise("no_config")
+    return models.join(configs, "name", "left").select("name", F.coalesce(own, "max_tokens").alias("max_tokens"), source.alias("provenance"))
 
 
 def length_stats(lengths: DataFrame, limits: DataFrame, *keys: str) -> DataFrame:

@@ -7,14 +7,15 @@ broadcast to the vectors, which are scanned once; text is attached last.
 from __future__ import annotations
 
 from dataclasses import dataclass
+from functools import reduce
 
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.vectors import cosine
-from ..plans.lineage import checkpoint, small_side
+from ..plans.lineage import checkpoint, in_blocks, small_side
 
-#: A set of queries of at most this many rows is broadcast; a larger one is dealt out with the vectors.
+#: A set of queries of at most this many rows is broadcast; a larger one in blocks.
 QUERY_ROWS = 10_000
 
 
@@ -28,7 +29,7 @@ class Settings:
 
 def scored(vectors: DataFrame, queries: DataFrame) -> DataFrame:
     """``qid, chunk_id, score`` of every vector for every query (``qid, q, held_out``) but its held-out chunk."""
-    both = vectors.crossJoin(small_side(queries, QUERY_ROWS))
+    both = reduce(DataFrame.unionByName, [vectors.crossJoin(block) for block in in_blocks(queries, "qid", QUERY_ROWS)])
     return both.filter(~F.col("chunk_id").eqNullSafe(F.col("held_out"))).select("qid", "chunk_id", cosine("v", "q").alias("score"))
 
 
@@ -134,12 +135,16 @@ def stride_sample(rows: DataFrame, n: int, group: str = "document_id", key: str
     """Every max(1, n // most)-th row by key, the first ``most`` of them; n is the number of rows.
 
     A key is its group, '::' and a rest, so a row's position is that of its group plus that within
-    it: only one count for each group meets in one task.
+    it. Groups are put in order by ranges, and only one total for each range meets in one task.
     """
     step = max(1, n // most)
     head = F.concat(F.col(group), F.lit("::"))
     counts = rows.groupBy(group).agg(F.count(F.lit(1)).alias("n"))
-    before = counts.select(group, (F.sum("n").over(Window.orderBy(head)) - F.col("n")).alias("before"))
+    ranges = checkpoint(counts.withColumn("head", head).repartitionByRange("head").withColumn("range", F.spark_partition_id()))
+    totals = ranges.groupBy("range").agg(F.sum("n").alias("all"))
+    earlier = totals.select("range", (F.sum("all").over(Window.orderBy("range")) - F.col("all")).alias("earlier"))
+    own = F.sum("n").over(Window.partitionBy("range").orderBy("head")) - F.col("n")
+    before = ranges.withColumn("own", own).join(earlier, "range").select(group, (F.col("own") + F.col("earlier")).alias("before"))
     inside = F.row_number().over(Window.partitionBy(group).orderBy(key)) - 1
     placed = rows.withColumn("inside", inside).join(before, group).withColumn("position", F.col("before") + F.col("inside"))
     return placed.filter((F.col("position") % step == 0) & (F.col("position") < step * most)).drop("inside", "before")

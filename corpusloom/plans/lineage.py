@@ -25,6 +25,16 @@ def checkpoint(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
+def in_blocks(stated: DataFrame, key: str, rows: int = BROADCAST_ROWS) -> list[DataFrame]:
+    """A stated set dealt by key into parts of at most about ``rows`` rows, each to be broadcast in a turn of
+    its own: what meets it is scanned once a part, and no row is shuffled."""
+    n = stated.count()
+    if n <= rows:
+        return [F.broadcast(stated)]
+    parts = -(-2 * n // rows)
+    return [F.broadcast(stated.filter(F.pmod(F.xxhash64(key), F.lit(parts)) == part)) for part in range(parts)]
+
+
 def small_side(df: DataFrame, rows: int = BROADCAST_ROWS) -> DataFrame:
     """df with a broadcast hint if it has at most so many rows, else as it is."""
     return F.broadcast(df) if df.limit(rows + 1).count() <= rows else df

@@ -378,7 +378,7 @@ _CONFIGS = [("bge-m3", '{"max_seq_length": 8192}'), ("multilingual-e5-base", '{"
 
 
 @query("length_stats_by_model", with_sql(f"""models(name, max_listed) AS (VALUES {_MODELS}), configs(name, config) AS (VALUES {", ".join(f"('{n}', '{c}')" for n, c in _CONFIGS)}),
-limits AS (SELECT m.name, coalesce(json_extract_string(config, '$.max_seq_length')::INT, max_listed) AS max_tokens, CASE WHEN json_extract_string(config, '$.max_seq_length') IS NULL THEN 'fallback' ELSE 'config' END AS provenance FROM models m LEFT JOIN configs c USING (name)),
+limits AS (SELECT m.name, coalesce(json_extract_string(config, '$.max_seq_length')::INT, max_listed) AS max_tokens, CASE WHEN json_extract_string(config, '$.max_seq_length') IS NOT NULL THEN 'config' WHEN config IS NOT NULL THEN 'no_key' ELSE 'no_config' END AS provenance FROM models m LEFT JOIN configs c USING (name)),
 lengths AS (SELECT (len(regexp_extract_all(text, '\\S+')) + 2)::INT AS n_tokens FROM documents)""", f"SELECT name, provenance, {_STATS} FROM lengths, limits GROUP BY name, provenance"))
 def _(spark, d):
     models = spark.createDataFrame([(n, h, m) for n, h, m in chunking.MODELS], "name string, hf_id string, max_tokens int")

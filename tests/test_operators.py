@@ -2,11 +2,13 @@
 
 import json
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
 from corpusloom.functions import text as tx
 from corpusloom.operators import catalog, chunking, concepts
+from corpusloom.plans.lineage import in_blocks
 from corpusloom.sources import corpus, sinks
 
 
@@ -192,3 +194,39 @@ def test_long_pages_split_into_blocks(spark):
             held = []
         fence ^= mark
     assert [r.text for r in got] == want and [r.kind for r in got] == ["heading", "prose", "code", "prose"]
+
+
+def test_greedy_chunks_equal_a_plain_fold(spark):
+    rng = np.random.default_rng(5)
+    rows, want = [], {}
+    for doc, size in enumerate([1, 2, 7, 60, 400]):
+        chunk = used = 0
+        for i, n in enumerate(rng.choice([0, 1, 3, 9, 10, 11, 25], size)):
+            if used > 0 and used + n > 10:
+                chunk, used = chunk + 1, 0
+            used += int(n)
+            rows.append((doc, i, int(n)))
+            want[doc, i] = chunk
+    blocks = spark.createDataFrame(rows, "doc_id long, block_index int, n_tokens int").repartition(3)
+    got = {(r.doc_id, r.block_index): r.chunk_index for r in chunking.greedy_chunks(blocks, 10).collect()}
+    assert got == want
+    assert chunking.greedy_chunks(blocks.filter("false")).count() == 0
+
+
+def test_greedy_chunks_unknown_length(spark):
+    blocks = spark.createDataFrame([(1, 0, None), (1, 1, 9), (1, 2, None), (1, 3, 2)], "doc_id long, block_index int, n_tokens int")
+    assert [r.chunk_index for r in chunking.greedy_chunks(blocks, 10).orderBy("block_index").collect()] == [0, 0, 0, 1]
+
+
+def test_stated_sets_go_in_blocks(spark):
+    stated = spark.range(100).withColumnRenamed("id", "qid")
+    parts = in_blocks(stated, "qid", 10)
+    assert len(parts) == 20
+    assert sorted(r.qid for p in parts for r in p.collect()) == list(range(100))
+    assert len(in_blocks(stated, "qid", 100)) == len(in_blocks(stated.filter("false"), "qid", 100)) == 1
+
+
+def test_model_limits_name_their_source(spark):
+    models = spark.createDataFrame([("a", 1), ("b", 2), ("c", 3)], "name string, max_tokens int")
+    configs = spark.createDataFrame([("a", '{"max_seq_length": 9}'), ("b", "{}")], "name string, config string")
+    assert sorted(tuple(r) for r in chunking.model_limits(models, configs).collect()) == [("a", 9, "config"), ("b", 2, "no_key"), ("c", 3, "no_config")]
