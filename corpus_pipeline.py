@@ -14,7 +14,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from corpusloom.llm.common import checkpoint, shared_folder, small_side, table
+from corpusloom.llm.common import checkpoint, shared_folder, shrink, small_side, table
 from corpusloom.llm.exact_dedup import exact_dedup
 from corpusloom.llm.language_crf import UNDETERMINED, identify, train
 from corpusloom.llm.minhash_dedup import near_duplicates
@@ -64,6 +64,7 @@ def exact_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
     smallest id), and one of repeated rows. Null and empty texts are one group. Different texts of one id
     are documents of their own, as are those of a null id, which stands after all others. An empty table
     stays empty; extra columns go."""
+    shrink(spark)
     docs = _with_row_ids(docs)
     found = checkpoint(exact_dedup(docs, id_col="row_id").select("row_id", "kept"))
     if found.count() < docs.count():
@@ -75,6 +76,7 @@ def near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Keep the smallest document of each group of near-duplicates (80 % of shingles of five words, chained).
     Documents without words link with none and stay. Null and shared ids as for copies; repeated rows go
     or stay together. An empty table stays empty; extra columns go."""
+    shrink(spark)
     docs = _with_row_ids(docs)
     return _without(docs, near_duplicates(docs, id_col="row_id").filter(~F.col("kept")))
 
@@ -82,6 +84,7 @@ def near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 def passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Take out of each text what a smaller document holds too; whole characters go. Every document
     stays, an emptied one with an empty text."""
+    shrink(spark)
     done = remove_repeats(docs, carry=("lang", "source"), whole_chars=True)
     text = F.decode("kept", "UTF-8")
     return done.select("doc_id", text.alias("text"), "lang", "source", F.length(text).cast("long").alias("n_chars"))
@@ -90,6 +93,7 @@ def passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 def packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Pack the documents into sequences, a row per piece: null and empty texts are one token, long texts
     several pieces, repeated rows and null ids are packed as they come. An empty table gives no rows."""
+    shrink(spark)
     return pack(docs, public_tokenizers.path("word_bpe_49k.json"))
 
 

@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from . import textnum as tn
-from .common import checkpoint, modest_batches, release
+from .common import checkpoint, modest_batches, release, shrink
 from .pieces import edges, gather
 from .suffix_order import PERIOD, suffix_order, words_at
 
@@ -581,6 +581,7 @@ def remove_repeats(docs: DataFrame, params: Repeats | None = None, id_col: str =
     n_docs = max(spark.sparkContext.defaultParallelism * 2, -(-(size or 0) // (3 * p.bucket_bytes)))
     found = checkpoint(_resolved(seen, p, n_docs))
     release(spark)
+    shrink(spark)
     wanted = found.filter(F.col("kind") == TEXT).agg(F.sum(F.col("n").cast("long"))).first()[0] or 0
     n_sorts = max(spark.sparkContext.defaultParallelism * 4, -(-wanted * 2 * p.length // p.bucket_bytes))
     by_id = rows.repartition("id", "uid")  # one shuffle of texts serves both joins

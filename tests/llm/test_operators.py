@@ -101,6 +101,18 @@ def test_minhash_estimates_jaccard():
     assert abs((s[0] == s[1]).mean() - 720 / 1080) < 0.07
 
 
+def test_shrink_collects_where_tasks_run(spark):
+    from corpusloom.llm import common
+
+    def collections():
+        beans = spark.sparkContext._jvm.java.lang.management.ManagementFactory.getGarbageCollectorMXBeans()
+        return sum(b.getCollectionCount() for b in beans)
+
+    before = collections()
+    common.shrink(spark)
+    assert collections() > before
+
+
 def test_components_settle_on_chains(spark):
     rng = random.Random(3)
     edges = [(i, i + 1) for i in range(60)] + [(100, 200), (300, 200), (5, 5)]

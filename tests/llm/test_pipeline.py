@@ -27,6 +27,20 @@ def stages(spark, tmp_path_factory):
     return out
 
 
+def test_later_stages_let_heaps_shrink_first(spark, monkeypatch):
+    class Asked(Exception):
+        pass
+
+    def ask(session):
+        raise Asked
+
+    monkeypatch.setattr(cp, "shrink", ask)
+    docs = spark.createDataFrame([(1, "a", "en", "s", 1)], "doc_id long, text string, lang string, source string, n_chars long")
+    for _, stage in cp.STAGES[1:]:
+        with pytest.raises(Asked):
+            stage(spark, docs, "")
+
+
 def test_columns(stages):
     for rows in stages[1:-1]:
         assert rows[0].__fields__ == COLUMNS
