@@ -19,11 +19,11 @@ def _large_star(edges: DataFrame) -> DataFrame:
 
 
 def _small_star(edges: DataFrame) -> DataFrame:
-    """A node and its neighbours below it point to the least of them."""
+    """A node and its neighbours below it point to the least of them: the node itself in that one's place."""
     down = edges.select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v"))
     least = down.groupBy("u").agg(F.min("v").alias("m"))
     joined = down.join(least, "u")
-    return joined.select(F.col("v").alias("u"), F.col("m").alias("v")).unionByName(least.select("u", F.col("m").alias("v"))).filter("u <> v").distinct()
+    return joined.select(F.when(F.col("v") == F.col("m"), F.col("u")).otherwise(F.col("v")).alias("u"), F.col("m").alias("v")).distinct()
 
 
 def connected_components(links: DataFrame) -> DataFrame:

@@ -168,10 +168,10 @@ def full_sets(docs: DataFrame, p: NearDup, id_col: str, text_col: str) -> DataFr
 
 
 def measured(pairs: DataFrame, sets: DataFrame) -> DataFrame:
-    """Add ``shared``, the exact size of the intersection, to pairs (a, b)."""
-    left = sets.select(F.col("id").alias("a"), F.col("members").alias("a_set"))
-    right = sets.select(F.col("id").alias("b"), F.col("members").alias("b_set"))
-    both = pairs.join(right, "b").join(left, "a").select("a", "b", "a_set", "b_set")
+    """Add the set sizes ``n_a, n_b`` and ``shared``, the exact size of the intersection, to pairs (a, b)."""
+    left = sets.select(F.col("id").alias("a"), F.col("n").alias("n_a"), F.col("members").alias("a_set"))
+    right = sets.select(F.col("id").alias("b"), F.col("n").alias("n_b"), F.col("members").alias("b_set"))
+    both = pairs.join(right, "b").join(left, "a").select("a", "b", "a_set", "b_set", "n_a", "n_b")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -183,9 +183,9 @@ def measured(pairs: DataFrame, sets: DataFrame) -> DataFrame:
                 at = np.searchsorted(y, x)
                 at[at == len(y)] = 0
                 shared[i] = int((y[at] == x).sum())
-            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(shared)], names=["a", "b", "shared"])
+            yield pa.RecordBatch.from_arrays([*(batch.column(c) for c in (0, 1, 4, 5)), pa.array(shared)], names=["a", "b", "n_a", "n_b", "shared"])
 
-    schema = T.StructType([both.schema["a"], both.schema["b"], T.StructField("shared", T.LongType())])
+    schema = T.StructType([*(both.schema[c] for c in ("a", "b", "n_a", "n_b")), T.StructField("shared", T.LongType())])
     return both.mapInArrow(run, schema)
 
 
@@ -302,12 +302,9 @@ def near_duplicates(docs: DataFrame, params: NearDup | None = None, id_col: str
     known = nodes.select(F.col("rep").alias("id"), "h1", "h2", "n", "bands")
     whole = full_sets(texts, p, "id", "text").join(known, ["id", "h1", "h2"]).dropDuplicates(["id", "h1", "h2"])
     whole = checkpoint(whole.select("id", "n", "members", "bands"))
-    count = whole.select("id", "n")
 
     def confirmed(pairs: DataFrame) -> DataFrame:
-        got = measured(pairs, whole)
-        got = got.join(count.select(F.col("id").alias("a"), F.col("n").alias("n_a")), "a").join(count.select(F.col("id").alias("b"), F.col("n").alias("n_b")), "b")
-        return got.select("a", "b", "n_a", "n_b", "shared", _linked(p).alias("linked"))
+        return measured(pairs, whole).withColumn("linked", _linked(p))
 
     first = checkpoint(confirmed(stars))
     links = first.filter("linked").select("a", "b")
@@ -321,6 +318,8 @@ def near_duplicates(docs: DataFrame, params: NearDup | None = None, id_col: str
     placed = labelled(labelled(buckets, "rep", "comp"), "center", "c_comp").join(distance, ["center", "rep"], "left")
     # Without a measured distance the sizes' bound, or 0 for the centre itself, leaves d unknown.
     placed = placed.withColumn("d", F.when(F.col("rep") == F.col("center"), F.lit(0.0)).otherwise(F.col("d")))
+    # Read four times below: made once, and its joins planned once, which the driver holds in memory.
+    placed = checkpoint(placed.select("bucket", "center", "rep", "n", "m", "comp", "c_comp", "d"))
     outside = placed.filter("comp <> c_comp").select("bucket", "m", F.col("rep").alias("x"), F.col("comp").alias("x_comp"), F.col("n").alias("x_n"), F.col("d").alias("x_d"), F.col("c_comp").alias("x_c_comp"))
     limit = 1 - p.percent / 100 + 1e-9
     few = placed.filter(F.col("rep") != F.col("center")).filter(F.col("m") <= p.small).select("bucket", "rep", "comp", "c_comp", "n", "d")
@@ -337,7 +336,7 @@ def near_duplicates(docs: DataFrame, params: NearDup | None = None, id_col: str
     open_ = outside.filter(F.col("m") > p.small).select("bucket").distinct()
     crowded = placed.filter(F.col("m") > p.small).join(open_, "bucket", "left_semi").select("bucket", "rep", "comp", "d", (F.col("comp") != F.col("c_comp")).alias("outside"))
     tiled = _tiles(crowded.join(whole.withColumnRenamed("id", "rep"), "rep"), p)
-    second = checkpoint(confirmed(rest).filter("linked").select("a", "b").unionByName(tiled))
+    second = checkpoint(confirmed(checkpoint(rest)).filter("linked").select("a", "b").unionByName(checkpoint(tiled)))
     bridges = labelled(labelled(second, "a", "u"), "b", "v").select(F.col("u").alias("a"), F.col("v").alias("b"))
     merged = connected_components(bridges).select(F.col("node").alias("m_node"), F.col("component").alias("m_component"))
     final = labelled(nodes.select("h1", "h2", "n", "rep"), "rep", "comp").join(merged, F.col("comp") == F.col("m_node"), "left").select("h1", "h2", "n", F.coalesce("m_component", "comp").alias("component"))

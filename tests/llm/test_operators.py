@@ -101,6 +101,21 @@ def test_minhash_estimates_jaccard():
     assert abs((s[0] == s[1]).mean() - 720 / 1080) < 0.07
 
 
+def test_near_duplicates_make_few_shuffles(spark):
+    """The driver holds the plan of every shuffle and its tasks' figures: these rows made 79 before, and make 66."""
+    words = [f"w{i}" for i in range(60)]
+    df = spark.createDataFrame([(i, " ".join(words[i : i + 40])) for i in range(12)], "doc_id long, text string")
+    context, key = spark.sparkContext._jsc.sc(), "spark.sql.autoBroadcastJoinThreshold"
+    spark.conf.set(key, "-1")
+    try:
+        before = context.newShuffleId()
+        got = minhash_dedup.near_duplicates(df, minhash_dedup.NearDup(words=2, small=2, tile=4)).collect()
+        assert context.newShuffleId() - before <= 70
+    finally:
+        spark.conf.unset(key)
+    assert {r.component_id for r in got} == {0}
+
+
 def test_shrink_collects_where_tasks_run(spark):
     from corpusloom.llm import common
 
