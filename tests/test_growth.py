@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from corpusloom.functions import substrings
 from corpusloom.functions.vectors import cosine
 from corpusloom.operators import concepts, content
+from corpusloom.sources import corpus
 
 
 def plan(df) -> str:
@@ -73,3 +74,12 @@ def test_groups_need_few_links(spark):
     assert groups == {i: i % 2 for i in range(40)}
     own = spark.createDataFrame([(5, 5), (1, 2), (2, 2)], "a long, b long")
     assert {(r.node, r.component) for r in concepts.merge_groups(own).collect()} == {(5, 5), (1, 1), (2, 1)}
+
+
+def test_no_text_is_shuffled_to_its_label(spark):
+    held = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        assert "SortMergeJoin" not in plan(corpus.chunks(spark, "/root/testdata/sf0.001"))
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", held)
