@@ -75,10 +75,11 @@ def results_diff(before: DataFrame, after: DataFrame) -> DataFrame:
 FIELDS = ["index", "text", "heading_trail", "token_count", "embed_text", "has_code", "has_formula"]
 
 
-def rechunk_mismatch(stored: DataFrame, fresh: DataFrame, fields: list[str] | None = None) -> DataFrame:
-    """Compare chunks by (document_id, pos): ``document_id, pos, field`` for each difference, or 'count'."""
+def rechunk_mismatch(stored: DataFrame, fresh: DataFrame, fields: list[str] | None = None, keys: tuple[str, ...] = ("document_id", "pos")) -> DataFrame:
+    """Compare chunks by (document_id, pos): ``document_id, pos, field`` for each difference, or 'count'. Where
+    positions repeat, further keys tell the rows apart; without them each meets each."""
     fields = [c for c in (fields or FIELDS) if c in stored.columns]
-    rows = stored.alias("s").join(fresh.alias("f"), ["document_id", "pos"], "full_outer")
+    rows = stored.alias("s").join(fresh.alias("f"), list(keys), "full_outer")
     one_side = F.col(f"s.{fields[0]}").isNull() != F.col(f"f.{fields[0]}").isNull()
     diffs = F.array(*(F.when(~F.col(f"s.{c}").eqNullSafe(F.col(f"f.{c}")), F.lit(c)) for c in fields))
     return rows.select("document_id", "pos", F.explode(F.when(one_side, F.array(F.lit("count"))).otherwise(F.filter(diffs, lambda x: x.isNotNull()))).alias("field"))
